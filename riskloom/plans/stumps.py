@@ -1,0 +1,133 @@
+"""Boosted shallow trees and the majority-class baseline as `pyspark.ml` estimators.
+
+Both fit to plain SQL expressions over the feature columns, wrapped in
+`SQLTransformer`, so scoring needs no vector and saves like any pipeline.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark import keyword_only
+from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasSeed, HasWeightCol
+from pyspark.sql import functions as F
+
+from riskloom.functions.exprs import col
+
+
+def _sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def tree_sql(node, names: list[str]) -> str:
+    """The predicted class of a fitted tree as nested CASE expressions."""
+    if node.subtreeDepth() == 0:
+        return repr(float(node.prediction()))
+    split = node.split()
+    test = f"{_sql_name(names[split.featureIndex()])} <= {float(split.threshold())!r}D"
+    return f"CASE WHEN {test} THEN {tree_sql(node.leftChild(), names)} " \
+           f"ELSE {tree_sql(node.rightChild(), names)} END"
+
+
+def scored_by(prediction: str, probability: str) -> PipelineModel:
+    return PipelineModel(
+        [
+            SQLTransformer(
+                statement=f"SELECT *, CAST({probability} AS DOUBLE) AS probability, "
+                f"CAST({prediction} AS DOUBLE) AS prediction FROM __THIS__"
+            )
+        ]
+    )
+
+
+class BoostedStumps(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol, HasSeed):
+    """SAMME boosting of shallow decision trees for two classes.
+
+    The boosting weight of a row is a closed expression of the trees so far, so a
+    round is one weighted tree fit and one error sum over the same stored table; no
+    weight column is written and no lineage grows from round to round.
+    """
+
+    numRounds = Param(Params._dummy(), "numRounds", "boosting rounds", TypeConverters.toInt)
+    stepSize = Param(Params._dummy(), "stepSize", "learning rate", TypeConverters.toFloat)
+    maxDepth = Param(Params._dummy(), "maxDepth", "depth of a tree", TypeConverters.toInt)
+    minInstancesPerNode = Param(
+        Params._dummy(), "minInstancesPerNode", "rows per leaf at least", TypeConverters.toInt
+    )
+    inputNames = Param(
+        Params._dummy(), "inputNames", "columns behind the vector", TypeConverters.toListString
+    )
+
+    @keyword_only
+    def __init__(self, *, inputNames=None, featuresCol="features", labelCol="label",
+                 weightCol=None, numRounds=300, stepSize=0.5, maxDepth=2,
+                 minInstancesPerNode=10, seed=39):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, dataset):
+        names = self.getOrDefault(self.inputNames)
+        label = col(self.getLabelCol())
+        balance = col(self.getWeightCol()) if self.isSet(self.weightCol) else F.lit(1.0)
+        grow = DecisionTreeClassifier(
+            featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), weightCol="_w",
+            maxDepth=self.getOrDefault(self.maxDepth), seed=self.getSeed(),
+            minInstancesPerNode=self.getOrDefault(self.minInstancesPerNode),
+        )
+        rate = self.getOrDefault(self.stepSize)
+        trees: list[tuple[float, str]] = []
+        scale = 1.0 / max(dataset.count(), 1)
+        boost = F.lit(scale)
+        for _ in range(self.getOrDefault(self.numRounds)):
+            weighted = dataset.withColumn("_w", boost * balance)
+            tree = tree_sql(grow.fit(weighted)._call_java("rootNode"), names)
+            missed = (F.expr(tree) != label).cast("double")
+            total, wrong = dataset.agg(F.sum(boost), F.sum(boost * missed)).first()
+            error = wrong / total
+            if error <= 0:
+                trees = trees + [(1.0, tree)]
+                break
+            if error >= 0.5:
+                break
+            alpha = rate * math.log((1 - error) / error)
+            trees.append((alpha, tree))
+            boost = boost / total * F.exp(F.lit(alpha) * missed)
+        if not trees:
+            return scored_by("0", "0.5")
+        votes = " + ".join(f"{a!r}D * (2 * ({t}) - 1)" for a, t in trees)
+        margin = f"(({votes}) / {sum(a for a, _ in trees)!r}D)"
+        chance = f"(1 / (1 + exp(-{margin})))"
+        return scored_by(f"CASE WHEN {margin} > 0 THEN 1 ELSE 0 END", chance)
+
+
+class MajorityClass(Estimator, HasLabelCol, HasSeed):
+    """The baseline: most_frequent, prior, stratified or uniform class."""
+
+    strategy = Param(Params._dummy(), "strategy", "how to guess", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, labelCol="label", strategy="most_frequent", seed=39):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset):
+        label = col(self.getLabelCol())
+        n, ones = dataset.agg(F.count(label), F.count_if(label == 1)).first()
+        share = ones / n if n else 0.0
+        majority = 1 if share > 0.5 else 0
+        strategy = self.getOrDefault(self.strategy)
+        draw = f"rand({self.getSeed()})"
+        if strategy == "most_frequent":
+            return scored_by(f"{majority}", f"{majority}")
+        if strategy == "prior":
+            return scored_by(f"{majority}", f"{share!r}D")
+        if strategy == "stratified":
+            said = f"CASE WHEN {draw} < {share!r}D THEN 1 ELSE 0 END"
+            return scored_by(said, said)
+        if strategy == "uniform":
+            return scored_by(f"CASE WHEN {draw} < 0.5D THEN 1 ELSE 0 END", "0.5D")
+        raise ValueError(f"unknown strategy: {strategy}")
