@@ -136,11 +136,11 @@ def random_search_tune(spark, sf):
 def evaluate(spark, sf):
     tables, features, _, _ = prepared(spark, sf)
     test = M.assembled(tables["test"], features)
-    row, staged = M.evaluate(_fitted(spark, sf, "Logistic Regression"), test, "test")
-    cm = scoring.confusion_matrix(staged, M.LABEL)
+    row, found = M.evaluate(_fitted(spark, sf, "Logistic Regression"), test, "test")
+    cm = scoring.confusion_of_counts(found)
     money = scoring.business_metrics(cm, tables["business_statistics"]).select(F.struct("*"))
-    counts = cm.select(F.struct("*"))
-    return row.withColumns({"counts": counts.scalar(), "money": money.scalar()}).select(
+    matrix = cm.select(F.struct("*"))
+    return row.withColumns({"counts": matrix.scalar(), "money": money.scalar()}).select(
         *row.columns, "counts.*", "money.*"
     )
 

@@ -124,7 +124,7 @@ _CLEANING = [
 
 
 def landed_loans(spark, sf):
-    raw = C.parse_issue_month(V.raw_loans(spark, sf))
+    raw = C.parse_issue_month(V.raw_loans(spark, sf, parallel=True))
     return joins.merge_indicators_with_loans(raw, joins.merge_indicators(V.indicators(spark, sf)))
 
 

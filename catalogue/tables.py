@@ -140,7 +140,7 @@ def formula_scores(spark, sf):
     parts = []
     for name, (said, chance) in models.items():
         told = rows.select("label", said.alias("prediction"), chance.alias("probability"))
-        parts.append(scoring.score_row(told, name, "test"))
+        parts.append(scoring.score_row(scoring.score_counts(told), name, "test"))
     return scoring.score_table(parts)
 
 

@@ -7,7 +7,7 @@ order becomes a loan; a `CASE` on a key only decides how its values look.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LINE_COLUMNS = {"installment", "revol_bal", "dti"}
@@ -17,153 +17,122 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _every(n: int) -> Column:
-    return F.col("k") % n == 0
+def spread(df: DataFrame) -> DataFrame:
+    """A scan that gives fewer tasks than there are cores, dealt out to all of them.
 
-
-def _pick(c: Column, *texts) -> Column:
-    """The text at the place the number says, the last one beyond."""
-    out = F.lit(texts[-1])
-    for i, t in reversed(list(enumerate(texts[:-1]))):
-        out = F.when(c == i, t).otherwise(out)
-    return out
+    Only a table in a few small files is moved; a large one keeps its splits.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def _keys(spark: SparkSession, sf_dir: str, with_lines: bool) -> DataFrame:
+def _keys(spark: SparkSession, sf_dir: str, with_lines: bool, parallel: bool = False) -> DataFrame:
     """One row per order with its customer and, if asked for, its line totals."""
-    orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
-    rows = orders.join(
-        customer, orders.o_custkey == customer.c_custkey, "left"
-    ).select(
-        F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("u"),
-        F.col("o_orderstatus").alias("st"), F.col("o_totalprice").alias("price"),
-        F.col("o_orderdate").alias("od"), F.col("o_orderpriority").alias("pr"),
-        F.col("c_acctbal").alias("bal"), F.col("c_mktsegment").alias("seg"),
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k", "o_custkey AS u", "o_orderstatus AS st", "o_totalprice AS price",
+        "o_orderdate AS od", "o_orderpriority AS pr",
     )
+    if parallel:
+        orders = spread(orders)
+    customer = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS u", "c_acctbal AS bal", "c_mktsegment AS seg"
+    )
+    rows = orders.join(customer, "u", "left")
     if not with_lines:
         return rows
     lines = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("k"))
-        .agg(
-            F.max(F.floor("l_extendedprice")).alias("inst"),
-            F.sum(F.floor("l_extendedprice")).alias("rev"),
-            (F.sum(F.col("l_quantity").cast("bigint")) % 60).alias("d"),
-        )
+        .selectExpr("l_orderkey AS k", "floor(l_extendedprice) AS p", "cast(l_quantity AS bigint) AS q")
+        .groupBy("k")
+        .agg(F.expr("max(p)").alias("inst"), F.expr("sum(p)").alias("rev"), F.expr("sum(q) % 60").alias("d"))
     )
     return rows.join(lines, "k", "left")
 
 
-def _numbers() -> dict[str, Column]:
-    k, u = F.col("k"), F.col("u")
-    amount = F.floor("price")
-    low, high = 600 + u % 200, 604 + u % 200
-    return {
-        "loan_amnt": F.when(_every(11), None).when(_every(29), -amount).otherwise(amount),
-        "funded_amnt": amount,
-        "int_rate": 5 + u % 25 + F.lit(0.5),
-        "revol_util": k % 101,
-        "annual_inc": F.floor(F.col("bal") * 10),
-        "avg_cur_bal": F.floor(F.col("bal") * 7),
-        "total_pymnt": F.floor(F.col("price") * F.when(F.col("st") == "P", 0.4).otherwise(1.1)),
-        "fico_range_low": F.when(_every(17), high).otherwise(low),
-        "fico_range_high": F.when(_every(17), low).otherwise(high),
-        "delinq_2yrs": F.when(~_every(7), k % 3),
-        "inq_last_6mths": u % 6,
-        "mths_since_last_delinq": F.when(~_every(2), k % 80),
-        "open_acc": F.when(~_every(23), 1 + u % 20),
-        "pub_rec": k % 4,
-        "total_acc": 5 + u % 40,
-        "installment": F.col("inst"),
-        "revol_bal": F.col("rev"),
-        "dti": F.col("d"),
-    }
-
-
-def _texts() -> dict[str, Column]:
-    k, u = F.col("k"), F.col("u")
-    bad = _pick(k % 6, "Charged Off", "Charged Off", "Default", "Late (31-120 days)",
-                "Late (16-30 days)", "Does not meet the credit policy. Status:Charged Off")
-    good = _pick(k % 5, "Fully Paid", "Fully Paid", "Fully Paid", "In Grace Period",
-                 "Does not meet the credit policy. Status:Fully Paid")
-    years = F.concat((k % 13 - 2).cast("string"), F.lit(" years"))
-    return {
-        "term": F.when(k % 4 < 2, "36 months").otherwise("60 months"),
-        "sub_grade": F.concat(F.char(65 + u % 7), (1 + k % 5).cast("string")),
-        "emp_length": F.when(_every(13), "10+ years").when(k % 13 == 1, "< 1 year")
-        .when(k % 13 == 2, None).otherwise(years),
-        "emp_title": F.concat(F.lit("title "), (u % 50).cast("string")),
-        "home_ownership": F.when(F.col("seg") == "FURNITURE", "RENT")
-        .when(F.col("seg") == "MACHINERY", "MORTGAGE").when(F.col("seg") == "BUILDING", "OWN")
-        .when(F.col("seg") == "AUTOMOBILE", "ANY").otherwise("NONE"),
-        "verification_status": _pick(k % 3, "Verified", "Source Verified", "Not Verified"),
-        "purpose": F.lower(F.expr("substring(pr, 3)")),
-        "pymnt_plan": F.when(_every(19), "y").otherwise("n"),
-        "initial_list_status": F.when(_every(2), "w").otherwise("f"),
-        "loan_status": F.when(_every(61), None)
-        .when(F.col("st") == "O", "Current")
-        .when(F.col("st") == "F", F.when(u % 25 >= 20, "Charged Off").otherwise(good))
-        .otherwise(F.when(u % 25 < 5, "Fully Paid").otherwise(bad)),
-    }
-
-
-NUMBER_NAMES = [
-    "loan_amnt", "funded_amnt", "int_rate", "revol_util", "annual_inc", "avg_cur_bal",
-    "total_pymnt", "fico_range_low", "fico_range_high", "delinq_2yrs", "inq_last_6mths",
-    "mths_since_last_delinq", "open_acc", "pub_rec", "total_acc", "installment", "revol_bal", "dti",
-]
-TEXT_NAMES = [
-    "term", "sub_grade", "emp_length", "emp_title", "home_ownership", "verification_status",
-    "purpose", "pymnt_plan", "initial_list_status", "loan_status",
-]
+NUMBERS = {
+    "loan_amnt": "CASE WHEN k % 11 = 0 THEN NULL WHEN k % 29 = 0 THEN -floor(price) ELSE floor(price) END",
+    "funded_amnt": "floor(price)",
+    "int_rate": "5 + u % 25 + 0.5D",
+    "revol_util": "k % 101",
+    "annual_inc": "floor(bal * 10)",
+    "avg_cur_bal": "floor(bal * 7)",
+    "total_pymnt": "floor(price * if(st = 'P', 0.4D, 1.1D))",
+    "fico_range_low": "if(k % 17 = 0, 604, 600) + u % 200",
+    "fico_range_high": "if(k % 17 = 0, 600, 604) + u % 200",
+    "delinq_2yrs": "if(k % 7 = 0, NULL, k % 3)",
+    "inq_last_6mths": "u % 6",
+    "mths_since_last_delinq": "if(k % 2 = 0, NULL, k % 80)",
+    "open_acc": "if(k % 23 = 0, NULL, 1 + u % 20)",
+    "pub_rec": "k % 4",
+    "total_acc": "5 + u % 40",
+    "installment": "inst",
+    "revol_bal": "rev",
+    "dti": "d",
+}
+TEXTS = {
+    "term": "if(k % 4 < 2, '36 months', '60 months')",
+    "sub_grade": "concat(char(65 + u % 7), 1 + k % 5)",
+    "emp_length": "CASE k % 13 WHEN 0 THEN '10+ years' WHEN 1 THEN '< 1 year' WHEN 2 THEN NULL "
+    "ELSE concat(k % 13 - 2, ' years') END",
+    "emp_title": "concat('title ', u % 50)",
+    "home_ownership": "CASE seg WHEN 'FURNITURE' THEN 'RENT' WHEN 'MACHINERY' THEN 'MORTGAGE' "
+    "WHEN 'BUILDING' THEN 'OWN' WHEN 'AUTOMOBILE' THEN 'ANY' ELSE 'NONE' END",
+    "verification_status": "CASE k % 3 WHEN 0 THEN 'Verified' WHEN 1 THEN 'Source Verified' "
+    "ELSE 'Not Verified' END",
+    "purpose": "lower(substring(pr, 3))",
+    "pymnt_plan": "if(k % 19 = 0, 'y', 'n')",
+    "initial_list_status": "if(k % 2 = 0, 'w', 'f')",
+    "loan_status": """CASE
+      WHEN k % 61 = 0 THEN NULL
+      WHEN st = 'O' THEN 'Current'
+      WHEN st = 'F' AND u % 25 >= 20 THEN 'Charged Off'
+      WHEN st = 'F' THEN CASE k % 5 WHEN 3 THEN 'In Grace Period'
+        WHEN 4 THEN 'Does not meet the credit policy. Status:Fully Paid' ELSE 'Fully Paid' END
+      WHEN u % 25 < 5 THEN 'Fully Paid'
+      ELSE CASE k % 6 WHEN 2 THEN 'Default' WHEN 3 THEN 'Late (31-120 days)' WHEN 4 THEN 'Late (16-30 days)'
+        WHEN 5 THEN 'Does not meet the credit policy. Status:Charged Off' ELSE 'Charged Off' END
+    END""",
+}
+# How the landing table writes its columns; numbers not named here are plain digits.
+LANDED = {
+    "id": "cast(k AS string)",
+    "issue_d": "if(k % 97 = 0, NULL, date_format(od, 'MMM-yyyy'))",
+    "earliest_cr_line": "CASE k % 3 WHEN 0 THEN date_format(od, 'MMM-yyyy') "
+    "WHEN 1 THEN date_format(od, 'yyyy-MM-dd') ELSE 'not-a-date' END",
+    "loan_amnt": "CASE WHEN k % 11 = 0 THEN NULL WHEN k % 29 = 0 THEN concat('-', floor(price)) "
+    "ELSE concat('$', format_number(floor(price), 0)) END",
+    "int_rate": "concat(5 + u % 25, '.5%')",
+    "revol_util": "concat(k % 101, '%')",
+    "dti": "if(k % 53 = 0, 'bad', cast(d AS string))",
+    "sub_grade": f"if(k % 6 = 0, concat(' ', {TEXTS['sub_grade']}, '  '), {TEXTS['sub_grade']})",
+    "term": "CASE k % 4 WHEN 0 THEN ' 36   months ' WHEN 1 THEN '36 months' WHEN 2 THEN ' 60 months' "
+    "ELSE concat('60', char(9), 'months') END",
+    "emp_length": f"coalesce({TEXTS['emp_length']}, 'nan')",
+    "emp_title": f"CASE WHEN k % 37 = 0 THEN 'None' WHEN k % 31 = 0 THEN '' ELSE {TEXTS['emp_title']} END",
+    "home_ownership": f"if(k % 41 = 0, lower({TEXTS['home_ownership']}), {TEXTS['home_ownership']})",
+    "pymnt_plan": "if(k % 19 = 0, ' Y ', 'n')",
+    "loan_status": f"coalesce({TEXTS['loan_status']}, 'null')",
+}
+NUMBER_NAMES = list(NUMBERS)
+TEXT_NAMES = list(TEXTS)
 
 
 def loans(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The typed loan table: numbers as doubles, text, dates, nulls; chosen columns or all."""
-    names = columns or ("id", "issue_d", *NUMBER_NAMES, *TEXT_NAMES)
-    exprs = {
-        "id": F.col("k"),
-        "issue_d": F.when(~_every(97), F.col("od")),
-        **{c: e.cast("double") for c, e in _numbers().items()},
-        **_texts(),
-    }
+    names = columns or ("id", "issue_d", *NUMBERS, *TEXTS)
+    exprs = {"id": "k", "issue_d": "if(k % 97 = 0, NULL, od)"}
+    exprs |= {c: f"cast({e} AS double)" for c, e in NUMBERS.items()} | TEXTS
     rows = _keys(spark, sf_dir, bool(LINE_COLUMNS & set(names)))
-    return rows.select(*[exprs[c].alias(c) for c in names])
+    return rows.selectExpr(*[f"{exprs[c]} AS {c}" for c in names])
 
 
-def raw_loans(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+def raw_loans(spark: SparkSession, sf_dir: str, *columns: str, parallel: bool = False) -> DataFrame:
     """The landing table as text with all its dirt; every fiftieth loan arrives twice."""
-    names = columns or ("id", "issue_d", "earliest_cr_line", *NUMBER_NAMES, *TEXT_NAMES)
-    k = F.col("k")
-    n = {c: e.cast("bigint").cast("string") for c, e in _numbers().items()}
-    t = _texts()
-    exprs = {
-        **n,
-        **t,
-        "id": k.cast("string"),
-        "issue_d": F.when(~_every(97), F.date_format("od", "MMM-yyyy")),
-        "earliest_cr_line": F.when(k % 3 == 0, F.date_format("od", "MMM-yyyy"))
-        .when(k % 3 == 1, F.date_format("od", "yyyy-MM-dd")).otherwise("not-a-date"),
-        "loan_amnt": F.when(_every(11), None)
-        .when(_every(29), F.concat(F.lit("-"), F.floor("price").cast("string")))
-        .otherwise(F.concat(F.lit("$"), F.format_number(F.floor("price"), 0))),
-        "int_rate": F.concat((5 + F.col("u") % 25).cast("string"), F.lit(".5%")),
-        "revol_util": F.concat((k % 101).cast("string"), F.lit("%")),
-        "dti": F.when(_every(53), "bad").otherwise(F.col("d").cast("string")),
-        "sub_grade": F.when(_every(6), F.concat(F.lit(" "), t["sub_grade"], F.lit("  ")))
-        .otherwise(t["sub_grade"]),
-        "term": _pick(k % 4, " 36   months ", "36 months", " 60 months", "60\tmonths"),
-        "emp_length": F.coalesce(t["emp_length"], F.lit("nan")),
-        "emp_title": F.when(_every(37), "None").when(_every(31), "").otherwise(t["emp_title"]),
-        "home_ownership": F.when(_every(41), F.lower(t["home_ownership"]))
-        .otherwise(t["home_ownership"]),
-        "pymnt_plan": F.when(_every(19), " Y ").otherwise("n"),
-        "loan_status": F.coalesce(t["loan_status"], F.lit("null")),
-    }
-    rows = _keys(spark, sf_dir, bool(LINE_COLUMNS & set(names)))
-    copies = F.explode(F.sequence(F.lit(1), F.when(_every(50), 2).otherwise(1)))
-    return rows.select("*", copies.alias("copy")).select(*[exprs[c].alias(c) for c in names])
+    names = columns or ("id", "issue_d", "earliest_cr_line", *NUMBERS, *TEXTS)
+    exprs = {c: f"cast(cast({e} AS bigint) AS string)" for c, e in NUMBERS.items()} | TEXTS | LANDED
+    rows = _keys(spark, sf_dir, bool(LINE_COLUMNS & set(names)), parallel)
+    copies = rows.selectExpr("*", "explode(sequence(1, if(k % 50 = 0, 2, 1))) AS copy")
+    return copies.selectExpr(*[f"{exprs[c]} AS {c}" for c in names])
 
 
 SERIES = {"CPI": "l_quantity", "Unemployment Rate": "l_discount", "Federal Funds Rate": "l_tax"}

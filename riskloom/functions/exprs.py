@@ -8,29 +8,52 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Texts that mean "missing", and the accepted date layouts.
+# White space as Python's `str.strip` knows it, texts that mean
+# "missing", and the accepted date layouts.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 MISSING_TEXTS = ["", "nan", "None", "null"]
-DATE_LAYOUTS = ["MMM-yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"]
+DATE_LAYOUTS = {
+    "MMM-yyyy": r"^[A-Za-z]{3}-\d{4}$",
+    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+}
 MONTH_LAYOUT = "MMM-yyyy"
 
 
+def quoted(name: str) -> str:
+    """A column's exact name for SQL text, also with blanks or dots in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col(name: str) -> Column:
-    """A column by its exact name, also with blanks or dots in it."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def strip(c: Column) -> Column:
-    """Strip all Unicode white space; `trim` takes blanks only."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Strip all white space; plain `trim` takes blanks only."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def standard_text(c: Column) -> Column:
-    t = F.regexp_replace(strip(c), r"(?U)\s+", " ")
+    """Stripped, runs of white space as one blank, "missing" texts as null.
+
+    All white space becomes blanks first, so that only the rare text with a double
+    blank meets a regular expression.
+    """
+    t = F.trim(F.translate(c, WHITE_SPACE, " " * len(WHITE_SPACE)))
+    t = F.when(t.contains("  "), F.regexp_replace(t, " +", " ")).otherwise(t)
     return F.when(~t.isin(MISSING_TEXTS), t)
 
 
 def lenient_timestamp(c: Column) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in DATE_LAYOUTS])
+    """The first layout whose shape the text has; parsing is tried only on that one."""
+    out = F.lit(None).cast("timestamp")
+    for layout, shape in reversed(DATE_LAYOUTS.items()):
+        out = F.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(layout))).otherwise(out)
+    return out
 
 
 def amount(c: Column) -> Column:
@@ -53,7 +76,7 @@ def ratio_or_zero(a: Column, b: Column) -> Column:
 
 def null_cells(columns: list[str]) -> Column:
     """Nulls of one row over the given columns."""
-    return reduce(lambda a, b: a + b, [col(c).isNull().cast("int") for c in columns], F.lit(0))
+    return F.expr(" + ".join(["0", *[f"cast({quoted(c)} IS NULL AS int)" for c in columns]]))
 
 
 def per_column(

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import col
-from riskloom.session import bounded_rows, broadcastable
+from riskloom.session import bounded_rows, broadcastable, materialize
 
 RANGE_BUCKETS = 512
+SINGLE_WINDOW_ROWS = 200_000  # one task may order this many reduced rows
 HASH_PREFIX = 3  # hex digits: 4096 equal ranges of the md5 order
 
 
@@ -36,15 +37,24 @@ def running_sums(
     sums: Sequence[str],
     descending: bool = False,
     buckets: int = RANGE_BUCKETS,
+    single_rows: int = SINGLE_WINDOW_ROWS,
+    staged: bool = False,
 ) -> DataFrame:
     """Add `cum_<c>`: the sum of `c` over all rows up to and including `key`.
 
-    `df` has one row per `key`. Each value range is summed by its own task and the
-    totals of the ranges before it (at most `buckets` rows) are added.
+    `df` has one row per `key`, reduced from a larger table, and is staged (unless it
+    is already) so that the reduction runs once. Few keys are summed by one window.
+    Many are cut into value ranges, each summed by its own task, and the totals of
+    the ranges before it (at most `buckets` rows) are added.
     """
     def order(c):
         return F.desc(c) if descending else F.asc(c)
 
+    df = df if staged else materialize(df, "ordered")
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    if df.count() <= single_rows:
+        whole = Window.partitionBy().orderBy(order(key)).rowsBetween(*upto)
+        return df.withColumns({f"cum_{c}": F.sum(col(c)).over(whole) for c in sums})
     placed = with_range_bucket(df, key, buckets)
     totals = placed.groupBy("_bucket").agg(*[F.sum(col(c)).alias(f"t_{c}") for c in sums])
     before = Window.partitionBy().orderBy(order("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
@@ -52,9 +62,7 @@ def running_sums(
         "_bucket",
         *[F.coalesce(F.sum(col(f"t_{c}")).over(before), F.lit(0)).alias(f"s_{c}") for c in sums],
     )
-    within = Window.partitionBy("_bucket").orderBy(order(key)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    within = Window.partitionBy("_bucket").orderBy(order(key)).rowsBetween(*upto)
     return (
         placed.join(broadcastable(starts, buckets + 2), "_bucket")
         .withColumns({f"cum_{c}": F.sum(col(c)).over(within) + col(f"s_{c}") for c in sums})
@@ -62,41 +70,57 @@ def running_sums(
     )
 
 
-def carry_values(df: DataFrame, key: str, columns: Sequence[str], buckets: int = RANGE_BUCKETS):
+def carry_values(
+    df: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    buckets: int = RANGE_BUCKETS,
+    single_rows: int = SINGLE_WINDOW_ROWS,
+) -> DataFrame:
     """Forward fill, then backward fill, `columns` along the numeric `key`.
 
-    `df` has one row per `key`. Gaps are filled inside each value range first; what
-    stays open at a range's edge takes the nearest value of the ranges around it.
+    `df` has one row per `key` and is staged. With many keys, gaps are filled inside
+    each value range first; what stays open at a range's edge takes the nearest value
+    of the ranges around it.
     """
+    df = materialize(df, "ordered")
+    past_rows = (Window.unboundedPreceding, Window.currentRow)
+    next_rows = (Window.currentRow, Window.unboundedFollowing)
+    if df.count() <= single_rows:
+        whole = Window.partitionBy().orderBy(key)
+        filled = {
+            c: F.coalesce(
+                F.last(col(c), True).over(whole.rowsBetween(*past_rows)),
+                F.first(col(c), True).over(whole.rowsBetween(*next_rows)),
+            )
+            for c in columns
+        }
+        return df.select(*[filled.get(c, col(c)).alias(c) for c in df.columns])
     placed = with_range_bucket(df, key, buckets)
     inside = Window.partitionBy("_bucket").orderBy(key)
-    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    to_come = inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     edges = placed.groupBy("_bucket").agg(
         *[F.max_by(col(c), F.when(col(c).isNotNull(), col(key))).alias(f"last_{c}") for c in columns],
         *[F.min_by(col(c), F.when(col(c).isNotNull(), col(key))).alias(f"first_{c}") for c in columns],
     )
     ranges = Window.partitionBy().orderBy("_bucket")
-    past = ranges.rowsBetween(Window.unboundedPreceding, -1)
-    future = ranges.rowsBetween(1, Window.unboundedFollowing)
+    before = ranges.rowsBetween(Window.unboundedPreceding, -1)
+    after = ranges.rowsBetween(1, Window.unboundedFollowing)
     around = edges.select(
         "_bucket",
-        *[F.last(col(f"last_{c}"), True).over(past).alias(f"p_{c}") for c in columns],
-        *[F.first(col(f"first_{c}"), True).over(future).alias(f"f_{c}") for c in columns],
-    )
-    filled = placed.join(broadcastable(around, buckets + 2), "_bucket").withColumns(
-        {
-            f"v_{c}": F.coalesce(
-                F.last(col(c), True).over(so_far),
-                col(f"p_{c}"),
-                F.first(col(c), True).over(to_come),
-                col(f"f_{c}"),
-            )
-            for c in columns
-        }
+        *[F.last(col(f"last_{c}"), True).over(before).alias(f"p_{c}") for c in columns],
+        *[F.first(col(f"first_{c}"), True).over(after).alias(f"f_{c}") for c in columns],
     )
-    keep = [col(c) for c in df.columns if c not in columns]
-    return filled.select(*keep, *[col(f"v_{c}").alias(c) for c in columns])
+    joined = placed.join(broadcastable(around, buckets + 2), "_bucket")
+    filled = {
+        c: F.coalesce(
+            F.last(col(c), True).over(inside.rowsBetween(*past_rows)),
+            col(f"p_{c}"),
+            F.first(col(c), True).over(inside.rowsBetween(*next_rows)),
+            col(f"f_{c}"),
+        )
+        for c in columns
+    }
+    return joined.select(*[filled.get(c, col(c)).alias(c) for c in df.columns])
 
 
 def hash_key(seed: int, *keys: Column) -> Column:

@@ -3,44 +3,86 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom import schemas as S
-from riskloom.functions.exprs import col, long_values
+from riskloom.functions.exprs import col, long_values, quoted
 from riskloom.functions.quantiles import exact_quantiles
 
-PAIRS_PER_SCAN = 120
 HIGH_CORRELATION = 0.8
+SUMS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 
 
-def pearson(a: Column, b: Column) -> Column:
-    """Correlation of the rows with both values; null when one is constant."""
-    both = a.isNotNull() & b.isNotNull()
-    spread = F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b))
-    return F.try_divide(F.covar_pop(a, b), spread)
+def pair_sums(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(`i`, `j`, sums) of every pair of columns over the rows that have both.
+
+    Pairs grow with the square of the columns: forty columns need several thousand
+    sums per row, far past what generated aggregation code is compiled for. Each task
+    therefore folds its Arrow batches by four matrix products and passes on one row
+    per pair. Values are taken from the column means of a first scan, which keeps the
+    sums of squares exact enough for nearly constant columns.
+    """
+    means = df.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(names)]).first()
+    centred = df.select(
+        *[
+            F.expr(f"cast({quoted(c)} AS double) - {means[i] or 0.0!r}D").alias(f"d{i}")
+            for i, c in enumerate(names)
+        ]
+    )
+
+    def fold(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = None
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            x = x.astype(float)
+            seen = ~np.isnan(x)
+            x = np.where(seen, x, 0.0)
+            mask = seen.astype(float)
+            part = np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
+            total = part if total is None else total + part
+        if total is not None:
+            n, s, q, p = total
+            i, j = np.triu_indices(len(n))
+            columns = [i, j, n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], p[i, j]]
+            types = [pa.int32()] * 2 + [pa.float64()] * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"],
+            )
+
+    schema = "i int, j int, " + ", ".join(f"{s} double" for s in SUMS)
+    folded = centred.mapInArrow(fold, schema)
+    return folded.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in SUMS])
 
 
 def pearson_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(`column_a`, `column_b`, `r`) for the given pairs, many pairs per scan."""
-    parts = []
-    for start in range(0, len(pairs), PAIRS_PER_SCAN):
-        chunk = pairs[start : start + PAIRS_PER_SCAN]
-        wide = df.agg(
-            *[
-                pearson(col(a).cast("double"), col(b).cast("double")).alias(f"r{i}")
-                for i, (a, b) in enumerate(chunk)
-            ]
+    """(`column_a`, `column_b`, `r`) of the given pairs; null when a column is constant."""
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    index = {c: i for i, c in enumerate(names)}
+    spread_x, spread_y, r = (
+        F.expr(e)
+        for e in (
+            "sxx - try_divide(sx * sx, n)",
+            "syy - try_divide(sy * sy, n)",
+            "try_divide(sxy - try_divide(sx * sy, n), sqrt(vx) * sqrt(vy))",
         )
-        rows = [
-            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(chunk)
-        ]
-        parts.append(wide.select(F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionByName, parts)
+    )
+    # Rounding can leave a trace of spread in a constant column.
+    varies = F.expr("vx > sxx * 1e-14D AND vy > syy * 1e-14D")
+    scored = pair_sums(df, names).withColumns({"vx": spread_x, "vy": spread_y}).select(
+        "i", "j", F.when(varies, F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))).alias("r")
+    )
+    wanted = df.sparkSession.createDataFrame(
+        [(a, b, *sorted((index[a], index[b]))) for a, b in pairs],
+        "column_a string, column_b string, i int, j int",
+    )
+    return scored.join(F.broadcast(wanted), ["i", "j"]).select("column_a", "column_b", "r")
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

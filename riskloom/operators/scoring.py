@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.exprs import col, ratio, ratio_or_zero
 from riskloom.functions.ordering import running_sums
 from riskloom.schemas import BASELINE_MODEL
+from riskloom.session import materialize
 
 
 def confusion_matrix(
@@ -93,19 +94,48 @@ def business_metrics(cm: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
-def _per_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    return (
-        df.where(col(score).isNotNull())
-        .groupBy(col(score).cast("double").alias("threshold"))
-        .agg(F.count_if(col(label) == 1).alias("pos"), F.count_if(col(label) == 0).alias("neg"))
+def score_counts(
+    df: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    score: str = "probability",
+) -> DataFrame:
+    """Good and bad loans per (score, prediction), staged: one pass over the predictions.
+
+    The confusion matrix, the ROC curve and the AUC all follow from these counts, and
+    tied scores are one row however many loans share them.
+    """
+    counts = df.groupBy(
+        col(score).cast("double").alias("threshold"), (col(prediction) == 1).alias("said")
+    ).agg(F.count_if(col(label) == 1).alias("pos"), F.count_if(col(label) == 0).alias("neg"))
+    return materialize(counts, "score-counts")
+
+
+def confusion_of_counts(counts: DataFrame) -> DataFrame:
+    def total(c: str, said: bool, name: str):
+        picked = F.when(F.col("said") == said, F.col(c)).otherwise(0)
+        return F.coalesce(F.sum(picked), F.lit(0)).alias(name)
+
+    return counts.agg(
+        total("neg", False, "tn"), total("neg", True, "fp"), total("pos", False, "fn"),
+        total("pos", True, "tp"),
     )
 
 
+def _per_score(counts: DataFrame) -> DataFrame:
+    known = counts.where(F.col("threshold").isNotNull())
+    return known.groupBy("threshold").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def _scores_only(df: DataFrame, label: str, score: str) -> DataFrame:
+    return score_counts(df.withColumn("_said", F.lit(1)), label, "_said", score)
+
+
 def roc_points(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
     """(`threshold`, `fpr`, `tpr`) for every distinct score, highest first."""
-    counts = _per_score(df, label, score)
+    counts = _per_score(_scores_only(df, label, score))
     totals = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
-    upto = running_sums(counts, "threshold", ["pos", "neg"], descending=True)
+    upto = running_sums(counts, "threshold", ["pos", "neg"], descending=True, staged=True)
     placed = upto.withColumn("t", totals)
     return placed.select(
         "threshold",
@@ -114,18 +144,18 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "probability")
     )
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
-    """Area under the ROC curve: the chance that a bad loan scores above a good one.
-
-    Rows are folded to counts per score first, so tied scores cost nothing, then
-    summed range by range.
-    """
-    upto = running_sums(_per_score(df, label, score), "threshold", ["neg"])
+def auc_of_counts(counts: DataFrame) -> DataFrame:
+    """Area under the ROC curve: the chance that a bad loan scores above a good one."""
+    upto = running_sums(_per_score(counts), "threshold", ["neg"], staged=True)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     beaten = F.sum(pos * (F.col("cum_neg") - neg + neg / 2))
     return upto.agg(ratio(beaten, F.sum(pos) * F.sum(neg)).alias("roc_auc"))
 
 
+def roc_auc(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
+    return auc_of_counts(_scores_only(df, label, score))
+
+
 def best_model(scores: DataFrame, stage: str = "test", with_baseline: bool = False) -> DataFrame:
     """The stage's model with the highest F2, the first name on ties."""
     rows = scores.where(F.col("Stage") == stage)
@@ -139,22 +169,14 @@ def ranked_scores(scores: DataFrame, stage: str = "test", by: str = "F2-Score")
     return rows.orderBy(F.desc(by), "Model")
 
 
-def score_row(
-    scored: DataFrame,
-    model: str,
-    stage: str,
-    label: str = "label",
-    prediction: str = "prediction",
-    score: str | None = "probability",
-) -> DataFrame:
-    """One row of the score table for predictions of one model."""
-    metrics = classification_metrics(confusion_matrix(scored, label, prediction))
-    auc = roc_auc(scored, label, score).scalar() if score else F.lit(None).cast("double")
+def score_row(counts: DataFrame, model: str, stage: str) -> DataFrame:
+    """One row of the score table from the `score_counts` of one model's predictions."""
+    metrics = classification_metrics(confusion_of_counts(counts))
     return metrics.select(
         F.lit(model).alias("Model"),
         F.lit(stage).alias("Stage"),
         F.col("accuracy").alias("Accuracy"),
-        auc.alias("ROC-AUC"),
+        auc_of_counts(counts).scalar().alias("ROC-AUC"),
         F.col("precision").alias("Precision"),
         F.col("recall").alias("Recall"),
         F.col("f2").alias("F2-Score"),

@@ -263,10 +263,10 @@ def random_search_tune(
 
 
 def evaluate(fitted: Fitted, rows: DataFrame, stage: str) -> tuple[DataFrame, DataFrame]:
-    """The model's score row for one stage, and its staged predictions."""
+    """The model's score row for one stage, and the staged counts behind it."""
     scored = fitted.predict(rows).select(LABEL, "prediction", "probability")
-    staged = materialize(scored, "scored")
-    return scoring.score_row(staged, fitted.name, stage), staged
+    counts = scoring.score_counts(scored, LABEL)
+    return scoring.score_row(counts, fitted.name, stage), counts
 
 
 def train_and_compare(

@@ -24,6 +24,10 @@ def get_session(cpus: int | str = "*", app: str = "riskloom") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # Wide tables generate many large classes: keep them, and skip the stack
+        # capture that makes every Column call cost milliseconds.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
