@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskloom.functions.exprs import null_cells
-from riskloom.session import materialize
+from riskloom.session import sibling_session, stage
+from riskloom.sources.readers import read_table
 
 AUDIT_SCHEMA = (
     "step_no int, step string, rows_before bigint, rows_after bigint, rows_changed bigint, "
@@ -28,8 +30,10 @@ class StepPlan:
     """A chain of `DataFrame -> DataFrame` steps.
 
     Row and null counts ride along with the data (one `Observation` per step
-    boundary), so auditing adds no pass over it. `execute` stages the result once;
-    the audit is complete after that single write.
+    boundary), so auditing adds no pass over it. The steps run on a staged copy of the
+    input, or on a table on disk, in a sibling session: a session that has observed
+    anything can no longer be shipped with the MLlib models that refer to it. The
+    audit is complete when the result has been staged.
     """
 
     def __init__(self, name: str = "steps") -> None:
@@ -43,12 +47,11 @@ class StepPlan:
 
     def build(self, df: DataFrame) -> tuple[DataFrame, list[Observation]]:
         """The lazy chain and its boundary observations; a failing step is audited and raised."""
-        watched, marks = _watch(df, 0), []
-        current, mark = watched
-        marks.append(mark)
+        current, mark = _watch(df)
+        marks = [mark]
         for i, step in enumerate(self.steps):
             try:
-                current, mark = _watch(current.transform(step.function, **step.options), i + 1)
+                current, mark = _watch(current.transform(step.function, **step.options))
             except Exception as error:
                 self._record(marks, failed=(i, str(error)))
                 raise
@@ -56,15 +59,23 @@ class StepPlan:
         return current, marks
 
     def execute(self, df: DataFrame) -> DataFrame:
+        """Run the steps on `df`; the result is a staged table of its session."""
+        return self.execute_table(df.sparkSession, stage(df, "steps-in"), df.schema)
+
+    def execute_table(
+        self, spark: SparkSession, path: str, schema: StructType | None = None
+    ) -> DataFrame:
+        """Run the steps on a table on disk."""
         self.audit = []
-        planned, marks = self.build(df)
+        planned, marks = self.build(read_table(sibling_session(spark), path, schema))
         try:
-            result = materialize(planned, "steps")
+            result = stage(planned, "steps-out")
         except Exception as error:
-            self.audit = [(len(self.steps), "write", None, None, None, None, None, "failed", str(error))]
+            gap = (None,) * 5
+            self.audit = [(len(self.steps), "write", *gap, "failed", str(error))]
             raise
         self._record(marks)
-        return result
+        return spark.read.schema(planned.schema).parquet(result)
 
     def _record(self, marks: Sequence[Observation], failed: tuple[int, str] | None = None) -> None:
         if failed is not None:
@@ -90,7 +101,7 @@ class StepPlan:
         return spark.createDataFrame(self.audit, AUDIT_SCHEMA)
 
 
-def _watch(df: DataFrame, number: int) -> tuple[DataFrame, Observation]:
+def _watch(df: DataFrame) -> tuple[DataFrame, Observation]:
     mark = Observation()
     nulls = F.coalesce(F.sum(null_cells(df.columns)), F.lit(0)).cast("bigint")
     return df.observe(mark, F.count(F.lit(1)).alias("n"), nulls.alias("nulls")), mark

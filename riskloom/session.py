@@ -50,16 +50,29 @@ def staging_dir(spark: SparkSession) -> str:
     return folder
 
 
+def stage(df: DataFrame, tag: str = "stage") -> str:
+    """Write `df` as Parquet in the staging folder; the path."""
+    path = f"{staging_dir(df.sparkSession).rstrip('/')}/riskloom/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
-    """Write `df` once as Parquet in the staging folder and read it back.
+    """Write `df` once and read it back.
 
-    Cuts the lineage, survives lost executors, and lets every later pass read
-    only the columns it needs.
+    Cuts the lineage, survives lost executors, and lets every later pass read only
+    the columns it needs.
     """
-    spark = df.sparkSession
-    path = f"{staging_dir(spark).rstrip('/')}/riskloom/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(stage(df, tag))
+
+
+def sibling_session(spark: SparkSession) -> SparkSession:
+    """A second session of the same application, with the same settings."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if other.conf.isModifiable(key) and other.conf.get(key, None) != value:
+            other.conf.set(key, value)
+    return other
 
 
 def bounded_rows(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> list[Row] | None:

@@ -52,7 +52,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
                 )
                 reader = reader.schema(schema)
             return reader.csv(path)
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as error:
         if _missing_path(error):
             raise FileNotFoundError(path) from error
