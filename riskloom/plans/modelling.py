@@ -245,7 +245,8 @@ def random_search_tune(
         return fit(model, matrix, features, n), {}, None
     sampled = sampled_settings(points, n_iter)
     judge = MulticlassClassificationEvaluator(
-        metricName="fMeasureByLabel", metricLabel=1.0, beta=2.0, labelCol=LABEL
+        metricName="fMeasureByLabel", metricLabel=1.0, beta=2.0, labelCol=LABEL,
+        probabilityCol="not_used",  # the baseline's and the stumps' is a plain number
     )
     stage = Pipeline(stages=[])
     candidates = [
