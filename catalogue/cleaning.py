@@ -11,6 +11,7 @@ from riskloom.functions.exprs import col
 from riskloom.operators import cleaning as C
 from riskloom.operators import encoding as E
 from riskloom.operators import labels as L
+from riskloom.session import materialize
 
 TEXT = ["id", "term", "sub_grade", "emp_title", "emp_length", "home_ownership", "loan_status"]
 
@@ -291,7 +292,7 @@ CLIP = ["loan_amnt", "annual_inc", "revol_util", "installment"]
     ),
 )
 def clip_outliers(spark, sf):
-    return C.clip_outliers(V.loans(spark, sf, "id", *CLIP))
+    return C.clip_outliers(materialize(V.loans(spark, sf, "id", *CLIP)))
 
 
 @register(

@@ -6,6 +6,7 @@ from catalogue import views as V
 from catalogue.registry import register
 from catalogue.sql import query, stacked
 from riskloom.operators import quality
+from riskloom.session import materialize
 
 NUM = ["loan_amnt", "annual_inc", "int_rate", "revol_util", "dti", "avg_cur_bal", "open_acc"]
 REQUIRED = ["id", "loan_amnt", "term", "int_rate", "annual_inc", "issue_d", "loan_status", "dti",
@@ -56,7 +57,7 @@ def rate_range(spark, sf):
 
 @register("E3_iqr_range", query(_status(IQR)))
 def iqr_range(spark, sf):
-    rows = V.loans(spark, sf, *NUM)
+    rows = materialize(V.loans(spark, sf, *NUM))
     return quality.check(rows, quality.iqr_range(rows))
 
 
@@ -98,7 +99,7 @@ SUITE = "\nUNION ALL\n".join([
 
 
 def _suite_rows(spark, sf):
-    return V.loans(spark, sf, "id", *NUM, "term", "loan_status")
+    return materialize(V.loans(spark, sf, "id", *NUM, "term", "loan_status"))
 
 
 @register("E8_run_suite", query(_status(SUITE)))

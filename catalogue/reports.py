@@ -13,6 +13,7 @@ from catalogue.tables import rounded
 from riskloom.functions.exprs import col
 from riskloom.operators import correlation, distribution, encoding, grouping, profiling
 from riskloom.operators.labels import filter_loan_status, known_target
+from riskloom.session import materialize
 
 NUM = ["loan_amnt", "int_rate", "revol_util", "annual_inc", "total_pymnt", "fico_range_low",
        "open_acc", "installment", "dti"]
@@ -142,7 +143,7 @@ def target_distribution(spark, sf):
         NUM)),
 )
 def describe_numeric(spark, sf):
-    table = distribution.describe_numeric(V.loans(spark, sf, *NUM))
+    table = distribution.describe_numeric(materialize(V.loans(spark, sf, *NUM)))
     return rounded(rounded(table, 6, "mean"), 4, "std")
 
 
@@ -245,9 +246,8 @@ def histogram(spark, sf):
              WHERE target_default IS NOT NULL GROUP BY 1, 2, 3, 4"""),
 )
 def boxplot_stats(spark, sf):
-    return distribution.boxplot_stats(
-        V.labelled(spark, sf, "installment"), "installment", "target_default"
-    )
+    rows = materialize(V.labelled(spark, sf, "installment"))
+    return distribution.boxplot_stats(rows, "installment", "target_default")
 
 
 @register(
@@ -404,9 +404,18 @@ def profile_table(spark, sf):
     return profiling.profile_table(V.loans(spark, sf, *MISSING))
 
 
-@register("A24_column_types")
+TYPED = {"id": "bigint", "loan_amnt": "double", "open_acc": "double", "emp_length": "string",
+         "loan_status": "string"}
+
+
+@register(
+    "A24_column_types",
+    query("\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS "column", '{t}' AS dtype, count(*) FILTER ({c} IS NULL) AS n_nulls,
+            count({c}) AS n_values FROM loans""" for c, t in TYPED.items())),
+)
 def column_types(spark, sf):
-    return profiling.column_types(V.loans(spark, sf))
+    return profiling.column_types(V.loans(spark, sf, *TYPED))
 
 
 @register(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from riskloom.functions.exprs import (
 )
 from riskloom.functions.ordering import carry_values
 from riskloom.functions.quantiles import exact_quantiles
-from riskloom.session import broadcastable
+from riskloom.session import BROADCAST_ROWS, bounded_rows, broadcastable
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -153,14 +154,36 @@ def handle_missing_values(
 
 
 def drop_duplicates_keep_first(
-    df: DataFrame, key: Sequence[str], order: Sequence[str] = ()
+    df: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str] = (),
+    max_repeated: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The first row per key in the order of `order`, then of all other columns.
 
-    A minimum over whole rows, so copies of a key collapse before the shuffle and a
-    key that holds a large share of the table is no burden to one task.
+    Only the keys are counted and exchanged at first. When few keys repeat, all other
+    rows stay where they are and only the repeated ones are reduced; when many do, all
+    rows are.
     """
-    lead = [*S.present(df, order)]
+    repeated = df.groupBy(*[col(k) for k in key]).count().where("count > 1").drop("count")
+    rows = bounded_rows(repeated, max_repeated)
+    if rows is None:
+        return _first_per_key(df, key, order)
+    if not rows:
+        return df
+    keys = df.sparkSession.createDataFrame(rows, repeated.schema)
+    keys = keys.toDF(*[f"_key{i}" for i in range(len(key))])
+    same = reduce(
+        lambda a, b: a & b, [col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(key)]
+    )
+    single = df.join(F.broadcast(keys), same, "left_anti")
+    copies = df.join(F.broadcast(keys), same, "left_semi")
+    return single.unionByName(_first_per_key(copies, key, order))
+
+
+def _first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """A minimum over whole rows: copies of a hot key collapse before the shuffle."""
+    lead = S.present(df, order)
     rest = [c for c in df.columns if c not in lead and c not in key]
     row = F.struct(*[col(c) for c in [*lead, *rest]])
     return (

@@ -128,6 +128,8 @@ def kde(
     grid inside each task, and only `points` sums per class are exchanged. `bins`
     rounds the values to that many cells of the range first, for a fast picture.
     """
+    if by:
+        group_sizes(df, by)  # refuses a column that is not a class
     rows = df.select(
         (col(by).cast("string") if by else F.lit("all")).alias("group"),
         col(column).cast("double").alias("v"),

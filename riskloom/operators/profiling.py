@@ -135,5 +135,7 @@ def profile_table(df: DataFrame) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    rows = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "column string, dtype string")
+    """Per column: its type, nulls and present values."""
+    found = per_column(df, df.columns, {"n_nulls": lambda c: F.count_if(c.isNull()), "n_values": F.count})
+    types = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
+    return found.select("column", types[F.col("column")].alias("dtype"), "n_nulls", "n_values")

@@ -75,13 +75,21 @@ def test_duplicates(make):
     assert C.remove_duplicates(df.drop("id")).count() == 3
 
 
-def test_duplicates_of_a_hot_key_collapse_before_the_shuffle(spark):
-    df = spark.range(3000).selectExpr("if(id % 3 = 0, -1, id) AS id", "id AS v")
-    out = C.drop_duplicates_keep_first(df, ["id"], ["v"])
-    assert out.count() == 2001
-    assert out.where("id = -1").first()["v"] == 0
+@pytest.mark.parametrize("max_repeated", [0, 100])
+def test_duplicates_of_a_hot_key(spark, max_repeated):
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, -1, if(id = 4, NULL, if(id = 5, NULL, id))) AS id", "id AS v",
+                                      "cast(NULL AS string) AS gap")
+    out = C.drop_duplicates_keep_first(df, ["id"], ["v"], max_repeated)
+    assert out.count() == 2000
+    assert values(out.where("id = -1"), "v") == [0] and values(out.where("id IS NULL"), "v") == [4]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "Window" not in plan
+    assert ("BroadcastHashJoin" in plan) == (max_repeated > 0)
+
+
+def test_unique_rows_are_not_shuffled(spark):
+    df = spark.range(100)
+    assert C.drop_duplicates_keep_first(df, ["id"]) is df
 
 
 def test_outliers(make):

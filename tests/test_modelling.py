@@ -223,3 +223,19 @@ def test_training_tables_end_to_end(spark, tmp_path):
     assert saved.count() == n["train"] and "id" not in saved.columns
     extent = saved.agg(F.min("int_rate"), F.max("int_rate")).first()
     assert tuple(extent) == (0.0, 1.0)
+
+
+def test_every_report_of_the_exploration_runs(spark):
+    from catalogue import views as V
+    from riskloom.plans.reports import explore
+    from riskloom.session import materialize
+
+    names = ["id", "issue_d", "loan_amnt", "dti", "annual_inc", "fico_range_high", "sub_grade", "emp_length",
+             "purpose", "term", "loan_status"]
+    reports = explore(materialize(V.loans(spark, "/root/testdata/sf0.001", *names)))
+    assert len(reports) > 40
+    for name in ("profile", "target", "histogram dti", "boxplot by outcome dti", "rate by credit score band",
+                 "rate by employment years", "class means log income", "monthly trend", "top values term",
+                 "best and worst sub-grade", "class means dti, 99 %"):
+        assert reports[name]().count() > 0, name
+    assert explore(V.loans(spark, "/root/testdata/sf0.001", "dti")).keys().isdisjoint({"target", "categories"})
