@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.exprs import col
+from riskloom.functions.exprs import col, long_values
 
 # Above this many values a column is narrowed to a short interval before it is ranked.
 RANK_LIMIT = 1_000_000
@@ -25,18 +25,21 @@ def exact_quantiles(
     """Linearly interpolated quantiles of each expression, nulls skipped.
 
     Columns of at most `rank_limit` values are answered by one `percentile`
-    aggregate. For larger ones see `_order_statistics`. Only interval ends,
-    counts and the answers reach the driver.
+    aggregate, each by its own reducer. For larger ones see `_order_statistics`.
+    Only interval ends, counts and the answers reach the driver.
     """
     base = df.select(*[e.cast("double").alias(a) for a, e in exprs.items()])
     sizes = base.agg(*[F.count(col(a)).alias(a) for a in exprs]).first().asDict()
     out: dict[str, list[float | None]] = {a: [None] * len(probs) for a in exprs}
     small = [a for a in exprs if 0 < sizes[a] <= rank_limit]
     if small:
-        row = base.agg(
-            *[F.percentile(col(a), F.array(*map(F.lit, probs))).alias(a) for a in small]
-        ).first()
-        out.update({a: list(row[a]) for a in small})
+        found = (
+            long_values(base, small)
+            .where(F.col("value").isNotNull())
+            .groupBy("column")
+            .agg(F.percentile("value", F.array(*map(F.lit, probs))).alias("at"))
+        )
+        out.update({r["column"]: list(r["at"]) for r in found.collect()})
     large = [a for a in exprs if sizes[a] > rank_limit]
     if large:
         places = {(a, p): p * (sizes[a] - 1) for a in large for p in probs}
