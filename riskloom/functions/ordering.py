@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +14,7 @@ from riskloom.session import bounded_rows, broadcastable, materialize
 
 RANGE_BUCKETS = 512
 SINGLE_WINDOW_ROWS = 200_000  # one task may order this many reduced rows
-HASH_PREFIX = 3  # hex digits: 4096 equal ranges of the md5 order
+HASH_PREFIX = 3  # hex digits per round: 4096 equal ranges of the md5 order
 
 
 def with_range_bucket(df: DataFrame, key: str, buckets: int = RANGE_BUCKETS) -> DataFrame:
@@ -129,47 +130,79 @@ def hash_key(seed: int, *keys: Column) -> Column:
 
 
 def hash_cuts(
-    df: DataFrame, hash_col: str, ranks: dict, by: Column | None = None
+    df: DataFrame,
+    hash_col: str,
+    ranks: dict,
+    by: Column | None = None,
+    single_rows: int = SINGLE_WINDOW_ROWS,
 ) -> dict[tuple, str | None]:
     """The hash at each wanted 1-based rank, per group: {(group, rank): hash}.
 
-    `ranks` maps a group value to its ranks. A count per hash prefix finds the
-    prefix holding the rank; only that prefix's rows are ordered. The sample is
-    then the plain filter `hash <= cut`, and the table itself is never shuffled.
+    `ranks` maps a group value to its ranks. Counts per leading digits of the hash
+    (4096 at a time, combined before the shuffle) find the digits that hold a rank;
+    the search goes on below them until few rows are left, and only these are
+    ordered. The sample is then the plain filter `hash <= cut`, and the table itself
+    is never shuffled.
     """
     group = by if by is not None else F.lit(0)
     rows = df.select(group.alias("g"), F.col(hash_col).alias("h"))
-    prefix = F.substring("h", 1, HASH_PREFIX)
-    per_prefix = rows.groupBy("g", prefix.alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("g").orderBy("p"))
-    ladder = per_prefix.withColumn("upto", upto)
-    wanted = [(g, r) for g, rs in ranks.items() for r in rs if r > 0]
+    cuts = {(g, r): None for g, rs in ranks.items() for r in rs}
+    wanted = [w for w in cuts if w[1] > 0]
     if not wanted:
-        return {(g, r): None for g, rs in ranks.items() for r in rs}
-    picks = []
-    for i, (g, r) in enumerate(wanted):
-        here = F.col("g").eqNullSafe(F.lit(g)) & (F.col("upto") >= r)
-        picks.append(F.min(F.when(here, F.struct("p", F.col("upto") - F.col("n")))).alias(f"c{i}"))
-    places = ladder.agg(*picks).first()
-    near = [
-        F.when(
-            F.col("g").eqNullSafe(F.lit(g)) & (prefix == places[f"c{i}"][0]),
-            F.struct(F.lit(i).alias("k"), F.col("h")),
-        )
-        for i, (g, r) in enumerate(wanted)
+        return cuts
+    spans = {w: ("", w[1], None) for w in wanted}
+    width = 0
+    while any(n is None or n > single_rows for _, _, n in spans.values()) and width < 30:
+        spans = _narrowed(rows, spans, width)
+        width += HASH_PREFIX
+    cells = [
+        F.when(_held(w[0], spans[w][0]), F.struct(F.lit(i).alias("k"), F.col("h")))
+        for i, w in enumerate(wanted)
     ]
-    lines = rows.select(F.explode(F.array_compact(F.array(*near))).alias("c")).select("c.k", "c.h")
+    lines = rows.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).select("c.k", "c.h")
     ranked = lines.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("h")))
-    offsets = [r - places[f"c{i}"][1] for i, (g, r) in enumerate(wanted)]
     found = ranked.agg(
         *[
-            F.min(F.when((F.col("k") == i) & (F.col("r") == off), F.col("h"))).alias(f"h{i}")
-            for i, off in enumerate(offsets)
+            F.min(F.when((F.col("k") == i) & (F.col("r") == spans[w][1]), F.col("h"))).alias(f"h{i}")
+            for i, w in enumerate(wanted)
         ]
     ).first()
-    cuts = {(g, r): None for g, rs in ranks.items() for r in rs}
-    cuts.update({w: found[f"h{i}"] for i, w in enumerate(wanted)})
-    return cuts
+    return cuts | {w: found[f"h{i}"] for i, w in enumerate(wanted)}
+
+
+def _held(group, prefix: str) -> Column:
+    return F.col("g").eqNullSafe(F.lit(group)) & F.col("h").startswith(prefix)
+
+
+def _narrowed(rows: DataFrame, spans: dict, width: int) -> dict:
+    """Each span's next digits, the rank left among them, and how many rows they hold."""
+    if width:
+        places = dict.fromkeys((w[0], prefix) for w, (prefix, _, _) in spans.items())
+        rows = rows.where(reduce(lambda a, b: a | b, [_held(g, p) for g, p in places]))
+    counts = rows.groupBy("g", F.substring("h", 1, width + HASH_PREFIX).alias("p")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    parent = F.substring("p", 1, width)
+    ladder = counts.withColumn(
+        "upto", F.sum("n").over(Window.partitionBy("g", parent).orderBy("p"))
+    )
+    picks = [
+        F.min(
+            F.when(
+                F.col("g").eqNullSafe(F.lit(w[0])) & (parent == prefix) & (F.col("upto") >= rank),
+                F.struct("p", (F.col("upto") - F.col("n")).alias("before"), "n"),
+            )
+        ).alias(f"c{i}")
+        for i, (w, (prefix, rank, _)) in enumerate(spans.items())
+    ]
+    row = ladder.agg(*picks).first()
+    out = {}
+    for i, (w, (_, rank, _)) in enumerate(spans.items()):
+        if row[f"c{i}"] is None:
+            raise ValueError(f"group {w[0]!r} has fewer than {w[1]} rows")
+        p, before, n = row[f"c{i}"]
+        out[w] = (p, rank - before, n)
+    return out
 
 
 def group_sizes(df: DataFrame, by: str, max_groups: int = 1000) -> dict:

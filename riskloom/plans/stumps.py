@@ -16,11 +16,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasSeed, HasWeightCol
 from pyspark.sql import functions as F
 
-from riskloom.functions.exprs import col
-
-
-def _sql_name(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+from riskloom.functions.exprs import col, quoted
 
 
 def tree_sql(node, names: list[str]) -> str:
@@ -28,11 +24,19 @@ def tree_sql(node, names: list[str]) -> str:
     if node.subtreeDepth() == 0:
         return repr(float(node.prediction()))
     split = node.split()
-    test = f"{_sql_name(names[split.featureIndex()])} <= {float(split.threshold())!r}D"
+    test = f"{quoted(names[split.featureIndex()])} <= {float(split.threshold())!r}D"
     return f"CASE WHEN {test} THEN {tree_sql(node.leftChild(), names)} " \
            f"ELSE {tree_sql(node.rightChild(), names)} END"
 
 
+def sum_sql(terms: list[str]) -> str:
+    """The sum as a balanced tree, so that hundreds of terms nest only a few levels deep."""
+    if len(terms) == 1:
+        return terms[0]
+    half = len(terms) // 2
+    return f"({sum_sql(terms[:half])} + {sum_sql(terms[half:])})"
+
+
 def scored_by(prediction: str, probability: str) -> PipelineModel:
     return PipelineModel(
         [
@@ -47,9 +51,10 @@ def scored_by(prediction: str, probability: str) -> PipelineModel:
 class BoostedStumps(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol, HasSeed):
     """SAMME boosting of shallow decision trees for two classes.
 
-    The boosting weight of a row is a closed expression of the trees so far, so a
-    round is one weighted tree fit and one error sum over the same stored table; no
-    weight column is written and no lineage grows from round to round.
+    The boosting weight of a row is a closed expression of the trees so far (the
+    exponential of the votes that missed it), so a round is one weighted tree fit and
+    one error sum over the same stored table; no weight column is written and no
+    lineage grows from round to round.
     """
 
     numRounds = Param(Params._dummy(), "numRounds", "boosting rounds", TypeConverters.toInt)
@@ -71,7 +76,6 @@ class BoostedStumps(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol, HasSee
 
     def _fit(self, dataset):
         names = self.getOrDefault(self.inputNames)
-        label = col(self.getLabelCol())
         balance = col(self.getWeightCol()) if self.isSet(self.weightCol) else F.lit(1.0)
         grow = DecisionTreeClassifier(
             featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), weightCol="_w",
@@ -79,27 +83,32 @@ class BoostedStumps(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol, HasSee
             minInstancesPerNode=self.getOrDefault(self.minInstancesPerNode),
         )
         rate = self.getOrDefault(self.stepSize)
+        target = quoted(self.getLabelCol())
         trees: list[tuple[float, str]] = []
-        scale = 1.0 / max(dataset.count(), 1)
-        boost = F.lit(scale)
+        misses: list[str] = []
+        log_total = math.log(max(dataset.count(), 1))
         for _ in range(self.getOrDefault(self.numRounds)):
-            weighted = dataset.withColumn("_w", boost * balance)
-            tree = tree_sql(grow.fit(weighted)._call_java("rootNode"), names)
-            missed = (F.expr(tree) != label).cast("double")
-            total, wrong = dataset.agg(F.sum(boost), F.sum(boost * missed)).first()
+            missed_so_far = sum_sql(misses) if misses else "0D"
+            boost = F.expr(f"exp({missed_so_far} - {log_total!r}D)")
+            tree = tree_sql(
+                grow.fit(dataset.withColumn("_w", boost * balance))._call_java("rootNode"), names
+            )
+            missed = f"CAST(({tree}) <> {target} AS DOUBLE)"
+            total, wrong = dataset.agg(F.sum(boost), F.sum(boost * F.expr(missed))).first()
             error = wrong / total
             if error <= 0:
-                trees = trees + [(1.0, tree)]
+                trees.append((1.0, tree))
                 break
             if error >= 0.5:
                 break
             alpha = rate * math.log((1 - error) / error)
             trees.append((alpha, tree))
-            boost = boost / total * F.exp(F.lit(alpha) * missed)
+            misses.append(f"{alpha!r}D * {missed}")
+            log_total += math.log(total)
         if not trees:
             return scored_by("0", "0.5")
-        votes = " + ".join(f"{a!r}D * (2 * ({t}) - 1)" for a, t in trees)
-        margin = f"(({votes}) / {sum(a for a, _ in trees)!r}D)"
+        votes = sum_sql([f"{a!r}D * (2 * ({t}) - 1)" for a, t in trees])
+        margin = f"({votes} / {sum(a for a, _ in trees)!r}D)"
         chance = f"(1 / (1 + exp(-{margin})))"
         return scored_by(f"CASE WHEN {margin} > 0 THEN 1 ELSE 0 END", chance)
 

@@ -64,13 +64,16 @@ def test_carried_values_equal_brute_force(spark, single_rows):
     assert got.v.tolist() == want.tolist() and got.e.isna().all()
 
 
-def test_hash_cuts_find_the_exact_rank(spark):
+@pytest.mark.parametrize("single_rows", [0, 1, 10_000])
+def test_hash_cuts_find_the_exact_rank(spark, single_rows):
     df = spark.range(5000).withColumn("g", F.col("id") % 2).withColumn("h", hash_key(42, F.col("id")))
     pdf = df.toPandas()
-    cuts = hash_cuts(df, "h", {0: [1, 700], 1: [2500, 0]}, col("g"))
+    cuts = hash_cuts(df, "h", {0: [1, 700], 1: [2500, 0]}, col("g"), single_rows)
     for (g, r), cut in cuts.items():
         ordered = sorted(pdf[pdf.g == g].h)
         assert cut == (ordered[r - 1] if r else None)
+    with pytest.raises(ValueError, match="fewer"):
+        hash_cuts(df, "h", {0: [2501]}, col("g"))
 
 
 def test_broadcast_only_behind_a_size_check(spark):
