@@ -18,8 +18,6 @@ from riskloom.session import materialize
 
 # Most hosts whose winning paths are broadcast (a row is under 1 kB); beyond, they are joined by shuffle.
 BROADCAST_HOSTS = 20_000
-# Containers of a page that take part in its host's vote.
-VOTES_PER_PAGE = 4
 # A page keeps the host's path only if it yields this share of the page's own best container.
 AGREEMENT = 0.4
 _PATH_STEPS = 8
@@ -148,7 +146,7 @@ class Page:
             tag = (token[2] or token[5] or "").lower()
             if not tag:
                 continue
-            if tag not in INLINE:
+            if tag not in INLINE and tag not in RAW:
                 self.block += 1
             if token[1] or token[4]:
                 for depth in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
@@ -161,6 +159,8 @@ class Page:
                 at = end.end() if end else size
                 continue
             if tag in VOID:
+                if tag == "br":
+                    self.texts.append((stack[-1], self.block, " ", links > 0))
                 continue
             if tag not in INLINE:
                 # A block ends an open paragraph; some elements end their like.
@@ -233,13 +233,11 @@ class Page:
         return "\n".join(line for line in lines if line)
 
 
-def votes(source: str) -> list[tuple[str, int]]:
-    """Generalised paths of a page's best containers, and their scores."""
+def vote(source: str) -> tuple[str, int] | None:
+    """Generalised path and score of a page's best container; None for a page without clean text."""
     page = Page(source)
-    best: dict[str, int] = {}
-    for element, score, _ in page.scores()[:VOTES_PER_PAGE]:
-        best.setdefault(page.path(element), score)
-    return list(best.items())
+    ranked = page.scores()
+    return (page.path(ranked[0][0]), ranked[0][1]) if ranked else None
 
 
 def main_text(source: str, path: str | None) -> str:
@@ -263,31 +261,35 @@ def host(url_col: str):
 
 
 def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """`host`, `path`: the container path with the largest sum of scores over all pages of the host.
+    """`host`, `path`: the container path that most pages of the host vote for.
 
-    Votes are added up per task before they are exchanged, so a host with a third of
-    the pages sends no more than any other. Ties go to the longer path, then to the later in order.
+    A page votes for its best container. Votes are added up per task before they are
+    exchanged, so a host with a third of the pages sends no more than any other. Ties go
+    to the larger sum of scores, the longer path, the later in order.
     """
     rows = pages.select(host(url_col).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sums: dict[tuple[str, str], int] = defaultdict(int)
+            sums: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0])
             for where, source in zip(batch.column(0), batch.column(1)):
-                for path, score in votes(source.as_py()):
-                    sums[where.as_py(), path] += score
+                if found := vote(source.as_py()):
+                    counted = sums[where.as_py(), found[0]]
+                    counted[0] += 1
+                    counted[1] += found[1]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([k[0] for k in sums], pa.string()),
                     pa.array([k[1] for k in sums], pa.string()),
-                    pa.array(list(sums.values()), pa.int64()),
+                    pa.array([v[0] for v in sums.values()], pa.int64()),
+                    pa.array([v[1] for v in sums.values()], pa.int64()),
                 ],
-                names=["host", "path", "score"],
+                names=["host", "path", "votes", "score"],
             )
 
-    summed = rows.mapInArrow(run, "host string, path string, score long").groupBy("host", "path")
-    ranked = summed.agg(F.sum("score").alias("score"))
-    best = F.max(F.struct("score", F.length("path").alias("n"), "path")).alias("best")
+    counted = rows.mapInArrow(run, "host string, path string, votes long, score long").groupBy("host", "path")
+    ranked = counted.agg(F.sum("votes").alias("votes"), F.sum("score").alias("score"))
+    best = F.max(F.struct("votes", "score", F.length("path").alias("n"), "path")).alias("best")
     return ranked.groupBy("host").agg(best).select("host", F.col("best.path").alias("path"))
 
 

@@ -28,8 +28,8 @@ THRESHOLD = 0.3
 
 
 def term_weights(text: str) -> np.ndarray:
-    """log(1 + count) of each hashed trigram of the text's bytes."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    """log(1 + count) of each hashed trigram of the text's bytes, a line end before and after; zeros for no text."""
+    data = np.frombuffer(text and b"\n%b\n" % text.encode("utf-8", "surrogatepass") or b"", np.uint8)
     counts = np.zeros(COLUMNS, np.int64)
     # Parts overlap by two bytes, so no trigram is lost or counted twice.
     for at in range(0, max(len(data) - 2, 0), 1 << 20):

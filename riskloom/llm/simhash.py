@@ -196,16 +196,16 @@ def bit_chance(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def wide_links(fps: DataFrame, count: int, words: int, similarity: float, recall: float = 0.98) -> DataFrame:
+def wide_links(fps: DataFrame, count: int, words: int, similarity: float, recall: float = 0.999) -> DataFrame:
     """Links `a`, `b` (uids) between wide fingerprints (`uid`, `fp`) of about this similarity and above.
 
     The references are the fingerprints with one bit set: two rows that are equally far
     from such a reference, and from zero, agree in its bit. With more bits to differ, a
     bound over all references at once discards too little, so rows meet in cells of equal
     distances to random subsets of the references: of so many that unlike rows seldom meet
-    there, in so many subsets that two rows a little above the similarity meet in some with
-    the given chance. In each cell all rows are compared with the first and the last in
-    an order of the subset's own, not with each other, and Hamming distances are verified.
+    there, in so many subsets that two rows halfway between the similarity and 0.9 meet in some
+    with the given chance. In each cell all rows are compared with the first and the last
+    in an order of the cell's own, not with each other, and Hamming distances are verified.
     """
     total = 64 * words
     size = max(16, math.ceil(math.log2(max(count, 2))) + 2)
@@ -225,13 +225,13 @@ def wide_links(fps: DataFrame, count: int, words: int, similarity: float, recall
         for bit in drawn.choice(total, min(size, total), replace=False).tolist():
             masks[bit // 64] |= 1 << (bit % 64)
         parts = [F.get("fp", F.lit(w)).bitwiseAND(F.lit(signed(m))) for w, m in enumerate(masks) if m]
-        order = F.col("uid").bitwiseXOR(F.lit(int(drawn.integers(0, 1 << 62))))
-        cells.append(F.struct(F.xxhash64(F.lit(turn), *parts).alias("cell"), order.alias("place"), F.lit(turn).alias("turn")))
-    rows = fps.select("uid", F.explode(F.array(*cells)).alias("x")).select("uid", "x.cell", "x.place", "x.turn")
-    shared = rows.groupBy("cell").agg(F.min("place").alias("lo"), F.max("place").alias("hi")).where("lo <> hi")
-    met = rows.join(shared, "cell").withColumn("turned", F.col("uid").bitwiseXOR(F.col("place")))
-    ends = F.explode(F.array(F.col("lo").bitwiseXOR(F.col("turned")), F.col("hi").bitwiseXOR(F.col("turned")))).alias("b")
-    pairs = met.select(F.col("uid").alias("a"), ends).where("a <> b")
+        cells.append(F.xxhash64(F.lit(turn), *parts))
+    # The order inside a cell is that of the uids after an exclusive or with the cell's own name.
+    place = F.col("uid").bitwiseXOR(F.col("cell"))
+    rows = fps.select("uid", F.explode(F.array(*cells)).alias("cell"))
+    shared = rows.groupBy("cell").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi")
+    ends = F.explode(F.array(*(F.col(c).bitwiseXOR(F.col("cell")) for c in ("lo", "hi")))).alias("b")
+    pairs = rows.join(shared, "cell").select(F.col("uid").alias("a"), ends).where("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     left = fps.select(F.col("uid").alias("a"), F.col("fp").alias("fp_a"))
     right = fps.select(F.col("uid").alias("b"), F.col("fp").alias("fp_b"))

@@ -53,7 +53,7 @@ def test_top_k_with_ties_blocks_and_bad_vectors(spark, rows_of):
     draw = np.random.default_rng(3)
     vectors = [[float(x) for x in v] for v in draw.integers(-3, 4, (300, 5)) / 4]
     rows = [(i, v, 0) for i, v in enumerate(vectors)] + [(7, vectors[7], 1)]
-    bad = [(400, None, 0), (410, [1.0, None, 0, 0, 0], 0), (420, [float("nan")] * 5, 0), (430, [float("inf")] * 5, 0)]
+    bad = [(400, None, 0), (410, [1.0, None, 0.0, 0.0, 0.0], 0), (420, [float("nan")] * 5, 0), (430, [float("inf")] * 5, 0)]
     bad += [(None, vectors[0], 0), (440, [], 0)]
     df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, score int")
     wanted = brute_top([(i, np.floor(1024 * np.array(v)).astype(np.int64)) for i, v in enumerate(vectors)], 4, 10)
@@ -291,7 +291,7 @@ def test_quality_uses_texts_alone(spark, odd_docs):
     found = quality.classify(renamed, labels).collect()
     assert len(found) == odd_docs.count() and found[0].score_given == "given"
     by_id = {r.doc_id: r for r in found}
-    assert by_id[3].score == 1 and by_id[5].score == 0 and by_id[5].predicted == 0
+    assert by_id[3].score == 1 and by_id[5].score < 1e-9 and by_id[5].predicted == 0
     assert by_id[0].score == by_id[1].score == 0.5
     none = quality.classify(odd_docs, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5}
