@@ -19,7 +19,7 @@ from riskloom.session import materialize
 SEED = 42
 SHINGLE = 3
 MAX_BITS = 2
-# Hashes that are summed at a time; bounds the memory for a very long text.
+# Hashes whose bits are spread and summed at a time.
 _PART = 1 << 14
 
 # The reference fingerprints: zero, and one for each group of three neighbouring bits
@@ -37,8 +37,11 @@ def _mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED, words: int = 1) -> list[int]:
-    """SimHash of one text, 64 bits a word: a bit is set if more than half of the shingle hashes set it."""
+def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED, words: int = 1, distinct: bool = False) -> list[int]:
+    """SimHash of one text, 64 bits a word: a bit is set if more than half of the shingle hashes set it.
+
+    Repeated shingles count as often as they are there, or once if `distinct`.
+    """
     tokens = text.encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
         return [0] * words
@@ -48,14 +51,19 @@ def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED, words: int =
     starts = np.concatenate(([0], ends[:-1] + 1))
     count = len(tokens) - width + 1
     digest = xxhash.xxh64_intdigest
-    sums = np.zeros((words, 64), np.int64)
+    hashes = np.empty(count, np.uint64)
     for at in range(0, count, _PART):
         till = min(count, at + _PART)
         pairs = zip(starts[at:till].tolist(), ends[at + width - 1 : till + width - 1].tolist())
-        hashes = np.fromiter((digest(joined[s:e], seed) for s, e in pairs), np.uint64, till - at)
+        hashes[at:till] = np.fromiter((digest(joined[s:e], seed) for s, e in pairs), np.uint64, till - at)
+    if distinct:
+        hashes = np.unique(hashes)
+        count = len(hashes)
+    sums = np.zeros((words, 64), np.int64)
+    for at in range(0, count, _PART):
         for turn in range(words):
-            bits = np.unpackbits(_mixed(hashes, turn).astype(">u8").view(np.uint8)).reshape(-1, 64)
-            sums[turn] += _column_sums(bits)
+            mixed = _mixed(hashes[at : at + _PART], turn)
+            sums[turn] += _column_sums(np.unpackbits(mixed.astype(">u8").view(np.uint8)).reshape(-1, 64))
     return [int.from_bytes(np.packbits(2 * row > count).tobytes(), "big") for row in sums]
 
 
@@ -76,6 +84,7 @@ def fingerprints(
     width: int = SHINGLE,
     seed: int = SEED,
     words: int = 1,
+    distinct: bool = False,
     keyed: bool = False,
 ) -> DataFrame:
     """`id_col`, `fp` (64-bit words as signed longs) for every row; whole texts, no shuffle.
@@ -89,7 +98,7 @@ def fingerprints(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            values = [fingerprint(t.as_py(), width, seed, words) for t in batch.column(len(keep))]
+            values = [fingerprint(t.as_py(), width, seed, words, distinct) for t in batch.column(len(keep))]
             flat = pa.array(np.array(values, np.uint64).reshape(-1).view(np.int64))
             offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * words)
             yield pa.RecordBatch.from_arrays(
@@ -252,13 +261,14 @@ def keep_one(
 ) -> DataFrame:
     """The documents without near-copies: of each group one row stays, that with the smallest id.
 
-    Rows link when their wide fingerprints over `width` words are as near as those of
-    texts with this Jaccard similarity. Of rows with that id the one with the smallest
+    Rows link when their wide fingerprints over the distinct runs of `width` words are as
+    near as those of texts with this Jaccard similarity. Of rows with that id the one with the smallest
     text hash stays, and one of rows that repeat both. Rows with a null id stay only
     where a group has nothing else. Texts without words are copies of each other. All
     columns of `docs` are kept; an empty table gives an empty one.
     """
-    rows = materialize(fingerprints(docs, id_col, text_col, width, seed, words, keyed=True), "fingerprints")
+    rows = fingerprints(docs, id_col, text_col, width, seed, words, distinct=True, keyed=True)
+    rows = materialize(rows, "fingerprints")
     fps = rows.groupBy("fp").agg(F.count("*").alias("n")).withColumn("uid", F.monotonically_increasing_id())
     fps = materialize(fps.select("fp", "uid"), "distinct-fingerprints")
     linked = components(wide_links(fps, fps.count(), words, similarity))
