@@ -1,7 +1,6 @@
 """Selection, the six classifiers, tuning, comparison, importance, scoring.
 
-The fits use small settings here; the library defaults are the full ones. All read
-every resolved loan of the given tables.
+All fits use the library's own settings and read every resolved loan of the given tables.
 """
 
 from __future__ import annotations
@@ -22,20 +21,12 @@ from riskloom.operators.labels import filter_loan_status
 from riskloom.plans import bundle as B
 from riskloom.plans import loans as P
 from riskloom.plans import modelling as M
+from riskloom.plans.stumps import scored_by
 from riskloom.session import materialize, staging_dir
 from riskloom.streaming import scoring as T
 
 _PREPARED: dict = {}
-
-SMALL_SPECS = {
-    S.BASELINE_MODEL: {},
-    "Logistic Regression": {"maxIter": 15},
-    "LinearSVC": {"maxIter": 10},
-    "AdaBoost": {"numRounds": 3},
-    "Gradient Boosting": {"maxIter": 5, "maxDepth": 3},
-    "Bagging": {"numTrees": 8, "maxDepth": 5},
-}
-
+_FITTED: dict = {}
 
 def prepared(spark, sf):
     """Training tables and the matrix, staged once per session and folder."""
@@ -47,18 +38,18 @@ def prepared(spark, sf):
         tables["train_undersampled"] = materialize(tables["train_undersampled"], "train")
         tables["test"] = materialize(tables["test"], "test")
         features = M.select_features(tables["train_undersampled"])
-        matrix = M.training_matrix(tables["train_undersampled"], features, folds=3)
+        matrix = M.training_matrix(tables["train_undersampled"], features)
         _PREPARED[key] = (tables, features, matrix, matrix.count())
     return _PREPARED[key]
 
 
-def _small(name):
-    return M.spec(name, **SMALL_SPECS[name])
-
-
 def _fitted(spark, sf, name):
-    _, features, matrix, n = prepared(spark, sf)
-    return M.fit(_small(name), matrix, features, n)
+    """The named model at its default settings, fitted once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _FITTED:
+        _, features, matrix, n = prepared(spark, sf)
+        _FITTED[key] = M.fit(M.spec(name), matrix, features, n)
+    return _FITTED[key]
 
 
 def _score(spark, sf, name):
@@ -123,33 +114,70 @@ def bagged_trees(spark, sf):
 @register("M11_random_search_tune")
 def random_search_tune(spark, sf):
     _, features, matrix, n = prepared(spark, sf)
-    model = _small("Logistic Regression")
-    grid = {"C": [0.01, 0.1, 1.0], "maxIter": [5, 10]}
-    _, settings, f2 = M.random_search_tune(model, matrix, features, n, 2, grid, folds=3)
+    model = M.spec("Logistic Regression")
+    _, settings, f2 = M.random_search_tune(model, matrix, features, n, 2)
     return spark.createDataFrame(
         [(model.name, settings["C"], settings["maxIter"], float(f2))],
         "model string, c double, max_iter int, cv_f2 double",
     )
 
 
-@register("M12_evaluate")
+# A fixed scoring formula in place of a fitted model, so that scoring can be held against SQL.
+FIXED_FEATURES = ["int_rate", "total_pymnt"]
+FIXED_MARGIN = "(3D * int_rate - 0.00002D * total_pymnt - 0.6D)"
+# int_rate is scaled by its extent; total_pymnt enters as it comes; gaps are 0 after scaling.
+FIXED_SQL = """fixed AS (
+  SELECT id, loan_status AS label, (m > 0)::INTEGER AS prediction, round(1 / (1 + exp(-m)), 6) AS probability FROM (
+    SELECT id, loan_status, 3 * coalesce((int_rate - lo) / (hi - lo), 0) - 0.00002 * coalesce(total_pymnt, 0) - 0.6 AS m
+    FROM modelled, (SELECT min(int_rate) AS lo, max(int_rate) AS hi FROM modelled)))"""
+SCORED_SQL = query(
+    """SELECT id, prediction, CASE prediction WHEN 1 THEN 'Charge Off' ELSE 'Fully Paid' END AS prediction_label,
+       round(CASE prediction WHEN 1 THEN probability ELSE 1 - probability END, 6) AS probability FROM fixed""",
+    FIXED_SQL,
+)
+
+
+def _fixed_model():
+    prediction = f"CASE WHEN {FIXED_MARGIN} > 0 THEN 1 ELSE 0 END"
+    chance = f"round(1 / (1 + exp(-{FIXED_MARGIN})), 6)"
+    return M.Fitted("Fixed", scored_by(prediction, chance), "column", FIXED_FEATURES)
+
+
+def _fixed_rows(spark, sf):
+    return filter_loan_status(V.loans(spark, sf, "id", "loan_status", *FIXED_FEATURES))
+
+
+def _fixed_bundle(rows):
+    return B.make_bundle(_fixed_model(), rows)
+
+
+@register(
+    "M12_evaluate",
+    query("""SELECT 'Fixed' AS "Model", 'test' AS "Stage", round((tp + tn)::DOUBLE / (tp + tn + fp + fn), 9) AS "Accuracy",
+             (SELECT round(sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)), 9) FROM (
+               SELECT pos, neg, sum(neg) OVER (ORDER BY probability) - neg AS below FROM (
+                 SELECT probability, (count(*) FILTER (label = 1))::DOUBLE AS pos,
+                 (count(*) FILTER (label = 0))::DOUBLE AS neg FROM fixed GROUP BY 1))) AS "ROC-AUC",
+             round(tp::DOUBLE / (tp + fp), 9) AS "Precision", round(tp::DOUBLE / (tp + fn), 9) AS "Recall",
+             round(5 * tp::DOUBLE / (5 * tp + 4 * fn + fp), 9) AS "F2-Score", tn, fp, fn, tp FROM (
+             SELECT count(*) FILTER (label = 0 AND prediction = 0) AS tn, count(*) FILTER (label = 0 AND prediction = 1) AS fp,
+             count(*) FILTER (label = 1 AND prediction = 0) AS fn, count(*) FILTER (label = 1 AND prediction = 1) AS tp
+             FROM fixed)""", FIXED_SQL),
+)
 def evaluate(spark, sf):
-    tables, features, _, _ = prepared(spark, sf)
-    test = M.assembled(tables["test"], features)
-    row, found = M.evaluate(_fitted(spark, sf, "Logistic Regression"), test, "test")
-    cm = scoring.confusion_of_counts(found)
-    money = scoring.business_metrics(cm, tables["business_statistics"]).select(F.struct("*"))
-    matrix = cm.select(F.struct("*"))
-    return row.withColumns({"counts": matrix.scalar(), "money": money.scalar()}).select(
-        *row.columns, "counts.*", "money.*"
-    )
+    rows = _fixed_rows(spark, sf)
+    bundle = _fixed_bundle(rows)
+    inputs = B.model_inputs(rows, bundle, ["loan_status"]).withColumnRenamed("loan_status", "label")
+    row, found = M.evaluate(bundle.fitted, inputs, "test")
+    matrix = scoring.confusion_of_counts(found).select(F.struct("*"))
+    return rounded(row.withColumn("counts", matrix.scalar()).select(*row.columns, "counts.*"), 9)
 
 
 @register("M13_train_and_compare")
 def train_and_compare(spark, sf):
     tables, _, _, _ = prepared(spark, sf)
-    specs = [_small(name) for name in SMALL_SPECS]
-    found = M.train_and_compare(tables["train_undersampled"], tables["test"], specs, folds=3)
+    ready = {s.name: _fitted(spark, sf, s.name) for s in M.MODEL_SPECS}
+    found = M.train_and_compare(tables["train_undersampled"], tables["test"], ready=ready)
     return found["scores"]
 
 
@@ -159,43 +187,38 @@ IMPORTANCE = ["int_rate", "revol_util", "annual_inc", "total_pymnt", "fico_range
 @register("M15_forest_importance")
 def forest_importance(spark, sf):
     rows = V.labelled(spark, sf, *IMPORTANCE)
-    return M.forest_importance(rows, "target_default", IMPORTANCE, trees=10, depth=5)
+    return M.forest_importance(rows, "target_default", IMPORTANCE)
 
 
 @register("M16_feature_importance")
 def feature_importance(spark, sf):
     rows = V.labelled(spark, sf, *IMPORTANCE)
-    return M.feature_importance(rows, "target_default", IMPORTANCE, trees=10, depth=5)
+    return M.feature_importance(rows, "target_default", IMPORTANCE)
 
 
-def _bundle(spark, sf):
-    tables, _, _, _ = prepared(spark, sf)
-    return B.make_bundle(_fitted(spark, sf, "Logistic Regression"), tables["train"])
-
-
-@register("M17_score_batch")
+@register("M17_score_batch", SCORED_SQL)
 def score_batch(spark, sf):
-    tables, _, _, _ = prepared(spark, sf)
-    return B.score_batch(tables["transformed"], _bundle(spark, sf))
+    rows = _fixed_rows(spark, sf)
+    return rounded(B.score_batch(rows, _fixed_bundle(rows)), 6)
 
 
 def _scratch(spark, name):
     return f"{staging_dir(spark).rstrip('/')}/riskloom/{name}-{uuid.uuid4().hex}"
 
 
-@register("S7_save_and_load_bundle")
+@register("S7_save_and_load_bundle", SCORED_SQL)
 def save_and_load_bundle(spark, sf):
-    tables, _, _, _ = prepared(spark, sf)
+    rows = _fixed_rows(spark, sf)
     path = _scratch(spark, "bundle")
-    B.save_bundle(spark, _bundle(spark, sf), path)
-    return B.score_batch(tables["transformed"], B.load_bundle(spark, path))
+    B.save_bundle(spark, _fixed_bundle(rows), path)
+    return rounded(B.score_batch(rows, B.load_bundle(spark, path)), 6)
 
 
-@register("T1_score_stream")
+@register("T1_score_stream", SCORED_SQL)
 def score_stream(spark, sf):
-    tables, _, _, _ = prepared(spark, sf)
+    rows = _fixed_rows(spark, sf)
     arriving, out = _scratch(spark, "arriving"), _scratch(spark, "scored-stream")
-    tables["transformed"].write.parquet(arriving)
-    stream = T.loan_stream(spark, arriving, tables["transformed"].schema)
-    T.score_stream(stream, _bundle(spark, sf), out, _scratch(spark, "stream-log")).awaitTermination()
-    return spark.read.parquet(out)
+    rows.write.parquet(arriving)
+    stream = T.loan_stream(spark, arriving, rows.schema)
+    T.score_stream(stream, _fixed_bundle(rows), out, _scratch(spark, "stream-log")).awaitTermination()
+    return rounded(spark.read.parquet(out), 6)

@@ -6,12 +6,16 @@ from catalogue import views as V
 from catalogue.cleaning import sql_date, sql_number, sql_text
 from catalogue.registry import register
 from catalogue.sql import columns, query
-from catalogue.tables import rounded
+from catalogue.tables import _scratch, land_indicators, rounded
 from riskloom import schemas as S
 from riskloom.operators import cleaning as C
 from riskloom.operators import joins
+from riskloom.plans import bundle as B
 from riskloom.plans import loans as P
+from riskloom.plans import modelling as M
 from riskloom.plans.steps import run_steps
+from riskloom.sources.readers import read_table
+from riskloom.sources.writers import write_table
 
 AUDIT_COLUMNS = ["id", "issue_d", "emp_title", "emp_length", "delinq_2yrs"]
 
@@ -131,7 +135,24 @@ def landed_loans(spark, sf):
 @register("M19_clean_merged_dataset",
           query("SELECT " + ", ".join(_final(c) for c in _ALL) + " FROM clipped", *_CLEANING))
 def clean_merged_dataset(spark, sf):
-    return rounded(P.clean_loans(landed_loans(spark, sf))[0], 9)
+    source, target = _scratch(spark, "merged"), _scratch(spark, "cleaned")
+    write_table(landed_loans(spark, sf), source)
+    P.clean_merged_dataset(spark, source, target)
+    return rounded(read_table(spark, target), 9)
+
+
+@register("M20_collect_to_score")
+def collect_to_score(spark, sf):
+    """From landed files without a key to scored loans: collect, clean, split, train, bundle, score."""
+    path = _scratch(spark, "landing") + ".csv"
+    write_table(V.raw_loans(spark, sf, parallel=True).drop("id"), path)
+    raw = P.collect_loans(spark, path, land_indicators(spark, sf))
+    cleaned, _ = P.clean_loans(raw)
+    tables = P.prepare_training(cleaned.drop("initial_list_status"))
+    specs = [M.spec(S.BASELINE_MODEL), M.spec("Logistic Regression")]
+    found = M.train_and_compare(tables["train_undersampled"], tables["test"], specs)
+    best = B.make_bundle(found["best"], tables["train"])
+    return B.score_batch(tables["transformed"], best)
 
 
 _HOMES = ["MORTGAGE", "OTHER", "OWN", "RENT"]

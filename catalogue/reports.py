@@ -255,18 +255,18 @@ def boxplot_stats(spark, sf):
     query("""SELECT g::VARCHAR AS "group", i::INTEGER AS point, round(x, 6) AS x, round(sum(w * exp(-0.5::DOUBLE * ((x - v) / h) ** 2))
              / (n * h * sqrt(2 * pi())), 9) AS density FROM (
                SELECT g, v, w, n, h, i, lo - (hi - lo) / 2 + i * (2 * (hi - lo) / 999) AS x FROM (
-                 SELECT target_default AS g, fico_range_high AS v, count(*) AS w FROM labelled
+                 SELECT target_default AS g, loan_amnt AS v, count(*) AS w FROM labelled
                  WHERE target_default IS NOT NULL GROUP BY 1, 2)
-               JOIN (SELECT target_default AS g, count(fico_range_high) AS n, min(fico_range_high) AS lo,
-                 max(fico_range_high) AS hi,
-                 stddev_samp(fico_range_high) * count(fico_range_high) ** (-0.2::DOUBLE) AS h
+               JOIN (SELECT target_default AS g, count(loan_amnt) AS n, min(loan_amnt) AS lo,
+                 max(loan_amnt) AS hi,
+                 stddev_samp(loan_amnt) * count(loan_amnt) ** (-0.2::DOUBLE) AS h
                  FROM labelled WHERE target_default IS NOT NULL GROUP BY 1) USING (g),
                range(1000) AS r(i))
              GROUP BY g, i, x, n, h"""),
 )
 def kde(spark, sf):
-    rows = V.labelled(spark, sf, "fico_range_high")
-    found = distribution.kde(rows, "fico_range_high", by="target_default")
+    rows = V.labelled(spark, sf, "loan_amnt")
+    found = distribution.kde(rows, "loan_amnt", by="target_default")
     return rounded(rounded(found, 6, "x"), 9, "density")
 
 

@@ -150,7 +150,8 @@ def business_metrics(spark, sf):
 
 @register(
     "W7_roc_points",
-    query("""SELECT threshold, round(cn / sum(neg) OVER (), 9) AS fpr, round(cp / sum(pos) OVER (), 9) AS tpr FROM (
+    query("""SELECT 'inf'::DOUBLE AS threshold, 0::DOUBLE AS fpr, 0::DOUBLE AS tpr UNION ALL
+             SELECT threshold, round(cn / sum(neg) OVER (), 9) AS fpr, round(cp / sum(pos) OVER (), 9) AS tpr FROM (
              SELECT threshold, pos, neg, sum(pos) OVER (ORDER BY threshold DESC) AS cp,
              sum(neg) OVER (ORDER BY threshold DESC) AS cn FROM (
                SELECT probability AS threshold, (count(*) FILTER (label = 1))::DOUBLE AS pos,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -55,23 +56,43 @@ def read_observations(spark, sf):
         .groupBy(F.date_trunc("month", "l_shipdate").alias("m"))
         .agg(F.count(F.lit(1)).cast("string").alias("value"))
     )
+    path = land_series(spark, monthly.select("m", "value"))
+    return readers.read_observations(spark, path, "Shipments")
+
+
+def land_series(spark, monthly):
+    """Months and values as the one JSON document that a series arrives as; its folder."""
     item = F.struct(F.date_format("m", "yyyy-MM-dd").alias("date"), F.col("value"))
-    landed = monthly.groupBy(F.year("m").alias("y")).agg(F.collect_list(item).alias("observations"))
     path = _scratch(spark, "series")
-    landed.select("observations").write.json(path)
-    files = spark.read.schema(readers.OBSERVATIONS_SCHEMA).json(path)
-    return readers.observations_by_month(files, "Shipments")
+    monthly.agg(F.collect_list(item).alias("observations")).coalesce(1).write.json(path)
+    return path
+
+
+def land_indicators(spark, sf):
+    """{series: folder} of the three indicator series."""
+    month = F.make_date("Year", "Month", F.lit(1)).alias("m")
+    return {
+        name: land_series(spark, series.select(month, col(name).cast("string").alias("value")))
+        for name, series in zip(V.SERIES, V.indicators(spark, sf), strict=True)
+    }
 
 
 @register(
     "S5_read_indicator_set",
-    query("""SELECT c.* FROM cpi c, (SELECT date_trunc('month', min(issue_d)) AS lo,
-             date_trunc('month', max(issue_d)) AS hi FROM loans) e
+    query("""SELECT s.* FROM (SELECT 'CPI' AS series, "Year", "Month", "CPI"::DOUBLE AS value FROM cpi
+             UNION ALL SELECT 'Unemployment Rate', "Year", "Month", "Unemployment Rate" FROM unemployment
+             UNION ALL SELECT 'Federal Funds Rate', "Year", "Month", "Federal Funds Rate" FROM fed_funds) s,
+             (SELECT date_trunc('month', min(issue_d)) AS lo, date_trunc('month', max(issue_d)) AS hi FROM loans) e
              WHERE make_date("Year", "Month", 1) BETWEEN lo AND hi"""),
 )
 def read_indicator_set(spark, sf):
-    extent = readers.date_extent(V.loans(spark, sf, "issue_d"))
-    return readers.limit_to_extent(V.indicators(spark, sf)[0], extent)
+    paths = land_indicators(spark, sf)
+    series = readers.read_indicator_set(spark, paths, V.loans(spark, sf, "issue_d"))
+    long = [
+        s.select(F.lit(name).alias("series"), "Year", "Month", readers.indicator_value(name).alias("value"))
+        for name, s in zip(paths, series, strict=True)
+    ]
+    return reduce(lambda x, y: x.union(y), long)
 
 
 @register("S6_write_table", query("SELECT id, issue_d, loan_amnt, term FROM loans"))

@@ -74,6 +74,16 @@ def ratio_or_zero(a: Column, b: Column) -> Column:
     return F.coalesce(ratio(a, b), F.lit(0.0))
 
 
+def row_digest(columns: list[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes over all values of a row.
+
+    Values count in full (microseconds, all digits), 0.0 and -0.0 are one value, and
+    flags tell a null from an absent neighbour.
+    """
+    cells = [cell for c in columns for cell in (col(c).isNull(), col(c))]
+    return F.xxhash64(*cells).alias("_d1"), F.xxhash64(F.lit(1), *cells).alias("_d2")
+
+
 def null_cells(columns: list[str]) -> Column:
     """Nulls of one row over the given columns."""
     return F.expr(" + ".join(["0", *[f"cast({quoted(c)} IS NULL AS int)" for c in columns]]))

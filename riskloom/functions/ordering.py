@@ -205,9 +205,10 @@ def _narrowed(rows: DataFrame, spans: dict, width: int) -> dict:
     return out
 
 
-def group_sizes(df: DataFrame, by: str, max_groups: int = 1000) -> dict:
-    """Rows per class, in class order; a class column has few values by nature."""
-    rows = bounded_rows(df.groupBy(col(by).alias("g")).count(), max_groups)
+def group_sizes(df: DataFrame, by: str, max_groups: int | None = None) -> dict:
+    """Rows per class, in class order: one number per class. `max_groups` refuses more classes."""
+    counts = df.groupBy(col(by).alias("g")).count()
+    rows = counts.collect() if max_groups is None else bounded_rows(counts, max_groups)
     if rows is None:
         raise ValueError(f"'{by}' has more than {max_groups} values: not a class column")
     return dict(sorted(((r["g"], r["count"]) for r in rows), key=lambda t: (t[0] is None, str(t[0]))))

@@ -106,18 +106,25 @@ def _order_statistics(base, wanted, sizes, rank_limit, accuracy):
 
 
 def _sketch(base, keys, spans, accuracy):
+    """Two values around each rank; all ranks of a column's interval share one sketch."""
     margin = 3.0 / accuracy
+    intervals: dict[tuple, list] = {}
+    for k in keys:
+        intervals.setdefault((k[0], *spans[k]), []).append(k)
     asks = []
-    for i, k in enumerate(keys):
-        lo, hi, below, inside = spans[k]
-        at = (k[1] - below) / max(inside - 1, 1)
-        v = col(k[0])
-        ends = F.array(F.lit(max(at - margin, 0.0)), F.lit(min(at + margin, 1.0)))
+    for i, ((c, lo, hi, below, inside), ranks) in enumerate(intervals.items()):
+        v = col(c)
+        places = [(k[1] - below) / max(inside - 1, 1) for k in ranks]
+        ends = [F.lit(end) for at in places for end in (max(at - margin, 0.0), min(at + margin, 1.0))]
         asks.append(
-            F.percentile_approx(F.when(_within(v, lo, hi), v), ends, accuracy).alias(f"g{i}")
+            F.percentile_approx(F.when(_within(v, lo, hi), v), F.array(*ends), accuracy).alias(f"g{i}")
         )
     row = base.agg(*asks).first()
-    return {k: tuple(row[f"g{i}"]) for i, k in enumerate(keys)}
+    return {
+        k: (row[f"g{i}"][2 * j], row[f"g{i}"][2 * j + 1])
+        for i, ranks in enumerate(intervals.values())
+        for j, k in enumerate(ranks)
+    }
 
 
 def _count(base, keys, guesses, spans):

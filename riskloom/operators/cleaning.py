@@ -14,6 +14,7 @@ from riskloom.functions.exprs import (
     amount,
     col,
     lenient_timestamp,
+    row_digest,
     standard_text,
     strip,
 )
@@ -89,8 +90,11 @@ def drop_mandatory_nulls(df: DataFrame, columns: Sequence[str] | None = None) ->
 
 
 def sort_by_date(df: DataFrame, column: str = "issue_d") -> DataFrame:
-    """Rows in date order, for output only; no operator here depends on row order."""
-    return df.orderBy(col(column))
+    """Rows in date order, for output only; no operator here depends on row order.
+
+    Rows of one date are ordered by a hash of the row, so a busy date is spread over tasks.
+    """
+    return df.orderBy(col(column), *row_digest(df.columns))
 
 
 def fill_forward_back(

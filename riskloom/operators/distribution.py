@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,10 @@ from riskloom.functions.quantiles import exact_quantiles
 from riskloom.operators.cleaning import iqr_bounds
 
 KDE_POINTS = 1000
+# Up to so many classes are described in one aggregate; more are grouped.
+LITERAL_CLASSES = 200
+# Curves that one task adds up at a time, and values that meet a grid at a time.
+KDE_CURVES, KDE_VALUES = 256, 256
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -80,6 +86,8 @@ def boxplot_stats(df: DataFrame, column: str, by: str | None = None) -> DataFram
     """Quartiles, whiskers at the last values within 1.5 IQR, and outliers, per class."""
     v = col(column).cast("double")
     classes = [k for k in group_sizes(df, by) if k is not None] if by else [None]
+    if len(classes) > LITERAL_CLASSES:
+        return _grouped_boxplots(df, v, by)
 
     def masked(k):
         return F.when(col(by) == k, v) if by else v
@@ -115,6 +123,34 @@ def boxplot_stats(df: DataFrame, column: str, by: str | None = None) -> DataFram
     return base.agg(*aggregates).select(F.inline(F.array(*[col(n) for n in filled])))
 
 
+def _grouped_boxplots(df: DataFrame, v, by: str) -> DataFrame:
+    """Box plots of many classes: exact percentiles of their value counts, then one more pass."""
+    rows = df.select(col(by).alias("k"), v.alias("v")).where("k IS NOT NULL AND v IS NOT NULL")
+    counts = rows.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    quartiles = counts.groupBy("k").agg(F.percentile("v", [0.25, 0.5, 0.75], F.col("n")).alias("q"))
+    reach = 1.5 * (F.col("q")[2] - F.col("q")[0])
+    sized = quartiles.select("k", "q", (F.col("q")[0] - reach).alias("lower"), (F.col("q")[2] + reach).alias("upper"))
+    within = F.col("v").between(F.col("lower"), F.col("upper"))
+    return (
+        counts.join(sized, "k")
+        .groupBy("k", "q")
+        .agg(
+            F.min(F.when(within, F.col("v"))).alias("whisker_low"),
+            F.max(F.when(within, F.col("v"))).alias("whisker_high"),
+            F.sum(F.when(within, 0).otherwise(F.col("n"))).alias("n_outliers"),
+        )
+        .select(
+            F.col("k").cast("string").alias("group"),
+            F.col("q")[0].alias("q1"),
+            F.col("q")[1].alias("median"),
+            F.col("q")[2].alias("q3"),
+            "whisker_low",
+            "whisker_high",
+            "n_outliers",
+        )
+    )
+
+
 def kde(
     df: DataFrame,
     column: str,
@@ -124,12 +160,10 @@ def kde(
 ) -> DataFrame:
     """Gaussian density per class with Scott's bandwidth, on a grid of the range ± half.
 
-    Exact by default: distinct values with their counts spread their weight over the
-    grid inside each task, and only `points` sums per class are exchanged. `bins`
-    rounds the values to that many cells of the range first, for a fast picture.
+    Exact by default: distinct values with their counts are added up to one curve per
+    class inside each task, and only `points` sums per class and task are exchanged.
+    `bins` rounds the values to that many cells of the range first, for a fast picture.
     """
-    if by:
-        group_sizes(df, by)  # refuses a column that is not a class
     rows = df.select(
         (col(by).cast("string") if by else F.lit("all")).alias("group"),
         col(column).cast("double").alias("v"),
@@ -145,29 +179,49 @@ def kde(
         (F.col("lo") - (F.col("hi") - F.col("lo")) / 2).alias("start"),
         (2 * (F.col("hi") - F.col("lo")) / (points - 1)).alias("step"),
     )
-    classes = sized.agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("group", F.struct("n", "h", "start", "step")))
-        )
-    ).scalar()
     if bins:
         ends = rows.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
         ranged = rows.withColumn("e", ends)
         width = (F.col("e.hi") - F.col("e.lo")) / bins
         cell = F.least(F.floor((F.col("v") - F.col("e.lo")) / width), F.lit(bins - 1))
         rows = ranged.select("group", (F.col("e.lo") + (cell + 0.5) * width).alias("v"))
-    weights = rows.groupBy("group", "v").agg(F.count(F.lit(1)).alias("w"))
-    placed = weights.withColumn("s", F.try_element_at(classes, F.col("group"))).where(
-        F.col("s").isNotNull()
-    )
-    grid = placed.select("group", "v", "w", "s", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
-    x = F.col("s.start") + F.col("i") * F.col("s.step")
-    z = (x - F.col("v")) / F.col("s.h")
-    scale = F.col("s.n") * F.col("s.h") * F.sqrt(2 * F.pi())
+    weights = rows.groupBy("group", "v").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    placed = weights.join(sized, "group").select("group", "v", "w", "h", "start", "step")
+
+    def curves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+
+        def flush() -> pa.RecordBatch:
+            names = [g for g in held for _ in range(points)]
+            point = np.tile(np.arange(points, dtype=np.int32), len(held))
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array(point), pa.array(np.concatenate(list(held.values())))],
+                names=["group", "point", "d"],
+            )
+            held.clear()
+            return batch
+
+        for batch in batches:
+            group = batch.column(0).to_numpy(zero_copy_only=False)
+            numbers = [batch.column(i).to_numpy() for i in range(1, 6)]
+            for name in np.unique(group):
+                v, w, h, start, step = (x[group == name] for x in numbers)
+                x = start[0] + np.arange(points) * step[0]
+                curve = held.setdefault(str(name), np.zeros(points))
+                for at in range(0, len(v), KDE_VALUES):
+                    z = (x[:, None] - v[None, at : at + KDE_VALUES]) / h[0]
+                    curve += np.exp(-z * z / 2) @ w[at : at + KDE_VALUES]
+                if len(held) >= KDE_CURVES:
+                    yield flush()
+        if held:
+            yield flush()
+
+    summed = placed.mapInArrow(curves, "`group` string, point int, d double").groupBy("group", "point")
+    scale = F.col("n") * F.col("h") * F.sqrt(2 * F.pi())
     return (
-        grid.select("group", "i", x.alias("x"), (F.col("w") * F.exp(-z * z / 2) / scale).alias("d"))
-        .groupBy("group", F.col("i").alias("point"))
-        .agg(F.first("x").alias("x"), F.sum("d").alias("density"))
+        summed.agg(F.sum("d").alias("d"))
+        .join(sized, "group")
+        .select("group", "point", (F.col("start") + F.col("point") * F.col("step")).alias("x"), (F.col("d") / scale).alias("density"))
     )
 
 

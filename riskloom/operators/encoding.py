@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom import schemas as S
 from riskloom.functions.exprs import attach_scalars, col, lenient_timestamp, long_values
@@ -13,7 +14,9 @@ from riskloom.functions.ordering import running_sums
 from riskloom.functions.quantiles import exact_quantiles
 from riskloom.session import bounded_rows, materialize
 
-ONE_HOT_LIMIT = 1000
+# Values of an ordinal column held as literals, and joined by broadcast.
+LITERAL_VALUES = 100
+JOINED_VALUES = 10_000
 
 
 def create_fico_feature(df: DataFrame, drop: Sequence[str] = S.LEAKAGE_COLUMNS) -> DataFrame:
@@ -135,20 +138,26 @@ def margin_to_probability(margin: Column) -> Column:
 def ordinal_encode_desc(df: DataFrame, column: str = "sub_grade", out: str | None = None):
     """Distinct values in descending order to 0, 1, 2, …
 
-    A short value list is held as a map literal; a long one is numbered range by
-    range and joined back.
+    A short value list is held as a map literal, which is searched value by value. A
+    longer one is joined: by broadcast up to `JOINED_VALUES`, beyond that numbered range
+    by range and joined back by shuffle.
     """
     values = df.select(col(column).alias("v")).where(col(column).isNotNull()).distinct()
-    rows = bounded_rows(values, 10_000)
+    rows = bounded_rows(values, JOINED_VALUES)
     name = out or column
     if rows is not None:
         ordered = sorted((r["v"] for r in rows), reverse=True)
         if not ordered:
             return df.withColumn(name, F.lit(None).cast("int"))
-        pairs = [x for i, v in enumerate(ordered) for x in (F.lit(v), F.lit(i))]
-        return df.withColumn(name, F.try_element_at(F.create_map(*pairs), col(column)))
-    numbered = number_distinct(values, descending=True)
-    keyed = numbered.select(F.col("v").alias("_v"), F.col("index").cast("int").alias("_i"))
+        if len(ordered) <= LITERAL_VALUES:
+            pairs = [x for i, v in enumerate(ordered) for x in (F.lit(v), F.lit(i))]
+            return df.withColumn(name, F.try_element_at(F.create_map(*pairs), col(column)))
+        schema = T.StructType([T.StructField("_v", values.schema["v"].dataType), T.StructField("_i", T.IntegerType())])
+        numbered = [(v, i) for i, v in enumerate(ordered)]
+        keyed = F.broadcast(df.sparkSession.createDataFrame(numbered, schema))
+    else:
+        numbered = number_distinct(values, descending=True)
+        keyed = numbered.select(F.col("v").alias("_v"), F.col("index").cast("int").alias("_i"))
     joined = df.join(keyed, col(column) == F.col("_v"), "left")
     kept = [col(c) for c in df.columns if c != name]
     return joined.select(*kept, F.col("_i").alias(name))
@@ -172,18 +181,24 @@ def number_distinct(values: DataFrame, descending: bool = False) -> DataFrame:
     return staged.join(starts, "_part").select("v", (row - 1 + F.col("_start")).alias("index"))
 
 
-def one_hot_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """The sorted distinct values per column, in one pass over all columns."""
+def one_hot_values(
+    df: DataFrame, columns: Sequence[str], limit: int | None = None
+) -> dict[str, list[str]]:
+    """The sorted distinct values per column, in one pass over all columns.
+
+    Each becomes a column of the result and so part of its schema; `limit` refuses
+    columns with more values.
+    """
     names = S.present(df, columns)
     if not names:
         return {}
     found = long_values(df, names, as_type="string").where(F.col("value").isNotNull()).distinct()
-    rows = bounded_rows(found, ONE_HOT_LIMIT * len(names))
+    rows = found.collect() if limit is None else bounded_rows(found, limit * len(names))
     per = {c: [] for c in names}
     for r in rows or []:
         per[r["column"]].append(r["value"])
-    if rows is None or any(len(v) > ONE_HOT_LIMIT for v in per.values()):
-        raise ValueError(f"more than {ONE_HOT_LIMIT} values to spread over columns: {names}")
+    if limit is not None and (rows is None or any(len(v) > limit for v in per.values())):
+        raise ValueError(f"more than {limit} values to spread over columns: {names}")
     return {c: sorted(v) for c, v in per.items()}
 
 

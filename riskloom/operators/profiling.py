@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom import schemas as S
-from riskloom.functions.exprs import col, long_values, null_cells, per_column, strip
+from riskloom.functions.exprs import col, long_values, null_cells, per_column, row_digest, strip
 
 TYPE_MISMATCH_SHARE = 0.8
 
@@ -39,10 +39,9 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     """Surplus copies, and all members of groups of equal rows.
 
     Rows are counted by a 128-bit digest of all their values, so that digests are
-    exchanged instead of whole rows.
+    exchanged instead of whole rows. Equal means what grouping by all columns means.
     """
-    digest = F.md5(F.to_json(F.struct(*[col(c) for c in df.columns]), {"ignoreNullFields": "false"}))
-    counted = df.groupBy(digest.alias("d")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    counted = df.groupBy(*row_digest(df.columns)).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return counted.agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus_rows"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("duplicate_rows"),

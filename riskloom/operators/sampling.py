@@ -10,13 +10,17 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions.exprs import col
 from riskloom.functions.ordering import group_sizes, hash_cuts, hash_key
+from riskloom.session import broadcastable
 
 _HASH = "_hash"
+# Up to so many classes are cut by literals; more are ranked class by class.
+LITERAL_CLASSES = 200
 
 
 def _hashed(df: DataFrame, key: Sequence[str] | str, seed: int) -> DataFrame:
@@ -35,6 +39,17 @@ def _up_to(cuts: dict, by: str | None):
     return taken
 
 
+def _ranked(hashed: DataFrame, by: str, numbers: dict) -> DataFrame:
+    """Rows with their rank by hash in their class, and the class's number, for many classes."""
+    schema = T.StructType(
+        [T.StructField("_class", hashed.schema[by].dataType), T.StructField("_number", T.LongType())]
+    )
+    table = hashed.sparkSession.createDataFrame(list(numbers.items()), schema)
+    joined = hashed.join(broadcastable(table), col(by).eqNullSafe(F.col("_class")))
+    rank = F.row_number().over(Window.partitionBy(col(by)).orderBy(_HASH))
+    return joined.withColumn("_rank", rank).drop("_class")
+
+
 def split_quotas(sizes: dict, test_size: float) -> dict:
     """Test rows per class: `ceil(test_size * n)` in all, shares by largest remainder."""
     total = sum(sizes.values())
@@ -57,6 +72,10 @@ def stratified_split(
     """Train and test tables with the label's shares; `key` is unique per row."""
     quotas = split_quotas(group_sizes(df, label), test_size)
     hashed = _hashed(df, key, seed)
+    if len(quotas) > LITERAL_CLASSES:
+        ranked = _ranked(hashed, label, quotas)
+        parts = ranked.where("_rank > _number"), ranked.where("_rank <= _number")
+        return tuple(part.select(*[col(c) for c in df.columns]) for part in parts)
     cuts = hash_cuts(hashed, _HASH, {k: [q] for k, q in quotas.items()}, col(label))
     in_test = _up_to(cuts, label)
     return hashed.where(~in_test).drop(_HASH), hashed.where(in_test).drop(_HASH)
@@ -86,6 +105,9 @@ def random_undersample(
     if any(wanted > n for n in others.values()):
         raise ValueError(f"ratio {ratio} asks for {wanted} rows, more than the larger class has")
     hashed = _hashed(df, key, seed)
+    if len(sizes) > LITERAL_CLASSES:
+        ranked = _ranked(hashed, target, {k: min(n, wanted) for k, n in sizes.items()})
+        return ranked.where("_rank <= _number").select(*[col(c) for c in df.columns])
     reduced = {k: [wanted] for k, n in others.items() if n > wanted}
     cuts = hash_cuts(hashed, _HASH, reduced, col(target))
     whole = F.lit(False)
@@ -106,6 +128,10 @@ def with_folds(
     """Add a shuffled fold number; every class is spread evenly over the folds."""
     sizes = group_sizes(df, label)
     hashed = _hashed(df, key, seed)
+    if len(sizes) > LITERAL_CLASSES:
+        ranked = _ranked(hashed, label, sizes)
+        past = [(F.col("_rank") > F.floor(F.col("_number") * i / folds)).cast("int") for i in range(1, folds)]
+        return ranked.withColumn(out, sum(past, F.lit(0))).drop("_rank", "_number", _HASH)
     ranks = {k: [n * i // folds for i in range(1, folds)] for k, n in sizes.items()}
     cuts = hash_cuts(hashed, _HASH, ranks, col(label))
     fold = F.lit(0)

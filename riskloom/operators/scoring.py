@@ -132,16 +132,20 @@ def _scores_only(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
-    """(`threshold`, `fpr`, `tpr`) for every distinct score, highest first."""
+    """(`threshold`, `fpr`, `tpr`) for every distinct score, highest first, from (inf, 0, 0) on."""
     counts = _per_score(_scores_only(df, label, score))
     totals = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
     upto = running_sums(counts, "threshold", ["pos", "neg"], descending=True, staged=True)
     placed = upto.withColumn("t", totals)
-    return placed.select(
+    points = placed.select(
         "threshold",
         ratio(F.col("cum_neg"), F.col("t.n")).alias("fpr"),
         ratio(F.col("cum_pos"), F.col("t.p")).alias("tpr"),
     )
+    start = df.sparkSession.range(1).select(
+        F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
+    )
+    return start.union(points)
 
 
 def auc_of_counts(counts: DataFrame) -> DataFrame:

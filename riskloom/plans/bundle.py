@@ -85,11 +85,10 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
     )
 
 
-def score_batch(df: DataFrame, bundle: Bundle, keep: Sequence[str] = ("id",)) -> DataFrame:
-    """Prediction, its text, and the probability of the predicted class for raw features.
+def model_inputs(df: DataFrame, bundle: Bundle, keep: Sequence[str] = ()) -> DataFrame:
+    """`keep` and the selected features as the model takes them: scaled, nulls as 0.
 
-    Other columns are ignored, missing ones are an error, nulls count as 0 after
-    scaling. Works on batch and streaming tables alike.
+    A missing column is an error, others are ignored.
     """
     missing = [c for c in bundle.feature_order if c not in df.columns]
     if missing:
@@ -102,8 +101,17 @@ def score_batch(df: DataFrame, bundle: Bundle, keep: Sequence[str] = ("id",)) ->
             v = (v - lo) / ((hi - lo) or 1.0)
         return F.coalesce(v, F.lit(0.0)).alias(c)
 
+    return df.select(*[col(c) for c in keep], *[scaled(c) for c in bundle.fitted.features])
+
+
+def score_batch(df: DataFrame, bundle: Bundle, keep: Sequence[str] = ("id",)) -> DataFrame:
+    """Prediction, its text, and the probability of the predicted class for raw features.
+
+    Other columns are ignored, missing ones are an error, nulls count as 0 after
+    scaling. Works on batch and streaming tables alike.
+    """
     kept = [c for c in keep if c in df.columns and c not in bundle.fitted.features]
-    inputs = df.select(*[col(c) for c in kept], *[scaled(c) for c in bundle.fitted.features])
+    inputs = model_inputs(df, bundle, kept)
     scored = bundle.fitted.predict(inputs)
     predicted = F.col("prediction").cast("int")
     own = F.when(predicted == 1, F.col("probability")).otherwise(1 - F.col("probability"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
@@ -180,7 +180,7 @@ MODEL_SPECS = [
     ),
     ModelSpec(
         "Bagging", _bagged_trees,
-        {"numTrees": 200, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "maxDepth": 12},
+        {"numTrees": 200, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "maxDepth": 30},
         "vector",
     ),
 ]
@@ -238,7 +238,8 @@ def random_search_tune(
 ) -> tuple[Fitted, dict, float | None]:
     """Random grid points, stratified folds, F2 of class 1; refit on all rows.
 
-    A model without a grid is fitted as it is.
+    A penalty `C` is per row: the search scales it by the rows of its fits, the refit by
+    all rows. A model without a grid is fitted as it is.
     """
     points = GRIDS.get(model.name) if grid is None else grid
     if not points:
@@ -250,7 +251,7 @@ def random_search_tune(
     )
     stage = Pipeline(stages=[])
     candidates = [
-        {stage.stages: [model.build({**model.defaults, **settings}, features, n)]}
+        {stage.stages: [model.build({**model.defaults, **settings}, features, n * (folds - 1) / folds)]}
         for settings in sampled
     ]
     search = CrossValidator(
@@ -259,7 +260,11 @@ def random_search_tune(
     )
     found = search.fit(matrix)
     best = max(range(len(sampled)), key=lambda i: found.avgMetrics[i])
-    fitted = Fitted(model.name, found.bestModel, model.score, list(features))
+    if "C" in sampled[best]:
+        chosen = ModelSpec(model.name, model.build, {**model.defaults, **sampled[best]}, model.score)
+        fitted = fit(chosen, matrix, features, n)
+    else:
+        fitted = Fitted(model.name, found.bestModel, model.score, list(features))
     return fitted, sampled[best], float(found.avgMetrics[best])
 
 
@@ -279,9 +284,12 @@ def train_and_compare(
     k: int = FEATURES_KEPT,
     n_iter: int = 0,
     folds: int = FOLDS,
+    ready: Mapping[str, Fitted] | None = None,
 ) -> dict:
     """Fit (or tune, with `n_iter`) every model and score it on train and test.
 
+    `ready` holds models that are already fitted on this training table, by name.
+
     The score table has one row per model and stage; the deltas compare each model
     with the baseline; `best` is the fitted model with the highest test F2.
     """
@@ -291,7 +299,9 @@ def train_and_compare(
     rows = {"train": matrix, "test": materialize(assembled(test, features, label), "matrix")}
     fitted, score_rows = {}, []
     for s in specs:
-        if n_iter:
+        if ready and s.name in ready:
+            fitted[s.name] = ready[s.name]
+        elif n_iter:
             fitted[s.name], _, _ = random_search_tune(s, matrix, features, n, n_iter, folds=folds)
         else:
             fitted[s.name] = fit(s, matrix, features, n)
@@ -331,10 +341,14 @@ def forest_importance(
 def feature_importance(
     df: DataFrame, label: str, columns: Sequence[str], trees: int = 100, depth: int = 8
 ) -> DataFrame:
-    """Pearson, mutual information and forest scores side by side, to 4 places."""
+    """Pearson, mutual information and forest scores side by side, to 4 places.
+
+    Gaps take the median ahead of mutual information and the forest.
+    """
     pearson = correlation.label_correlation(df, label, columns)
+    filled = median_fill(df.where(col(label).isNotNull()), columns)
     others = [
-        correlation.mutual_information(df, label, columns),
+        correlation.mutual_information(filled, label, columns),
         forest_importance(df, label, columns, trees, depth),
     ]
     joined = feature_score_join(pearson, others)

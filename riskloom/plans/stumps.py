@@ -17,6 +17,10 @@ from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasSeed, HasWei
 from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import col, quoted
+from riskloom.session import discard, materialize
+
+# Rounds whose votes are kept as expressions before the rows' weights are stored again.
+STORED_ROUNDS = 20
 
 
 def tree_sql(node, names: list[str]) -> str:
@@ -51,10 +55,10 @@ def scored_by(prediction: str, probability: str) -> PipelineModel:
 class BoostedStumps(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol, HasSeed):
     """SAMME boosting of shallow decision trees for two classes.
 
-    The boosting weight of a row is a closed expression of the trees so far (the
-    exponential of the votes that missed it), so a round is one weighted tree fit and
-    one error sum over the same stored table; no weight column is written and no
-    lineage grows from round to round.
+    The log of a row's boosting weight is the sum of the votes that missed it. It is
+    stored every `STORED_ROUNDS` rounds; the rounds since then are added as expressions,
+    so the work of a round does not grow with their number. A round is one weighted tree
+    fit and one pass for the error sum and the next total over the same stored table.
     """
 
     numRounds = Param(Params._dummy(), "numRounds", "boosting rounds", TypeConverters.toInt)
@@ -86,30 +90,39 @@ class BoostedStumps(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol, HasSee
         target = quoted(self.getLabelCol())
         trees: list[tuple[float, str]] = []
         misses: list[str] = []
-        log_total = math.log(max(dataset.count(), 1))
-        for _ in range(self.getOrDefault(self.numRounds)):
-            missed_so_far = sum_sql(misses) if misses else "0D"
-            boost = F.expr(f"exp({missed_so_far} - {log_total!r}D)")
+        kept = list(dict.fromkeys([*names, self.getFeaturesCol(), self.getLabelCol()]))
+        rows = dataset.select(*[col(c) for c in kept], balance.alias("_balance"), F.lit(0.0).alias("_log"))
+        rows = materialize(rows, "boosting")
+        log_total = math.log(max(rows.count(), 1))
+        for turn in range(self.getOrDefault(self.numRounds)):
+            if turn and turn % STORED_ROUNDS == 0 and misses:
+                stored = rows.withColumn("_log", F.expr(f"_log + {sum_sql(misses)}"))
+                older, rows, misses = rows, materialize(stored, "boosting"), []
+                discard(older)
+            since = sum_sql(misses) if misses else "0D"
+            boost = F.expr(f"exp(_log + {since} - {log_total!r}D)")
             tree = tree_sql(
-                grow.fit(dataset.withColumn("_w", boost * balance))._call_java("rootNode"), names
+                grow.fit(rows.withColumn("_w", boost * F.col("_balance")))._call_java("rootNode"), names
             )
             missed = f"CAST(({tree}) <> {target} AS DOUBLE)"
-            total, wrong = dataset.agg(F.sum(boost), F.sum(boost * F.expr(missed))).first()
+            total, wrong = rows.agg(F.sum(boost), F.sum(boost * F.expr(missed))).first()
             error = wrong / total
             if error <= 0:
                 trees.append((1.0, tree))
                 break
             if error >= 0.5:
+                if not trees:
+                    raise ValueError("the first tree is no better than chance: nothing to boost")
                 break
             alpha = rate * math.log((1 - error) / error)
             trees.append((alpha, tree))
             misses.append(f"{alpha!r}D * {missed}")
             log_total += math.log(total)
-        if not trees:
-            return scored_by("0", "0.5")
+        discard(rows)
         votes = sum_sql([f"{a!r}D * (2 * ({t}) - 1)" for a, t in trees])
         margin = f"({votes} / {sum(a for a, _ in trees)!r}D)"
-        chance = f"(1 / (1 + exp(-{margin})))"
+        # Two classes: the vote for one is minus that for the other, so the odds are exp(2 * margin).
+        chance = f"(1 / (1 + exp(-2 * {margin})))"
         return scored_by(f"CASE WHEN {margin} > 0 THEN 1 ELSE 0 END", chance)
 
 

@@ -66,6 +66,16 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(stage(df, tag))
 
 
+def discard(staged: DataFrame) -> None:
+    """Delete a table that `materialize` wrote, once nothing reads it any more."""
+    spark = staged.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in staged.inputFiles()}
+    for folder in folders:
+        if "/riskloom/" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def sibling_session(spark: SparkSession) -> SparkSession:
     """A second session of the same application, with the same settings."""
     other = spark.newSession()

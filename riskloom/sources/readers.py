@@ -60,9 +60,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def read_loans(spark: SparkSession, path: str, schema: T.StructType = LANDING_SCHEMA) -> DataFrame:
-    """The loan table for collection: an empty table when the file is missing."""
+    """The loan table for collection: an empty table when the file is missing.
+
+    The schema is for CSV; a Parquet table has its own columns and types.
+    """
     try:
-        return read_table(spark, path, schema)
+        return read_table(spark, path, schema if path.rstrip("/").endswith(".csv") else None)
     except FileNotFoundError:
         log.error("loan table not found: %s", path)
         return spark.createDataFrame([], T.StructType([]))
