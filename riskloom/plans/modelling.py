@@ -39,6 +39,7 @@ LABEL, FEATURES, WEIGHT, FOLD = "label", "features", "weight", "fold"
 FEATURES_KEPT = 30
 FOLDS = 5
 SEED = 39
+ROWS_PER_TASK = 50_000
 POSITIVE_WEIGHT_FACTORS = [1.0, 0.5, 1.5]
 GRIDS = {
     "ZeroR Baseline": {"strategy": ["most_frequent", "prior", "stratified", "uniform"]},
@@ -120,8 +121,11 @@ def training_matrix(
 ) -> DataFrame:
     """The staged table every fit reads: label, features, weights and fold number."""
     rows = assembled(train, features, label, keep=[key])
-    rows = with_weights(rows, group_sizes(rows, LABEL))
-    return materialize(with_folds(rows, LABEL, key, folds, SEED, FOLD), "matrix")
+    sizes = group_sizes(rows, LABEL)
+    rows = with_folds(with_weights(rows, sizes), LABEL, key, folds, SEED, FOLD)
+    # Iterative fits pay for every task in every round: no more tasks than the rows fill.
+    tasks = max(1, -(-sum(sizes.values()) // ROWS_PER_TASK))
+    return materialize(rows.coalesce(tasks), "matrix")
 
 
 @dataclass(frozen=True)
