@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,19 @@ def get_session(cpus: int | str = "*", app: str = "riskloom") -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, wherever they run; once per application."""
+    context, name = spark.sparkContext, "riskloom.zip"
+    if name in context._python_includes:
+        return
+    home = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="riskloom-ship-"), name)
+    with zipfile.ZipFile(archive, "w") as packed:
+        for file in sorted(home.rglob("*.py")):
+            packed.write(file, file.relative_to(home.parent))
+    context.addPyFile(archive)
+
+
 def staging_dir(spark: SparkSession) -> str:
     """The shared folder for staged tables: `spark.checkpoint.dir` of the session.
 
