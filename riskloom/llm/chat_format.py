@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.common import field, slices
+from riskloom.session import ship_package
 
 # The template, fixed values:  ### Role: text\n</turn>\n
 ROLES = {"system": "System", "user": "User", "assistant": "Assistant"}
@@ -108,6 +109,7 @@ def format_conversations(
     repeated turns; an empty table gives an empty result; other columns are ignored.
     One conversation is one text and so one row; nothing else is brought together.
     """
+    ship_package(rows.sparkSession)
     turn = F.struct(
         F.col(turn_col).alias("turn"),
         F.coalesce(F.col(role_col), F.lit("")).alias("role"),

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.session import ship_package
+
 # Rows that an operator turns into one Arrow batch of its own; bounds a worker's memory.
 BATCH_ROWS = 512
 
@@ -27,6 +29,7 @@ def field(df: DataFrame, column: str, name: str | None = None) -> T.StructField:
 
 def doc_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Id and text only, a null text as the empty one; other columns cannot clash."""
+    ship_package(docs.sparkSession)
     return docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
 
 

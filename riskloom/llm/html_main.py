@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.common import field, slices
-from riskloom.session import materialize
+from riskloom.session import materialize, ship_package
 
 # Most hosts whose winning paths are broadcast (a row is under 1 kB); beyond, they are joined by shuffle.
 BROADCAST_HOSTS = 20_000
@@ -267,6 +267,7 @@ def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     exchanged, so a host with a third of the pages sends no more than any other. Ties go
     to the larger sum of scores, the longer path, the later in order.
     """
+    ship_package(pages.sparkSession)
     rows = pages.select(host(url_col).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

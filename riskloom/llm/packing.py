@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from riskloom.llm import word_bpe
 from riskloom.llm.common import doc_texts, field, slices
-from riskloom.session import materialize
+from riskloom.session import materialize, ship_package
 
 CAPACITY = 2048
 END_ID = 0
@@ -165,6 +165,7 @@ def pack(
     tokens, and items that fill a sequence alone are done at once. Sequences have no
     gaps; their numbers are arbitrary. An empty table gives an empty result.
     """
+    ship_package(items.sparkSession)
     for clash in {"_bin", "_at", "_fill"} & set(items.columns):
         raise ValueError(f"reserved column name: {clash}")
     placed = materialize(_pack_partitions(items, capacity, per_task), "packed-items")

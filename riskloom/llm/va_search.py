@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import finite_vector, slices
-from riskloom.session import materialize
+from riskloom.session import materialize, ship_package
 
 SCALE = 1024
 # Cells per component, as bits; one byte each in the file.
@@ -24,6 +24,7 @@ FIRST_ROUND = 2
 
 def integer_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
     """`id`, `v` (floor(scale * x) of each component, as long) of the rows that take part; repeated rows once."""
+    ship_package(vectors.sparkSession)
     comps = F.transform(vec_col, lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
     rows = vectors.where(finite_vector(vec_col) & F.col(id_col).isNotNull())
     return rows.select(F.col(id_col).alias("id"), comps.alias("v")).distinct()
