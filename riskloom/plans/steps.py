@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from riskloom.functions.exprs import null_cells
-from riskloom.session import sibling_session, stage
+from riskloom.session import discard, discard_path, sibling_session, stage
 from riskloom.sources.readers import read_table
 
 AUDIT_SCHEMA = (
@@ -40,6 +40,7 @@ class StepPlan:
         self.name = name
         self.steps: list[Step] = []
         self.audit: list[tuple] = []
+        self.scratch: list[DataFrame] = []  # staged by steps, deleted once the result is written
 
     def add_step(self, name: str, function: Callable[..., DataFrame], **options) -> StepPlan:
         self.steps.append(Step(name, function, options))
@@ -60,7 +61,10 @@ class StepPlan:
 
     def execute(self, df: DataFrame) -> DataFrame:
         """Run the steps on `df`; the result is a staged table of its session."""
-        return self.execute_table(df.sparkSession, stage(df, "steps-in"), df.schema)
+        path = stage(df, "steps-in")
+        result = self.execute_table(df.sparkSession, path, df.schema)
+        discard_path(df.sparkSession, path)
+        return result
 
     def execute_table(
         self, spark: SparkSession, path: str, schema: StructType | None = None
@@ -75,6 +79,8 @@ class StepPlan:
             self.audit = [(len(self.steps), "write", *gap, "failed", str(error))]
             raise
         self._record(marks)
+        while self.scratch:
+            discard(self.scratch.pop())
         return spark.read.schema(planned.schema).parquet(result)
 
     def _record(self, marks: Sequence[Observation], failed: tuple[int, str] | None = None) -> None:

@@ -83,12 +83,15 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
 
 def discard(staged: DataFrame) -> None:
     """Delete a table that `materialize` wrote, once nothing reads it any more."""
-    spark = staged.sparkSession
-    folders = {f.rsplit("/", 1)[0] for f in staged.inputFiles()}
-    for folder in folders:
-        if "/riskloom/" in folder:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        discard_path(staged.sparkSession, folder)
+
+
+def discard_path(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that `stage` wrote; other folders are left alone."""
+    if "/riskloom/" in folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def sibling_session(spark: SparkSession) -> SparkSession:
