@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.session import materialize
+from riskloom.session import discard, materialize
 
 MAX_ROUNDS = 60
 
@@ -46,7 +46,8 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not seen[0]:
             break
-        edges = materialize(_small_star(_large_star(edges)).where("a <> b").distinct(), "links")
+        older, edges = edges, materialize(_small_star(_large_star(edges)).where("a <> b").distinct(), "links")
+        discard(older)
         now = _print(edges)
         if now == seen:
             break

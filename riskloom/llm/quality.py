@@ -179,6 +179,8 @@ def classify(
 ) -> DataFrame:
     """All columns of `docs` with `score` (0 to 1) and `predicted` (1 from `threshold` on).
 
+    Given columns of these names are kept as `score_given` and `predicted_given`.
+
     Every whole text is compared with every labelled vector, in blocks. A null or empty
     text has the share of label 1 among the labelled documents as its score, and 0.5 if
     nothing is labelled. Ids only pair labels with texts: they, and all other columns,
