@@ -16,12 +16,18 @@ from riskloom.session import materialize
 NEAR_WORDS = 5
 # Lines whose text may be fetched by a broadcast of their places (some 60 bytes each).
 BROADCAST_LINES = 500_000
-_SPACE = r"[ \t\x0B\f\r]+"
+_OTHER_SPACE = "\t\x0b\f\r"
 _PRIME = (1 << 31) - 1
 
 
+def spaced(text: Column) -> Column:
+    """White space inside lines as blanks; most texts have no other and are only looked at."""
+    blanks = F.translate(text, _OTHER_SPACE, " " * len(_OTHER_SPACE))
+    return F.when(text.rlike(f"[{_OTHER_SPACE}]"), blanks).otherwise(text)
+
+
 def words_of(line: Column) -> Column:
-    return F.filter(F.split(line, _SPACE), lambda w: w != "")
+    return F.array_remove(F.split(line, " "), "")
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -49,7 +55,7 @@ def line_facts(rows: DataFrame) -> DataFrame:
     The first and the last floor(n / 2) words, and floor((n - 1) / 2) words, are hashed:
     of two near lines one such half is equal in both.
     """
-    lines = rows.select("id", "h1", "h2", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    lines = rows.select("id", "h1", "h2", F.posexplode(F.split(spaced(F.col("text")), "\n", -1)).alias("pos", "line"))
     cut = lines.select("id", "h1", "h2", "pos", words_of(F.col("line")).alias("w")).withColumn("n", F.size("w"))
 
     def half(side: int, m: Column) -> Column:
@@ -57,13 +63,16 @@ def line_facts(rows: DataFrame) -> DataFrame:
         return F.struct(F.lit(side).alias("side"), m.alias("m"), F.xxhash64(part).alias("hash"))
 
     own, less = F.floor(F.col("n") / 2).cast("int"), F.floor((F.col("n") - 1) / 2).cast("int")
-    both = F.array(half(0, own), half(1, own))
-    return cut.where("n > 0").select(
+    hashed = cut.where("n > 0").select(
         "id", "h1", "h2", "pos", "n",
         F.xxhash64("w").alias("k1"),
-        F.xxhash64(F.lit(1), "w").alias("k2"),
-        F.when((F.col("n") % 2) == 0, F.concat(both, F.array(half(0, less), half(1, less)))).otherwise(both).alias("halves"),
+        F.array(half(0, own), half(1, own)).alias("own"),
+        F.when((F.col("n") % 2) == 0, F.array(half(0, less), half(1, less))).alias("less"),
     )
+    # The halves leave out at most the middle word, which the first hash has too: 128 bits for the line.
+    k2 = F.xxhash64("n", F.col("own")[0]["hash"], F.col("own")[1]["hash"]).alias("k2")
+    halves = F.when(F.col("less").isNull(), F.col("own")).otherwise(F.concat("own", "less")).alias("halves")
+    return hashed.select("id", "h1", "h2", "pos", "n", "k1", k2, halves)
 
 
 def _order(*rest: str) -> Column:
@@ -82,7 +91,7 @@ def line_words(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     lines = texts.select(
         F.explode(F.transform("places", lambda p: F.struct(p.k1.alias("k1"), p.k2.alias("k2"), F.get("lines", p.pos).alias("line")))).alias("x")
     ).select("x.*")
-    return lines.select("k1", "k2", words_of(F.col("line")).alias("words")).dropDuplicates(["k1", "k2"])
+    return lines.select("k1", "k2", words_of(spaced(F.col("line"))).alias("words")).dropDuplicates(["k1", "k2"])
 
 
 def variants(lines: DataFrame, halves: DataFrame) -> DataFrame:
@@ -188,8 +197,8 @@ def near_copies(rows: DataFrame, firsts: DataFrame, near_words: int) -> DataFram
 
 def dropped_lines(rows: DataFrame, near_words: int) -> DataFrame:
     """`id`, `h1`, `h2`, `drops`: the places, in order, of the lines that a text loses."""
-    facts = line_facts(rows)
-    seen = materialize(facts.select("id", "h1", "h2", "pos", "k1", "k2"), "lines")
+    facts = materialize(line_facts(rows), "lines")
+    seen = facts.select("id", "h1", "h2", "pos", "k1", "k2")
     firsts = materialize(
         facts.groupBy("k1", "k2").agg(
             F.count("*").alias("copies"),
