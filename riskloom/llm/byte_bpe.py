@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,13 +16,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.common import doc_texts, field, slices, text_key
-from riskloom.session import materialize
+from riskloom.session import materialize, ship_package
 
 # Characters of a chunk, and how far it reaches into the next one.
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
 # The longest alternative of the pattern with a fixed text ("'ll"), so much is looked at past a boundary.
 _AHEAD = 3
+# Ids that are turned into bytes at a time.
+_PART = 1 << 16
 
 
 @lru_cache(maxsize=2)
@@ -33,14 +36,40 @@ def encoding(path: str, pattern: str) -> tiktoken.Encoding:
 
 
 @lru_cache(maxsize=2)
-def token_bytes(path: str) -> dict[int, bytes]:
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each id, by position."""
     with open(path, "rb") as lines:
-        return {int(b): base64.b64decode(a) for a, b in map(bytes.split, lines)}
+        known = {int(b): base64.b64decode(a) for a, b in map(bytes.split, lines)}
+    return [known[i] for i in range(len(known))]
 
 
-def decode_ids(ids: list[int], path: str) -> bytes:
-    """The raw bytes of the ids, one after the other."""
-    return b"".join(map(token_bytes(path).__getitem__, ids))
+@lru_cache(maxsize=2)
+def token_digits(path: str) -> list[bytes]:
+    """Each id in decimal digits, with a blank behind."""
+    return [b"%d " % i for i in range(len(token_bytes(path)))]
+
+
+def joined(ids: np.ndarray, table: list[bytes]) -> Iterator[bytes]:
+    """The table's entries for the ids one after the other, a bounded part at a time."""
+    for at in range(0, len(ids), _PART):
+        yield b"".join(map(table.__getitem__, ids[at : at + _PART].tolist()))
+
+
+def lists(column: pa.Array) -> Iterator[np.ndarray | None]:
+    """The rows of an Arrow list column as arrays, without a Python object per item."""
+    ends, flat = column.offsets.to_numpy(), column.values.to_numpy()
+    for row, known in enumerate(column.is_valid().to_pylist()):
+        yield flat[ends[row] : ends[row + 1]] if known else None
+
+
+def ids_digest(ids: np.ndarray, path: str) -> str:
+    """SHA-256 of the decimal ids, joined by one blank."""
+    digest, held = hashlib.sha256(), b""
+    for part in joined(ids, token_digits(path)):
+        digest.update(held)
+        held = part
+    digest.update(held[:-1])
+    return digest.hexdigest()
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -53,10 +82,10 @@ def _encode(rows: DataFrame, keep: list[str], path: str, pattern: str) -> DataFr
     """`keep`, `ids` for the column `text` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(path, pattern).encode_to_numpy
+        encode = encoding(path, pattern).encode_ordinary
         for batch in slices(batches):
             texts = batch.column(len(keep))
-            ids = [encode(t.as_py(), disallowed_special=()) for t in texts]
+            ids = [np.array(encode(t.as_py()), np.int32) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(keep))), _lists(ids)], names=[*keep, "ids"]
             )
@@ -187,12 +216,13 @@ def encode(
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """`encoded` with the bytes of its ids in `out_col`; null ids give null. An id that the file lacks is an error."""
+    ship_package(encoded.sparkSession)
     names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            ids = batch.column(names.index(ids_col))
-            out = [None if x.as_py() is None else decode_ids(x.as_py(), path) for x in ids]
+            ids = lists(batch.column(names.index(ids_col)))
+            out = [None if x is None else b"".join(joined(x, token_bytes(path))) for x in ids]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*names, out_col])
 
     schema = T.StructType([*encoded.schema.fields, T.StructField(out_col, T.BinaryType())])
