@@ -104,8 +104,7 @@ def token_pieces(
 
 def _pack_partitions(items: DataFrame, capacity: int, per_task: int) -> DataFrame:
     """Every item with its first bin, its place there, and the bin's fill; no shuffle."""
-    names = items.columns
-    extra = ["_bin", "_at", "_fill"]
+    extra = ["_pack_bin", "_pack_at", "_pack_fill"]
 
     def packed(batches: list[pa.RecordBatch], base: int) -> tuple[pa.Table, int]:
         table = pa.Table.from_batches(batches)
@@ -127,7 +126,7 @@ def _pack_partitions(items: DataFrame, capacity: int, per_task: int) -> DataFram
             yield from packed(held, base)[0].to_batches()
 
     schema = T.StructType([*items.schema.fields, *(T.StructField(c, T.LongType()) for c in extra)])
-    return items.mapInArrow(run, schema) if names else items
+    return items.mapInArrow(run, schema)
 
 
 def _merge_round(bins: DataFrame, tasks: int, seed: int, capacity: int) -> DataFrame:
@@ -166,15 +165,13 @@ def pack(
     gaps; their numbers are arbitrary. An empty table gives an empty result.
     """
     ship_package(items.sparkSession)
-    for clash in {"_bin", "_at", "_fill"} & set(items.columns):
-        raise ValueError(f"reserved column name: {clash}")
     placed = materialize(_pack_partitions(items, capacity, per_task), "packed-items")
-    first = placed.where("_at = 0").select(F.col("_bin").alias("bin"), F.col("_fill").alias("fill"))
+    first = placed.where("_pack_at = 0").select(F.col("_pack_bin").alias("bin"), F.col("_pack_fill").alias("fill"))
     done_at = capacity * (1 - nearly_full)
     under = first.where(F.col("fill") < done_at)
-    size = placed.where("_at = 0").agg(
-        F.count(F.when(F.col("_fill") < done_at, 1)).alias("n"),
-        F.countDistinct(F.shiftright("_bin", 40)).alias("tasks"),
+    size = placed.where("_pack_at = 0").agg(
+        F.count(F.when(F.col("_pack_fill") < done_at, 1)).alias("n"),
+        F.countDistinct(F.shiftright("_pack_bin", 40)).alias("tasks"),
     ).first()
     left, tasks = size["n"], size["tasks"]
     moves: DataFrame | None = None
@@ -200,9 +197,9 @@ def pack(
             break
     columns = [F.col(c) for c in items.columns]
     if moves is None:
-        return placed.select(*columns, F.col("_bin").alias("sequence_id"), F.col("_at").alias("offset"))
-    return placed.join(moves, placed["_bin"] == moves["bin"], "left").select(
-        *columns, F.coalesce("seq", "_bin").alias("sequence_id"), (F.col("_at") + F.coalesce("base", F.lit(0))).alias("offset")
+        return placed.select(*columns, F.col("_pack_bin").alias("sequence_id"), F.col("_pack_at").alias("offset"))
+    return placed.join(moves, placed["_pack_bin"] == moves["bin"], "left").select(
+        *columns, F.coalesce("seq", "_pack_bin").alias("sequence_id"), (F.col("_pack_at") + F.coalesce("base", F.lit(0))).alias("offset")
     )
 
 
@@ -215,4 +212,6 @@ def pack_documents(
     columns are ignored.
     """
     pieces = token_pieces(docs, path, id_col, text_col, capacity)
-    return pack(pieces.select(id_col, "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), capacity)
+    sizes = pieces.select(id_col, "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    # Staged, so that no task holds two Python workers, one of them with the vocabulary, at a time.
+    return pack(materialize(sizes, "pieces"), capacity)

@@ -18,6 +18,8 @@ _WORDS = re.compile(f"[^{_SPACE}]+")
 _CONTROLS = re.compile("[\x1c-\x1f]")
 # Beyond the Latin letters the libraries' Unicode tables differ in age; the tokenizer itself judges such words.
 _FAMILIAR = 0x250
+# Marks that are a piece of their own behind letters.
+_MARKS = ".,;:!?"
 # Stands for the end of a word; never part of UTF-8.
 _END = b"\xff"
 # Words remembered per generation; two generations bound a worker's memory.
@@ -78,19 +80,22 @@ class WordBpe(dict):
         for token, number in vocab.items():
             if (rank := ranks.get(raw(token))) is not None:
                 self.packed[rank] = number.to_bytes(4, "little")
-        self.library = tokenizer(path)
+        self.path = path
         self.encoder = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
         self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         value = self.old.get(word)
         if value is None:
-            if ord(max(word)) < _FAMILIAR:
+            stem = word[:-1]
+            if word[-1] in _MARKS and stem.isalpha():
+                value = self[stem] + self[word[-1]]
+            elif ord(max(word)) < _FAMILIAR:
                 one = self.encoder._core_bpe.encode_single_piece
                 found = [r for piece in self.pieces.findall(word) for r in one(piece.encode() + _END)]
                 value = b"".join([self.packed[r] for r in found])
             else:
-                value = np.array(self.library.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
+                value = np.array(tokenizer(self.path).encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
         if len(self) >= REMEMBERED:
             self.old = dict(self)
             self.clear()
