@@ -234,24 +234,24 @@ def dedup_lines(
     hashes = F.xxhash64(text), F.xxhash64(F.lit(1), text)
     rows = docs.select(F.col(id_col).alias("id"), hashes[0].alias("h1"), hashes[1].alias("h2"), text.alias("text"))
     drops = materialize(dropped_lines(rows, near_words), "dropped-lines")
-    drops = drops.withColumnsRenamed({"id": "_id", "h1": "_h1", "h2": "_h2", "drops": "_drops"})
+    drops = drops.select(*(F.col(c).alias(f"_cut_{c}") for c in ("id", "h1", "h2", "drops")))
     docs = docs.drop("n_dropped")
-    there = F.col(id_col).eqNullSafe(F.col("_id")) & (hashes[0] == F.col("_h1")) & (hashes[1] == F.col("_h2"))
+    there = F.col(id_col).eqNullSafe(F.col("_cut_id")) & (hashes[0] == F.col("_cut_h1")) & (hashes[1] == F.col("_cut_h2"))
     found = docs.join(drops, there, "left")
-    lines, count = F.split(text_col, "\n", -1), F.size("_drops")
+    lines, count = F.split(text_col, "\n", -1), F.size("_cut_drops")
 
     def stretch(j: Column) -> Column:
         """The lines between two dropped ones."""
-        start = F.when(j == 0, 0).otherwise(F.get("_drops", j - 1) + 1)
-        end = F.when(j == count, F.size("_lines")).otherwise(F.get("_drops", j))
-        return F.slice("_lines", start + 1, end - start)
+        start = F.when(j == 0, 0).otherwise(F.get("_cut_drops", j - 1) + 1)
+        end = F.when(j == count, F.size("_cut_lines")).otherwise(F.get("_cut_drops", j))
+        return F.slice("_cut_lines", start + 1, end - start)
 
     kept = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), count), stretch)), "\n")
-    cut = found.withColumn("_lines", F.when(F.col("_drops").isNotNull(), lines))
+    cut = found.withColumn("_cut_lines", F.when(F.col("_cut_drops").isNotNull(), lines))
     return cut.select(
         *(
-            F.when(F.col("_drops").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_col else F.col(c)
+            F.when(F.col("_cut_drops").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_col else F.col(c)
             for c in docs.columns
         ),
-        F.when(F.col("_drops").isNull(), 0).otherwise(count).alias("n_dropped"),
+        F.when(F.col("_cut_drops").isNull(), 0).otherwise(count).alias("n_dropped"),
     )

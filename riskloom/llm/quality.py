@@ -8,11 +8,12 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import doc_texts, field, slices
+from riskloom.llm.common import doc_texts, field, release, slices
 
 # Terms: byte trigrams hashed to so many columns, for whole texts.
 COLUMNS = 4096
@@ -86,7 +87,7 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(COLUMNS + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0):
                 seen[:-1] += term_weights(text.as_py()) > 0
                 seen[-1] += 1
@@ -153,18 +154,28 @@ def fit(
     out = T.StructType(
         [*schema.fields, T.StructField("terms", T.BinaryType()), T.StructField("shape", T.BinaryType())]
     )
-    rows = sample.select(id_col, text_col, "label").mapInArrow(run, out).toArrow().sort_by(id_col)
+    rows = sample.select(id_col, text_col, "label").mapInArrow(run, out).toArrow()
     idf = (np.log((1 + total) / (1 + frequency)) + 0.05).astype(np.float32)
     count = rows.num_rows
     labels_seen = rows.column("label").to_numpy().astype(np.float64)
     if not count:
         return Votes(idf, np.zeros((COLUMNS, 1), np.float32), np.zeros((0, 5), np.float32), labels_seen, 0.5)
-    terms = np.frombuffer(b"".join(rows.column("terms").to_pylist()), np.float16).reshape(count, COLUMNS)
-    shapes = np.frombuffer(b"".join(rows.column("shape").to_pylist()), np.float32).reshape(count, -1)
-    weighted = unit(terms.astype(np.float32) * idf)
+    order = pa.compute.sort_indices(rows.column(id_col)).to_pylist()
+    labels_seen = labels_seen[order]
+    # Row by row and in place: the matrix is the only large thing that the driver holds.
+    weighted = np.empty((count, COLUMNS), np.float32)
+    shapes = np.empty((count, 4), np.float32)
+    for at, row in enumerate(order):
+        weighted[at] = np.frombuffer(rows.column("terms")[row].as_py(), np.float16)
+        shapes[at] = np.frombuffer(rows.column("shape")[row].as_py(), np.float32)
+    del rows
+    weighted *= idf
+    weighted /= np.maximum(np.sqrt(np.einsum("ij,ij->i", weighted, weighted)), 1e-9)[:, None]
     axes = latent_axes(weighted, LATENT)
     model = Votes(idf, axes, np.zeros((0, 0), np.float32), labels_seen, float(labels_seen.mean()))
     model.vectors = unit(np.hstack([unit(weighted @ axes), shapes])).astype(np.float32)
+    del weighted
+    release()
     return model
 
 

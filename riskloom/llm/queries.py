@@ -23,7 +23,7 @@ from riskloom.llm import (
     va_search,
     wordpiece,
 )
-from riskloom.llm.common import field, slices
+from riskloom.llm.common import field, slices, small_batches
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +31,7 @@ PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -61,9 +62,9 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            ids = [" ".join(map(str, x.as_py())).encode() for x in batch.column(1)]
+            ids = [byte_bpe.ids_digest(x, BYTE_RANKS) for x in byte_bpe.lists(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([hashlib.sha256(x).hexdigest() for x in ids]), batch.column(3)],
+                [batch.column(0), batch.column(2), pa.array(ids, pa.string()), batch.column(3)],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 

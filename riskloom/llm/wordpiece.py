@@ -10,7 +10,6 @@ from functools import lru_cache
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.common import doc_texts, field, slices

@@ -47,6 +47,8 @@ TEXTS = [
 
 @pytest.fixture(scope="session")
 def odd_docs(spark):
-    rows = [(i, t, i, "a", 1, "b") for i, t in enumerate(TEXTS)]
-    rows += [(None, "no id here", None, None, None, None), (3, "a", 3, "a", 1, "b"), (3, "a", 3, "a", 1, "b")]
-    return spark.createDataFrame(rows, "doc_id long, text string, n_chars long, label string, h1 int, ids string")
+    rows = [(i, t, i, "a", 1, "b", "c", 0, 2) for i, t in enumerate(TEXTS)]
+    rows += [(None, "no id here", *[None] * 7), *[(3, "a", 3, "a", 1, "b", "c", 0, 2)] * 2]
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, n_chars long, label string, h1 int, ids string, _id string, _drops int, uid int"
+    )
