@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -122,8 +123,8 @@ def pivot_distances(fp: Column) -> list[Column]:
     return [zero, *(F.bit_count(fp.bitwiseXOR(F.lit(_mask(g)))) for g in range(PIVOT_GROUPS))]
 
 
-def pivot_cells(fp: Column) -> Column:
-    """The cells of the distance table that a fingerprint shares with all others up to two bits away.
+def pivot_cells(fps: DataFrame) -> DataFrame:
+    """`fp`, `cell`: the cells of the distance table that a fingerprint shares with all others up to two bits away.
 
     The distances to zero and to a group's pivot give the number of bits set in the
     group; the numbers of all groups, three bits each, name a cell of the table. Two
@@ -132,18 +133,19 @@ def pivot_cells(fp: Column) -> Column:
     away. Fingerprints without a common cell have some pivot distance that differs by
     more than two, or differ by more than two in all, and are discarded.
     """
-    zero, *others = pivot_distances(fp)
+    zero, *others = pivot_distances(F.col("fp"))
     sizes = [4 if g == PIVOT_GROUPS - 1 else 3 for g in range(PIVOT_GROUPS)]
     # d(f, group) = |f| + size - 2 * set bits of f in the group
-    counts = [F.shiftright(zero + size - d, 1).cast("long") for d, size in zip(others, sizes)]
-    cell = counts[0]
-    for group, count in enumerate(counts[1:], 1):
-        cell = cell.bitwiseOR(F.shiftleft(count, 3 * group))
+    counts = {f"n{g}": F.shiftright(zero + sizes[g] - d, 1).cast("long") for g, d in enumerate(others)}
+    counted = fps.select("fp", *(n.alias(name) for name, n in counts.items()))
+    cell = reduce(Column.bitwiseOR, (F.shiftleft(name, 3 * g) for g, name in enumerate(counts)))
+    placed = counted.select("fp", *counts, cell.alias("cell"))
     near = []
-    for group, (count, size) in enumerate(zip(counts, sizes)):
+    for group, (name, size) in enumerate(zip(counts, sizes)):
         step = F.lit(1 << (3 * group))
-        near += [F.when(count < size, cell + step), F.when(count > 0, cell - step)]
-    return F.array_compact(F.array(cell, *near))
+        near += [F.when(F.col(name) < size, F.col("cell") + step), F.when(F.col(name) > 0, F.col("cell") - step)]
+    around = F.explode(F.array("cell", *near)).alias("near")
+    return placed.select("fp", around).where("near IS NOT NULL").select("fp", F.col("near").alias("cell"))
 
 
 def flips(fp: Column) -> Column:
@@ -161,7 +163,9 @@ def near_links(distinct_fps: DataFrame) -> DataFrame:
     middle are that close to each other. So each middle links its neighbours to the
     smallest of them: whole links for the components, and never all pairs of a group.
     """
-    cells = distinct_fps.select("fp", F.explode(pivot_cells(F.col("fp"))).alias("cell"))
+    # A fingerprint becomes many rows: as many tasks as a shuffle has, however small the table is.
+    tasks = int(distinct_fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = pivot_cells(distinct_fps.repartition(tasks, "fp"))
     shared = cells.groupBy("cell").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi")
     survivors = cells.join(shared, "cell", "left_semi").select("fp").distinct()
     middles = survivors.select("fp", F.explode(flips(F.col("fp"))).alias("middle"))
