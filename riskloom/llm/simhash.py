@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 from functools import reduce
@@ -20,6 +21,8 @@ from riskloom.session import materialize
 SEED = 42
 SHINGLE = 3
 MAX_BITS = 2
+# Documents whose texts may be fetched by a broadcast of their places (some 60 bytes each).
+BROADCAST_PLACES = 200_000
 # Hashes whose bits are spread and summed at a time.
 _PART = 1 << 14
 
@@ -38,14 +41,11 @@ def _mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED, words: int = 1, distinct: bool = False) -> list[int]:
-    """SimHash of one text, 64 bits a word: a bit is set if more than half of the shingle hashes set it.
-
-    Repeated shingles count as often as they are there, or once if `distinct`.
-    """
+def shingle_hashes(text: str, width: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """XXH64 of each run of `width` words, ASCII letters in lower case; of all words if there are fewer."""
     tokens = text.encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return [0] * words
+        return np.empty(0, np.uint64)
     joined = b" ".join(tokens)
     width = min(width, len(tokens))
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
@@ -57,9 +57,18 @@ def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED, words: int =
         till = min(count, at + _PART)
         pairs = zip(starts[at:till].tolist(), ends[at + width - 1 : till + width - 1].tolist())
         hashes[at:till] = np.fromiter((digest(joined[s:e], seed) for s, e in pairs), np.uint64, till - at)
+    return hashes
+
+
+def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED, words: int = 1, distinct: bool = False) -> list[int]:
+    """SimHash of one text, 64 bits a word: a bit is set if more than half of the shingle hashes set it.
+
+    Repeated shingles count as often as they are there, or once if `distinct`.
+    """
+    hashes = shingle_hashes(text, width, seed)
     if distinct:
         hashes = np.unique(hashes)
-        count = len(hashes)
+    count = len(hashes)
     sums = np.zeros((words, 64), np.int64)
     for at in range(0, count, _PART):
         for turn in range(words):
@@ -209,8 +218,8 @@ def bit_chance(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def wide_links(fps: DataFrame, count: int, words: int, similarity: float, recall: float = 0.999) -> DataFrame:
-    """Links `a`, `b` (uids) between wide fingerprints (`uid`, `fp`) of about this similarity and above.
+def wide_pairs(fps: DataFrame, count: int, words: int, similarity: float, most: int, recall: float = 0.999) -> DataFrame:
+    """Pairs `a`, `b` (uids) of wide fingerprints (`uid`, `fp`) at most `most` bits apart, with `differ`.
 
     The references are the fingerprints with one bit set: two rows that are equally far
     from such a reference, and from zero, agree in its bit. With more bits to differ, a
@@ -224,24 +233,20 @@ def wide_links(fps: DataFrame, count: int, words: int, similarity: float, recall
     size = max(16, math.ceil(math.log2(max(count, 2))) + 2)
     meet = (1 - bit_chance((similarity + 0.9) / 2)) ** size
     subsets = math.ceil(math.log(1 - recall) / math.log(1 - meet))
-    # One standard deviation above the bits that differ at the similarity itself.
-    chance = bit_chance(similarity)
-    most = int(total * chance + math.sqrt(total * chance * (1 - chance)))
     drawn = np.random.default_rng(SEED)
-
-    def signed(value: int) -> int:
-        return value - (1 << 64) if value >> 63 else value
-
-    cells = []
-    for turn in range(subsets):
-        masks = [0] * words
-        for bit in drawn.choice(total, min(size, total), replace=False).tolist():
-            masks[bit // 64] |= 1 << (bit % 64)
-        parts = [F.get("fp", F.lit(w)).bitwiseAND(F.lit(signed(m))) for w, m in enumerate(masks) if m]
-        cells.append(F.xxhash64(F.lit(turn), *parts))
+    masks = np.zeros((subsets, total), np.uint8)
+    for mask in masks:
+        mask[drawn.choice(total, min(size, total), replace=False)] = 1
+    longs = np.packbits(masks, axis=1).view(">i8").astype(np.int64).tolist()
+    # One constant instead of an expression per subset: plans and generated code stay small.
+    table = F.from_json(F.lit(json.dumps(longs)), "array<array<bigint>>")
+    # A fingerprint becomes many rows: as many tasks as a shuffle has, however small the table is.
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = fps.repartition(tasks, "uid").select("uid", "fp", F.posexplode(table).alias("turn", "mask"))
+    parts = [F.get("fp", F.lit(w)).bitwiseAND(F.get("mask", F.lit(w))) for w in range(words)]
+    rows = each.select("uid", F.xxhash64("turn", *parts).alias("cell"))
     # The order inside a cell is that of the uids after an exclusive or with the cell's own name.
     place = F.col("uid").bitwiseXOR(F.col("cell"))
-    rows = fps.select("uid", F.explode(F.array(*cells)).alias("cell"))
     shared = rows.groupBy("cell").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi")
     ends = F.explode(F.array(*(F.col(c).bitwiseXOR(F.col("cell")) for c in ("lo", "hi")))).alias("b")
     pairs = rows.join(shared, "cell").select(F.col("uid").alias("a"), ends).where("a <> b")
@@ -251,7 +256,63 @@ def wide_links(fps: DataFrame, count: int, words: int, similarity: float, recall
     differ = sum(
         (F.bit_count(F.get("fp_a", F.lit(w)).bitwiseXOR(F.get("fp_b", F.lit(w)))) for w in range(words)), F.lit(0)
     )
-    return pairs.join(left, "a").join(right, "b").where(differ <= most).select("a", "b")
+    compared = pairs.join(left, "a").join(right, "b").select("a", "b", differ.alias("differ"))
+    return compared.where(F.col("differ") <= most)
+
+
+def shingle_sets(texts: DataFrame, width: int, seed: int) -> DataFrame:
+    """`uid`, `shingles` (hashes of the distinct runs of `width` words) of rows `uid`, `text`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            sets = [np.unique(shingle_hashes(t.as_py(), width, seed)).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["uid", "shingles"]
+            )
+
+    return texts.select("uid", "text").mapInArrow(run, "uid long, shingles array<long>")
+
+
+def near_groups(
+    docs: DataFrame, rows: DataFrame, fps: DataFrame, text_col: str, id_col: str, width: int, similarity: float,
+    words: int, seed: int,
+) -> DataFrame:
+    """`node`, `component` of the fingerprints (uids) with a near-copy.
+
+    Fingerprints two standard deviations nearer than the similarity asks for are links at
+    once. Pairs around it are settled by the Jaccard similarity of their shingles, unless
+    their groups are joined already, so a large group of copies is not spelled out.
+    """
+    total, chance = 64 * words, bit_chance(similarity)
+    spread = 2 * math.sqrt(total * chance * (1 - chance))
+    pairs = wide_pairs(fps, fps.count(), words, similarity, int(total * chance + spread))
+    pairs = materialize(pairs, "near-fingerprints")
+    sure = pairs.where(F.col("differ") <= int(total * chance - spread)).select("a", "b")
+    known = materialize(components(sure), "sure-groups")
+    for end in "ab":
+        found = known.select(F.col("node").alias(end), F.col("component").alias(f"group_{end}"))
+        pairs = pairs.join(found, end, "left")
+    group = {end: F.coalesce(f"group_{end}", end) for end in "ab"}
+    doubtful = materialize(pairs.where(group["a"] != group["b"]).select("a", "b"), "doubtful-pairs")
+    wanted = doubtful.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    first = F.min(F.struct(F.col(id_col).alias("id"), "h1", "h2")).alias("x")
+    places = rows.join(fps.join(wanted, "uid", "left_semi"), "fp").groupBy("uid").agg(first)
+    places = materialize(places.select("uid", "x.id", "x.h1", "x.h2"), "doubtful-documents")
+    if places.count() <= BROADCAST_PLACES:
+        places = F.broadcast(places)
+    given = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    there = (
+        F.col("doc").eqNullSafe(F.col("id"))
+        & (F.xxhash64("text") == F.col("h1"))
+        & (F.xxhash64(F.lit(1), "text") == F.col("h2"))
+    )
+    texts = given.join(places, there).select("uid", "text")
+    sets = materialize(shingle_sets(texts, width, seed).dropDuplicates(["uid"]), "shingles")
+    left = sets.select(F.col("uid").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("uid").alias("b"), F.col("shingles").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    alike = doubtful.join(left, "a").join(right, "b").where(common >= similarity * (F.size("x") + F.size("y") - common))
+    return components(sure.union(alike.select("a", "b")))
 
 
 def keep_one(
@@ -265,8 +326,9 @@ def keep_one(
 ) -> DataFrame:
     """The documents without near-copies: of each group one row stays, that with the smallest id.
 
-    Rows link when their wide fingerprints over the distinct runs of `width` words are as
-    near as those of texts with this Jaccard similarity. Of rows with that id the one with the smallest
+    Rows link when the Jaccard similarity of their distinct runs of `width` words is at
+    least `similarity`, as told by wide fingerprints, and by the shingles where these are
+    in doubt. Of rows with that id the one with the smallest
     text hash stays, and one of rows that repeat both. Rows with a null id stay only
     where a group has nothing else. Texts without words are copies of each other. All
     columns of `docs` are kept; an empty table gives an empty one.
@@ -275,19 +337,20 @@ def keep_one(
     rows = materialize(rows, "fingerprints")
     fps = rows.groupBy("fp").agg(F.count("*").alias("n")).withColumn("uid", F.monotonically_increasing_id())
     fps = materialize(fps.select("fp", "uid"), "distinct-fingerprints")
-    linked = components(wide_links(fps, fps.count(), words, similarity))
+    linked = near_groups(docs, rows, fps, text_col, id_col, width, similarity, words, seed)
     roots = fps.join(linked, fps["uid"] == linked["node"], "left").select("fp", F.coalesce("component", "uid").alias("root"))
     counted = rows.groupBy("fp", id_col, "h1", "h2").agg(F.count("*").alias("n"))
     order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "h1", "h2", "n")
     first = counted.join(roots, "fp").groupBy("root").agg(F.min(order).alias("first"))
-    kept = first.select(*(F.col(f"first.{c}").alias(f"_{c}") for c in ("id", "h1", "h2", "n")))
+    kept = first.select(*(F.col(f"first.{c}").alias(f"_kept_{c}") for c in ("id", "h1", "h2", "n")))
     text = F.coalesce(F.col(text_col), F.lit(""))
     same = (
-        F.col(id_col).eqNullSafe(F.col("_id"))
-        & (F.xxhash64(text) == F.col("_h1"))
-        & (F.xxhash64(F.lit(1), text) == F.col("_h2"))
+        F.col(id_col).eqNullSafe(F.col("_kept_id"))
+        & (F.xxhash64(text) == F.col("_kept_h1"))
+        & (F.xxhash64(F.lit(1), text) == F.col("_kept_h2"))
     )
     kept = materialize(kept, "kept-documents")
-    single = docs.join(kept.where("_n = 1"), same, "left_semi")
-    again = docs.join(kept.where("_n > 1"), same).dropDuplicates(["_id", "_h1", "_h2"]).select(docs.columns)
+    single = docs.join(kept.where("_kept_n = 1"), same, "left_semi")
+    again = docs.join(kept.where("_kept_n > 1"), same).dropDuplicates(["_kept_id", "_kept_h1", "_kept_h2"])
+    again = again.select(docs.columns)
     return single.union(again)
