@@ -23,6 +23,8 @@ SHINGLE = 3
 MAX_BITS = 2
 # Documents whose texts may be fetched by a broadcast of their places (some 60 bytes each).
 BROADCAST_PLACES = 200_000
+# Fingerprints on either side of one comparison inside a crowded cell.
+BLOCK = 512
 # Hashes whose bits are spread and summed at a time.
 _PART = 1 << 14
 
@@ -218,16 +220,15 @@ def bit_chance(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def wide_pairs(fps: DataFrame, count: int, words: int, similarity: float, most: int, recall: float = 0.999) -> DataFrame:
-    """Pairs `a`, `b` (uids) of wide fingerprints (`uid`, `fp`) at most `most` bits apart, with `differ`.
+def shared_cells(fps: DataFrame, count: int, words: int, similarity: float, recall: float = 0.999) -> DataFrame:
+    """`cell`, `uid`, `lo`, `hi`, `n`: the rows of wide fingerprints (`uid`, `fp`) in cells that hold several.
 
     The references are the fingerprints with one bit set: two rows that are equally far
     from such a reference, and from zero, agree in its bit. With more bits to differ, a
     bound over all references at once discards too little, so rows meet in cells of equal
     distances to random subsets of the references: of so many that unlike rows seldom meet
     there, in so many subsets that two rows halfway between the similarity and 0.9 meet in some
-    with the given chance. In each cell all rows are compared with the first and the last
-    in an order of the cell's own, not with each other, and Hamming distances are verified.
+    with the given chance. `lo` and `hi` are the ends of a cell in an order of its own, and `n` its rows.
     """
     total = 64 * words
     size = max(16, math.ceil(math.log2(max(count, 2))) + 2)
@@ -247,9 +248,14 @@ def wide_pairs(fps: DataFrame, count: int, words: int, similarity: float, most:
     rows = each.select("uid", F.xxhash64("turn", *parts).alias("cell"))
     # The order inside a cell is that of the uids after an exclusive or with the cell's own name.
     place = F.col("uid").bitwiseXOR(F.col("cell"))
-    shared = rows.groupBy("cell").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi")
+    shared = rows.groupBy("cell").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count("*").alias("n"))
+    return materialize(rows.join(shared.where("lo <> hi"), "cell"), "shared-cells")
+
+
+def end_pairs(cells: DataFrame, fps: DataFrame, words: int, most: int) -> DataFrame:
+    """Pairs `a`, `b` (uids) of a cell's rows with its two ends, at most `most` bits apart, with `differ`."""
     ends = F.explode(F.array(*(F.col(c).bitwiseXOR(F.col("cell")) for c in ("lo", "hi")))).alias("b")
-    pairs = rows.join(shared, "cell").select(F.col("uid").alias("a"), ends).where("a <> b")
+    pairs = cells.select(F.col("uid").alias("a"), ends).where("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     left = fps.select(F.col("uid").alias("a"), F.col("fp").alias("fp_a"))
     right = fps.select(F.col("uid").alias("b"), F.col("fp").alias("fp_b"))
@@ -260,6 +266,47 @@ def wide_pairs(fps: DataFrame, count: int, words: int, similarity: float, most:
     return compared.where(F.col("differ") <= most)
 
 
+def crowded_pairs(cells: DataFrame, fps: DataFrame, known: DataFrame, words: int, most: int, block: int = BLOCK) -> DataFrame:
+    """Pairs `a`, `b`, `differ` of all rows of a cell, not only its ends, that are not in one group yet.
+
+    Up to three rows meet through the ends. Of larger cells those that hold more than one
+    group (`node`, `component`) are cut into blocks, and each pair of blocks is one group of
+    bounded size, in which every row is compared with every other.
+    """
+    names = known.select(F.col("node").alias("uid"), "component")
+    rows = cells.where("n > 3").select("cell", "uid", "n").join(names, "uid", "left")
+    rows = rows.withColumn("root", F.coalesce("component", "uid")).drop("component")
+    mixed = rows.groupBy("cell").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("cell")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    rows = rows.join(mixed, "cell", "left_semi").join(fps.select("uid", "fp"), "uid").withColumn("blocks", blocks)
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    member = F.struct((F.col("mine") == low).alias("left"), "uid", "root", "fp").alias("m")
+    groups = rows.select("cell", low.alias("low"), high.alias("high"), member).groupBy("cell", "low", "high")
+    groups = groups.agg(F.collect_list("m").alias("m")).select((F.col("low") == F.col("high")).alias("same"), "m")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            found = [np.empty((3, 0), np.int64)]
+            for same, members in zip(batch.column(0).to_pylist(), batch.column(1)):
+                left, uid, root, fp = (members.values.field(i) for i in range(4))
+                left, uid, root = (x.to_numpy(zero_copy_only=False) for x in (left, uid, root))
+                bits = fp.flatten().to_numpy().view(np.uint64).reshape(-1, words)
+                x = np.flatnonzero(left)
+                y = x if same else np.flatnonzero(~left)
+                differ = np.zeros((len(x), len(y)), np.uint16)
+                for w in range(words):
+                    differ += np.bitwise_count(bits[x, None, w] ^ bits[None, y, w])
+                near = (differ <= most) & (root[x, None] != root[None, y])
+                i, j = np.nonzero(np.triu(near) if same else near)
+                a, b = uid[x[i]], uid[y[j]]
+                found.append(np.stack([np.minimum(a, b), np.maximum(a, b), differ[i, j].astype(np.int64)]))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found, axis=1)], names=["a", "b", "differ"])
+
+    return groups.mapInArrow(run, "a long, b long, differ long").distinct()
+
+
 def shingle_sets(texts: DataFrame, width: int, seed: int) -> DataFrame:
     """`uid`, `shingles` (hashes of the distinct runs of `width` words) of rows `uid`, `text`."""
 
@@ -273,28 +320,8 @@ def shingle_sets(texts: DataFrame, width: int, seed: int) -> DataFrame:
     return texts.select("uid", "text").mapInArrow(run, "uid long, shingles array<long>")
 
 
-def near_groups(
-    docs: DataFrame, rows: DataFrame, fps: DataFrame, text_col: str, id_col: str, width: int, similarity: float,
-    words: int, seed: int,
-) -> DataFrame:
-    """`node`, `component` of the fingerprints (uids) with a near-copy.
-
-    Fingerprints two standard deviations nearer than the similarity asks for are links at
-    once. Pairs around it are settled by the Jaccard similarity of their shingles, unless
-    their groups are joined already, so a large group of copies is not spelled out.
-    """
-    total, chance = 64 * words, bit_chance(similarity)
-    spread = 2 * math.sqrt(total * chance * (1 - chance))
-    pairs = wide_pairs(fps, fps.count(), words, similarity, int(total * chance + spread))
-    pairs = materialize(pairs, "near-fingerprints")
-    sure = pairs.where(F.col("differ") <= int(total * chance - spread)).select("a", "b")
-    known = materialize(components(sure), "sure-groups")
-    for end in "ab":
-        found = known.select(F.col("node").alias(end), F.col("component").alias(f"group_{end}"))
-        pairs = pairs.join(found, end, "left")
-    group = {end: F.coalesce(f"group_{end}", end) for end in "ab"}
-    doubtful = materialize(pairs.where(group["a"] != group["b"]).select("a", "b"), "doubtful-pairs")
-    wanted = doubtful.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+def texts_of(docs: DataFrame, rows: DataFrame, fps: DataFrame, wanted: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """`uid`, `text`: one of the texts of each wanted fingerprint (`uid`)."""
     first = F.min(F.struct(F.col(id_col).alias("id"), "h1", "h2")).alias("x")
     places = rows.join(fps.join(wanted, "uid", "left_semi"), "fp").groupBy("uid").agg(first)
     places = materialize(places.select("uid", "x.id", "x.h1", "x.h2"), "doubtful-documents")
@@ -306,13 +333,66 @@ def near_groups(
         & (F.xxhash64("text") == F.col("h1"))
         & (F.xxhash64(F.lit(1), "text") == F.col("h2"))
     )
-    texts = given.join(places, there).select("uid", "text")
-    sets = materialize(shingle_sets(texts, width, seed).dropDuplicates(["uid"]), "shingles")
+    return given.join(places, there).select("uid", "text")
+
+
+def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs whose shingles have the Jaccard similarity; pairs of too unequal sizes go first."""
+    for end in "ab":
+        pairs = pairs.join(sets.select(F.col("uid").alias(end), F.size("shingles").alias(f"n_{end}")), end)
+    least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    pairs = pairs.where(least >= similarity * most - 1e-6).select("a", "b")
     left = sets.select(F.col("uid").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("uid").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
-    alike = doubtful.join(left, "a").join(right, "b").where(common >= similarity * (F.size("x") + F.size("y") - common))
-    return components(sure.union(alike.select("a", "b")))
+    settled = pairs.join(left, "a").join(right, "b").where(common >= similarity * (F.size("x") + F.size("y") - common))
+    return settled.select("a", "b")
+
+
+def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Those of the pairs whose ends are not in one group (`node`, `component`)."""
+    for end in "ab":
+        found = known.select(F.col("node").alias(end), F.col("component").alias(f"group_{end}"))
+        pairs = pairs.join(found, end, "left")
+    return pairs.where(F.coalesce("group_a", "a") != F.coalesce("group_b", "b")).drop("group_a", "group_b")
+
+
+def near_groups(
+    docs: DataFrame, rows: DataFrame, fps: DataFrame, text_col: str, id_col: str, width: int, similarity: float,
+    words: int, seed: int,
+) -> DataFrame:
+    """`node`, `component` of the fingerprints (uids) with a near-copy.
+
+    Fingerprints two standard deviations nearer than the similarity asks for are links at
+    once. Pairs around it are settled by the Jaccard similarity of their shingles, unless
+    their groups are joined already, so a large group of copies is not spelled out. Rows
+    are compared with the ends of their cells first; what these leave apart in a cell
+    of more than three rows is compared whole.
+    """
+    total, chance = 64 * words, bit_chance(similarity)
+    spread = 2 * math.sqrt(total * chance * (1 - chance))
+    most = int(total * chance + spread)
+    cells = shared_cells(fps, fps.count(), words, similarity)
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+        texts = texts_of(docs, rows, fps, wanted, text_col, id_col)
+        return materialize(shingle_sets(texts, width, seed).dropDuplicates(["uid"]), "shingles")
+
+    pairs = materialize(end_pairs(cells, fps, words, most), "near-fingerprints")
+    links = pairs.where(F.col("differ") <= int(total * chance - spread)).select("a", "b")
+    known = materialize(components(links), "sure-groups")
+    doubtful = materialize(_apart(pairs.select("a", "b"), known), "doubtful-pairs")
+    links = materialize(links.union(alike(doubtful, sets_of(doubtful), similarity)), "near-links")
+    known = materialize(components(links), "near-groups")
+    # Whatever the ends settled stays settled.
+    rest = crowded_pairs(cells, fps, known, words, most).join(pairs, ["a", "b"], "left_anti")
+    rest = materialize(rest, "crowded-pairs")
+    if rest.isEmpty():
+        return known
+    sure = rest.where(F.col("differ") <= int(total * chance - spread)).select("a", "b")
+    doubtful = rest.where(F.col("differ") > int(total * chance - spread)).select("a", "b")
+    return components(links.union(sure).union(alike(doubtful, sets_of(doubtful), similarity)))
 
 
 def keep_one(

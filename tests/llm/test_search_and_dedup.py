@@ -192,6 +192,54 @@ def test_keep_one_keeps_one(spark, odd_docs, rows_of):
     assert simhash.keep_one(odd_docs.limit(0)).collect() == []
 
 
+def family(draw, singles, pairs, template=120, private=30, changed=10):
+    """Texts that share a template, each with words of its own; every text of the last `pairs` has a near-copy behind it."""
+    shared = [f"t{i}" for i in range(template)]
+    texts = []
+    for i in range(singles + pairs):
+        own = [f"p{draw.randrange(10**9)}" for _ in range(private)]
+        texts.append(shared + own)
+        if i >= singles:
+            texts.append(shared + own[: private - changed] + [f"q{draw.randrange(10**9)}" for _ in range(changed)])
+    return [" ".join(t) for t in texts]
+
+
+def kept_by_force(texts, similarity=0.8):
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    root = list(range(len(texts)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            common = len(x & sets[j])
+            if common >= similarity * (len(x) + len(sets[j]) - common):
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    return sorted(set(root))
+
+
+def test_keep_one_compares_all_rows_of_a_crowded_cell(spark, rows_of):
+    texts = family(random.Random(9), 500, 100)
+    expected = kept_by_force(texts)
+    assert len(expected) == 600
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r[0] for r in rows_of(simhash.keep_one(docs), "doc_id")) == expected
+
+
+@pytest.mark.parametrize("block", [8, 512])
+def test_crowded_cells_are_compared_whole(spark, block):
+    draw = np.random.default_rng(3)
+    base = draw.integers(0, 1 << 64, 4, np.uint64, endpoint=False)
+    fps = [(i, (base ^ (np.uint64(1) << draw.integers(0, 64, 4, np.uint64))).view(np.int64).tolist()) for i in range(60)]
+    known = spark.createDataFrame([(i, i % 2) for i in range(20)], "node long, component long")
+    cells = spark.createDataFrame([(c, i, 60) for c in (5, 6) for i in range(60)], "cell long, uid long, n long")
+    found = simhash.crowded_pairs(cells, spark.createDataFrame(fps, "uid long, fp array<long>"), known, 4, 7, block)
+    root = [i % 2 if i < 20 else i for i in range(60)]
+    values = [[w & (1 << 64) - 1 for w in fp] for _, fp in fps]
+    apart = {(i, j): sum((x ^ y).bit_count() for x, y in zip(values[i], values[j])) for j in range(60) for i in range(j)}
+    assert {(r.a, r.b): r.differ for r in found.collect()} == {
+        (i, j): d for (i, j), d in apart.items() if d <= 7 and root[i] != root[j]
+    }
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
