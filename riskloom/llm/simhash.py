@@ -23,6 +23,10 @@ SHINGLE = 3
 MAX_BITS = 2
 # Documents whose texts may be fetched by a broadcast of their places (some 60 bytes each).
 BROADCAST_PLACES = 200_000
+# Shingles from which the chance of a bit to differ is taken from its limit for large sets.
+SHORT = 14
+# Likely partners of each row that are settled first, beside its nearest.
+PARTNERS = 3
 # Fingerprints on either side of one comparison inside a crowded cell.
 BLOCK = 512
 # Hashes whose bits are spread and summed at a time.
@@ -68,8 +72,10 @@ def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED, words: int =
     Repeated shingles count as often as they are there, or once if `distinct`.
     """
     hashes = shingle_hashes(text, width, seed)
-    if distinct:
-        hashes = np.unique(hashes)
+    return _folded(np.unique(hashes) if distinct else hashes, words)
+
+
+def _folded(hashes: np.ndarray, words: int) -> list[int]:
     count = len(hashes)
     sums = np.zeros((words, 64), np.int64)
     for at in range(0, count, _PART):
@@ -102,7 +108,8 @@ def fingerprints(
     """`id_col`, `fp` (64-bit words as signed longs) for every row; whole texts, no shuffle.
 
     A null text counts as empty; a text without words has fingerprint zero. With
-    `keyed`, two hashes of the text (`h1`, `h2`) come along to find the row again.
+    `keyed`, two hashes of the text (`h1`, `h2`) come along to find the row again, and
+    the number of its shingles (`n_shingles`).
     """
     rows = doc_texts(docs, id_col, text_col)
     keep = [id_col, "h1", "h2"] if keyed else [id_col]
@@ -110,15 +117,19 @@ def fingerprints(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            values = [fingerprint(t.as_py(), width, seed, words, distinct) for t in batch.column(len(keep))]
+            sets = (shingle_hashes(t.as_py(), width, seed) for t in batch.column(len(keep)))
+            sized = [(_folded(x, words), len(x)) for x in (map(np.unique, sets) if distinct else sets)]
+            values = [fp for fp, _ in sized]
             flat = pa.array(np.array(values, np.uint64).reshape(-1).view(np.int64))
             offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * words)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(keep))), pa.ListArray.from_arrays(offsets, flat)],
-                names=[*keep, "fp"],
-            )
+            columns = [*(batch.column(i) for i in range(len(keep))), pa.ListArray.from_arrays(offsets, flat)]
+            if keyed:
+                columns.append(pa.array([n for _, n in sized], pa.int32()))
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
 
     schema = T.StructType([*(field(rows, c) for c in keep), T.StructField("fp", T.ArrayType(T.LongType()))])
+    if keyed:
+        schema = T.StructType([*schema, T.StructField("n_shingles", T.IntegerType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -220,30 +231,78 @@ def bit_chance(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
+def exact_chance(x: int, y: int, common: int) -> float:
+    """Chance that a SimHash bit of sets of x and y shingles differs, `common` of them shared."""
+
+    def chances(n: int) -> list[float]:
+        return [math.comb(n, k) / 2**n for k in range(n + 1)]
+
+    total = 0.0
+    for k, p in enumerate(chances(common)):
+        sets = sum(q for i, q in enumerate(chances(x - common)) if 2 * (k + i) > x)
+        other = sum(q for i, q in enumerate(chances(y - common)) if 2 * (k + i) > y)
+        total += p * (sets * (1 - other) + other * (1 - sets))
+    return total
+
+
+def worst_chances(similarity: float) -> list[float]:
+    """For the size of the smaller of two unequal sets, the largest chance that a bit of theirs differs.
+
+    Both are at least as similar as asked. Sets of few shingles are far from the limit of
+    large ones, which is the last entry and stands for SHORT shingles and more.
+    """
+    worst = []
+    for x in range(SHORT):
+        sizes = range(x, math.floor(x / similarity + 1e-9) + 1)
+        pairs = [(x, y, c) for y in sizes for c in range(1, x + 1) if c < y and c >= similarity * (x + y - c) - 1e-9]
+        worst.append(max((exact_chance(*p) for p in pairs), default=0.0))
+    return [*worst, bit_chance(similarity)]
+
+
+def cuts_of(similarity: float, total: int) -> list[int]:
+    """Most bits of `total` in which such sets differ, four standard deviations from the mean, by the smaller size."""
+    return [int(total * p + 4 * math.sqrt(total * p * (1 - p))) for p in worst_chances(similarity)]
+
+
+def subsets_for(chance: float, size: int, total: int, recall: float) -> int:
+    """Subsets of so many of the bits in which rows whose bits differ with this chance agree at least once.
+
+    The number of differing bits is spread around its mean, and the pairs far above it are those that are lost.
+    """
+    bits = range(total + 1)
+    weight = np.array([math.comb(total, d) * chance**d * (1 - chance) ** (total - d) for d in bits])
+    apart = 1 - np.array([math.comb(total - d, size) / math.comb(total, size) for d in bits])
+    subsets = 1
+    while weight @ apart**subsets > 1 - recall:
+        subsets = subsets + 1 + subsets // 50
+    return subsets
+
+
 def shared_cells(fps: DataFrame, count: int, words: int, similarity: float, recall: float = 0.999) -> DataFrame:
-    """`cell`, `uid`, `lo`, `hi`, `n`: the rows of wide fingerprints (`uid`, `fp`) in cells that hold several.
+    """`cell`, `uid`, `lo`, `hi`, `n`: the rows of wide fingerprints (`uid`, `fp`, `size`) in cells that hold several.
 
     The references are the fingerprints with one bit set: two rows that are equally far
     from such a reference, and from zero, agree in its bit. With more bits to differ, a
     bound over all references at once discards too little, so rows meet in cells of equal
     distances to random subsets of the references: of so many that unlike rows seldom meet
-    there, in so many subsets that two rows halfway between the similarity and 0.9 meet in some
-    with the given chance. `lo` and `hi` are the ends of a cell in an order of its own, and `n` its rows.
+    there, in so many subsets that two rows of the similarity meet in some with the given chance;
+    rows of few shingles, whose bits differ more often, take more subsets. `lo` and `hi` are the ends of a cell in an order of its own, and `n` its rows.
     """
     total = 64 * words
-    size = max(16, math.ceil(math.log2(max(count, 2))) + 2)
-    meet = (1 - bit_chance((similarity + 0.9) / 2)) ** size
-    subsets = math.ceil(math.log(1 - recall) / math.log(1 - meet))
+    size = min(total, max(16, math.ceil(math.log2(max(count, 2)))))
+    chances = worst_chances(similarity)
+    usual, subsets = (subsets_for(p, size, total, recall) for p in (chances[-1], max(chances)))
     drawn = np.random.default_rng(SEED)
     masks = np.zeros((subsets, total), np.uint8)
     for mask in masks:
-        mask[drawn.choice(total, min(size, total), replace=False)] = 1
+        mask[drawn.choice(total, size, replace=False)] = 1
     longs = np.packbits(masks, axis=1).view(">i8").astype(np.int64).tolist()
     # One constant instead of an expression per subset: plans and generated code stay small.
     table = F.from_json(F.lit(json.dumps(longs)), "array<array<bigint>>")
     # A fingerprint becomes many rows: as many tasks as a shuffle has, however small the table is.
     tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    each = fps.repartition(tasks, "uid").select("uid", "fp", F.posexplode(table).alias("turn", "mask"))
+    own = F.when(F.col("size") <= SHORT / similarity, table).otherwise(F.slice(table, 1, usual))
+    each = fps.repartition(tasks, "uid").select("uid", "fp", F.posexplode(own).alias("turn", "mask"))
     parts = [F.get("fp", F.lit(w)).bitwiseAND(F.get("mask", F.lit(w))) for w in range(words)]
     rows = each.select("uid", F.xxhash64("turn", *parts).alias("cell"))
     # The order inside a cell is that of the uids after an exclusive or with the cell's own name.
@@ -252,21 +311,23 @@ def shared_cells(fps: DataFrame, count: int, words: int, similarity: float, reca
     return materialize(rows.join(shared.where("lo <> hi"), "cell"), "shared-cells")
 
 
-def end_pairs(cells: DataFrame, fps: DataFrame, words: int, most: int) -> DataFrame:
-    """Pairs `a`, `b` (uids) of a cell's rows with its two ends, at most `most` bits apart, with `differ`."""
+def end_pairs(cells: DataFrame, fps: DataFrame, words: int, cuts: list[int]) -> DataFrame:
+    """Pairs `a`, `b` (uids) of a cell's rows with its two ends, with `differ`; at most the cut for their size."""
     ends = F.explode(F.array(*(F.col(c).bitwiseXOR(F.col("cell")) for c in ("lo", "hi")))).alias("b")
     pairs = cells.select(F.col("uid").alias("a"), ends).where("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    left = fps.select(F.col("uid").alias("a"), F.col("fp").alias("fp_a"))
-    right = fps.select(F.col("uid").alias("b"), F.col("fp").alias("fp_b"))
+    left = fps.select(F.col("uid").alias("a"), F.col("fp").alias("fp_a"), F.col("size").alias("size_a"))
+    right = fps.select(F.col("uid").alias("b"), F.col("fp").alias("fp_b"), F.col("size").alias("size_b"))
     differ = sum(
         (F.bit_count(F.get("fp_a", F.lit(w)).bitwiseXOR(F.get("fp_b", F.lit(w)))) for w in range(words)), F.lit(0)
     )
-    compared = pairs.join(left, "a").join(right, "b").select("a", "b", differ.alias("differ"))
-    return compared.where(F.col("differ") <= most)
+    most = F.get(F.array(*map(F.lit, cuts)), F.least("size_a", "size_b", F.lit(len(cuts) - 1)))
+    return pairs.join(left, "a").join(right, "b").where(differ <= most).select("a", "b", differ.alias("differ"))
 
 
-def crowded_pairs(cells: DataFrame, fps: DataFrame, known: DataFrame, words: int, most: int, block: int = BLOCK) -> DataFrame:
+def crowded_pairs(
+    cells: DataFrame, fps: DataFrame, known: DataFrame, words: int, cuts: list[int], block: int = BLOCK
+) -> DataFrame:
     """Pairs `a`, `b`, `differ` of all rows of a cell, not only its ends, that are not in one group yet.
 
     Up to three rows meet through the ends. Of larger cells those that hold more than one
@@ -278,26 +339,28 @@ def crowded_pairs(cells: DataFrame, fps: DataFrame, known: DataFrame, words: int
     rows = rows.withColumn("root", F.coalesce("component", "uid")).drop("component")
     mixed = rows.groupBy("cell").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("cell")
     blocks = F.ceil(F.col("n") / block).cast("int")
-    rows = rows.join(mixed, "cell", "left_semi").join(fps.select("uid", "fp"), "uid").withColumn("blocks", blocks)
+    rows = rows.join(mixed, "cell", "left_semi").join(fps.select("uid", "fp", "size"), "uid").withColumn("blocks", blocks)
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("mine", "other"), F.greatest("mine", "other")
-    member = F.struct((F.col("mine") == low).alias("left"), "uid", "root", "fp").alias("m")
+    member = F.struct((F.col("mine") == low).alias("left"), "uid", "root", "size", "fp").alias("m")
     groups = rows.select("cell", low.alias("low"), high.alias("high"), member).groupBy("cell", "low", "high")
+    limits = np.array(cuts)
     groups = groups.agg(F.collect_list("m").alias("m")).select((F.col("low") == F.col("high")).alias("same"), "m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
             found = [np.empty((3, 0), np.int64)]
             for same, members in zip(batch.column(0).to_pylist(), batch.column(1)):
-                left, uid, root, fp = (members.values.field(i) for i in range(4))
-                left, uid, root = (x.to_numpy(zero_copy_only=False) for x in (left, uid, root))
+                *plain, fp = (members.values.field(i) for i in range(5))
+                left, uid, root, size = (x.to_numpy(zero_copy_only=False) for x in plain)
                 bits = fp.flatten().to_numpy().view(np.uint64).reshape(-1, words)
                 x = np.flatnonzero(left)
                 y = x if same else np.flatnonzero(~left)
                 differ = np.zeros((len(x), len(y)), np.uint16)
                 for w in range(words):
                     differ += np.bitwise_count(bits[x, None, w] ^ bits[None, y, w])
+                most = limits[np.minimum(np.minimum(size[x, None], size[None, y]), len(limits) - 1)]
                 near = (differ <= most) & (root[x, None] != root[None, y])
                 i, j = np.nonzero(np.triu(near) if same else near)
                 a, b = uid[x[i]], uid[y[j]]
@@ -363,15 +426,13 @@ def near_groups(
 ) -> DataFrame:
     """`node`, `component` of the fingerprints (uids) with a near-copy.
 
-    Fingerprints two standard deviations nearer than the similarity asks for are links at
-    once. Pairs around it are settled by the Jaccard similarity of their shingles, unless
-    their groups are joined already, so a large group of copies is not spelled out. Rows
-    are compared with the ends of their cells first; what these leave apart in a cell
-    of more than three rows is compared whole.
+    Every link is settled by the Jaccard similarity of the shingles. Rows are compared
+    with the ends of their cells first: a few pairs of each row are settled, then those whose
+    groups are not joined by them, so a large group of copies is not spelled out. What is
+    apart still in a cell of more than three rows is compared whole.
     """
-    total, chance = 64 * words, bit_chance(similarity)
-    spread = 2 * math.sqrt(total * chance * (1 - chance))
-    most = int(total * chance + spread)
+    total = 64 * words
+    cuts, likely = cuts_of(similarity, total), int(total * bit_chance(similarity))
     cells = shared_cells(fps, fps.count(), words, similarity)
 
     def sets_of(pairs: DataFrame) -> DataFrame:
@@ -379,20 +440,27 @@ def near_groups(
         texts = texts_of(docs, rows, fps, wanted, text_col, id_col)
         return materialize(shingle_sets(texts, width, seed).dropDuplicates(["uid"]), "shingles")
 
-    pairs = materialize(end_pairs(cells, fps, words, most), "near-fingerprints")
-    links = pairs.where(F.col("differ") <= int(total * chance - spread)).select("a", "b")
-    known = materialize(components(links), "sure-groups")
-    doubtful = materialize(_apart(pairs.select("a", "b"), known), "doubtful-pairs")
-    links = materialize(links.union(alike(doubtful, sets_of(doubtful), similarity)), "near-links")
+    pairs = materialize(end_pairs(cells, fps, words, cuts), "near-fingerprints")
+    sets = sets_of(pairs)
+    both = pairs.union(pairs.select("b", "a", "differ"))
+    drawn = [F.struct(F.xxhash64(F.lit(k), "a", "b").alias("x"), "b") for k in range(PARTNERS)]
+    picked = [F.min(F.when(F.col("differ") <= likely, x))["b"] for x in drawn]
+    nearest = F.min(F.struct("differ", F.xxhash64("a", "b").alias("x"), "b"))["b"]
+    some = both.groupBy("a").agg(F.array(*picked, nearest).alias("some")).select("a", F.explode("some").alias("b"))
+    some = some.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    some = materialize(some.distinct(), "first-pairs")
+    links = materialize(alike(some, sets, similarity), "first-links")
+    known = materialize(components(links), "first-groups")
+    doubtful = _apart(pairs.select("a", "b"), known).join(some, ["a", "b"], "left_anti")
+    doubtful = materialize(doubtful, "doubtful-pairs")
+    links = materialize(links.union(alike(doubtful, sets, similarity)), "near-links")
     known = materialize(components(links), "near-groups")
     # Whatever the ends settled stays settled.
-    rest = crowded_pairs(cells, fps, known, words, most).join(pairs, ["a", "b"], "left_anti")
+    rest = crowded_pairs(cells, fps, known, words, cuts).join(pairs, ["a", "b"], "left_anti").select("a", "b")
     rest = materialize(rest, "crowded-pairs")
     if rest.isEmpty():
         return known
-    sure = rest.where(F.col("differ") <= int(total * chance - spread)).select("a", "b")
-    doubtful = rest.where(F.col("differ") > int(total * chance - spread)).select("a", "b")
-    return components(links.union(sure).union(alike(doubtful, sets_of(doubtful), similarity)))
+    return components(links.union(alike(rest, sets_of(rest), similarity)))
 
 
 def keep_one(
@@ -407,16 +475,16 @@ def keep_one(
     """The documents without near-copies: of each group one row stays, that with the smallest id.
 
     Rows link when the Jaccard similarity of their distinct runs of `width` words is at
-    least `similarity`, as told by wide fingerprints, and by the shingles where these are
-    in doubt. Of rows with that id the one with the smallest
+    least `similarity`; wide fingerprints bring the pairs together, the shingles settle
+    each. Of rows with that id the one with the smallest
     text hash stays, and one of rows that repeat both. Rows with a null id stay only
     where a group has nothing else. Texts without words are copies of each other. All
     columns of `docs` are kept; an empty table gives an empty one.
     """
     rows = fingerprints(docs, id_col, text_col, width, seed, words, distinct=True, keyed=True)
     rows = materialize(rows, "fingerprints")
-    fps = rows.groupBy("fp").agg(F.count("*").alias("n")).withColumn("uid", F.monotonically_increasing_id())
-    fps = materialize(fps.select("fp", "uid"), "distinct-fingerprints")
+    fps = rows.groupBy("fp").agg(F.min("n_shingles").alias("size")).withColumn("uid", F.monotonically_increasing_id())
+    fps = materialize(fps, "distinct-fingerprints")
     linked = near_groups(docs, rows, fps, text_col, id_col, width, similarity, words, seed)
     roots = fps.join(linked, fps["uid"] == linked["node"], "left").select("fp", F.coalesce("component", "uid").alias("root"))
     counted = rows.groupBy("fp", id_col, "h1", "h2").agg(F.count("*").alias("n"))

@@ -228,18 +228,34 @@ def test_keep_one_compares_all_rows_of_a_crowded_cell(spark, rows_of):
 def test_crowded_cells_are_compared_whole(spark, block):
     draw = np.random.default_rng(3)
     base = draw.integers(0, 1 << 64, 4, np.uint64, endpoint=False)
-    fps = [(i, (base ^ (np.uint64(1) << draw.integers(0, 64, 4, np.uint64))).view(np.int64).tolist()) for i in range(60)]
+    fps = [(i, (base ^ (np.uint64(1) << draw.integers(0, 64, 4, np.uint64))).view(np.int64).tolist(), 50) for i in range(60)]
     known = spark.createDataFrame([(i, i % 2) for i in range(20)], "node long, component long")
     cells = spark.createDataFrame([(c, i, 60) for c in (5, 6) for i in range(60)], "cell long, uid long, n long")
-    found = simhash.crowded_pairs(cells, spark.createDataFrame(fps, "uid long, fp array<long>"), known, 4, 7, block)
+    found = simhash.crowded_pairs(cells, spark.createDataFrame(fps, "uid long, fp array<long>, size int"), known, 4, [7], block)
     root = [i % 2 if i < 20 else i for i in range(60)]
-    values = [[w & (1 << 64) - 1 for w in fp] for _, fp in fps]
+    values = [[w & (1 << 64) - 1 for w in fp] for _, fp, _ in fps]
     apart = {(i, j): sum((x ^ y).bit_count() for x, y in zip(values[i], values[j])) for j in range(60) for i in range(j)}
     assert {(r.a, r.b): r.differ for r in found.collect()} == {
         (i, j): d for (i, j), d in apart.items() if d <= 7 and root[i] != root[j]
     }
 
 
+def test_keep_one_settles_every_pair_by_its_shingles(spark, rows_of):
+    draw = random.Random(6)
+    texts = []
+    for i in range(150):
+        words = [f"s{draw.randrange(10**9)}" for _ in range(20)]
+        # Eight and nine words are 4 and 5 shingles, 0.8; 11 and 13 words share 7 of 9, 0.78.
+        texts += [" ".join(words[:8]), " ".join(words[:9])]
+        other = [f"u{draw.randrange(10**9)}" for _ in range(20)]
+        texts += [" ".join(other[:11]), " ".join(other[:13])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = kept_by_force(texts)
+    assert len(expected) == 450
+    kept = {r[0] for r in rows_of(simhash.keep_one(docs), "doc_id")}
+    assert kept >= set(expected) and len(kept - set(expected)) <= 1
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
