@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -108,6 +109,16 @@ def test_forest_finds_all_links(spark, leaf):
     assert all(r.kept == (i == r.component_id) for i, r in found.items())
 
 
+def test_forest_finds_links_of_a_large_tight_group(spark):
+    draw = np.random.default_rng(12)
+    noise = draw.standard_normal((2500, 64)) * np.sqrt(0.06 / 64)
+    rows = forest.unit_rows(pa.array((noise + np.eye(64)[0]).tolist()))
+    links = int((rows @ rows.T >= 0.93).sum()) - len(rows)
+    df = spark.createDataFrame([(i, "a", v) for i, v in enumerate(rows.tolist())], "vec_id long, label string, embedding array<double>")
+    found = forest.near_vectors(df, leaf=80, block=80).agg(F.sum("n_links")).first()[0]
+    assert links > 100_000 and 0.98 * links <= found <= links
+
+
 def test_forest_keeps_a_tight_group_whole(spark):
     draw = np.random.default_rng(1)
     centre = draw.standard_normal(16)
