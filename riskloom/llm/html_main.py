@@ -18,8 +18,8 @@ from riskloom.session import materialize, ship_package
 
 # Most hosts whose winning paths are broadcast (a row is under 1 kB); beyond, they are joined by shuffle.
 BROADCAST_HOSTS = 20_000
-# A page keeps the host's path only if it yields this share of the page's own best container.
-AGREEMENT = 0.4
+# Share of a page's clean text that its best container, and the host's path where a page follows it, hold at least.
+NEARLY = 0.98
 _PATH_STEPS = 8
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -196,31 +196,30 @@ class Page:
         return {e for e in elements if e == 0 or not inside[self.parents[e]]}
 
     def scores(self) -> list[tuple[int, int, int]]:
-        """Containers with their score (0 to 1200) and number of clean letters outside links, best first.
+        """Containers with their score (0 to 1000) and number of clean letters outside links, best first.
 
-        The score is the share of the page's clean text that the container holds, times
-        the share of its text that is clean.
+        The score is the share of the page's clean text that the container holds. The smallest
+        container that holds nearly all of it is the best; junk inside does not count, as
+        it goes anyway. An article or a main element goes before others of its size.
         """
-        clean, everything = [0] * len(self.tags), [0] * len(self.tags)
+        clean = [0] * len(self.tags)
         for element, _, text, linked in self.texts:
-            letters = len(text) - text.count(" ")
-            everything[element] += letters
-            clean[element] += 0 if linked or self.junk[element] else letters
+            clean[element] += 0 if linked or self.junk[element] else len(text) - text.count(" ")
         for e in range(len(self.tags) - 1, 0, -1):
-            everything[self.parents[e]] += everything[e]
             clean[self.parents[e]] += clean[e]
         total = clean[0]
         found = []
         for e in range(len(self.tags)):
             if total and clean[e] and not self.junk[e] and (e == 0 or self.tags[e] in CONTAINERS):
-                score = 1000 * clean[e] // total * clean[e] // everything[e]
-                if self.tags[e] in ("article", "main"):
-                    score = score * 12 // 10
-                elif GOOD_WORDS & set(_NAME_PARTS.findall(self.steps[e].partition(".")[2])):
-                    score = score * 11 // 10
-                found.append((e, score, clean[e]))
-        # The innermost (latest) of equal containers comes first.
-        return sorted(found, key=lambda x: (-x[1], -x[0]))
+                found.append((e, 1000 * clean[e] // total, clean[e]))
+
+        def place(x: tuple[int, int, int]) -> tuple:
+            whole = x[2] >= NEARLY * total
+            named = self.tags[x[0]] in ("article", "main") or GOOD_WORDS & set(_NAME_PARTS.findall(self.steps[x[0]].partition(".")[2]))
+            # Of containers with nearly all the smallest, of the others the largest; the innermost (latest) of equal ones.
+            return (not whole, x[2] if whole else -x[2], not named, -x[0])
+
+        return sorted(found, key=place)
 
     def text(self, roots: set[int]) -> str:
         """Clean text inside the roots: a block's white space is one space, blocks are lines."""
@@ -241,15 +240,15 @@ def vote(source: str) -> tuple[str, int] | None:
 
 
 def main_text(source: str, path: str | None) -> str:
-    """Text of the containers on the host's path, or of the page's own best one where that path misses."""
+    """Text of the containers on the host's path, or of the page's own best one where that path leaves text out."""
     page = Page(source)
     ranked = page.scores()
     if not ranked:
         return ""
-    best, _, most = ranked[0]
+    best, most = ranked[0][0], max(clean for _, _, clean in ranked)
     agreed = {e: clean for e, _, clean in ranked if path is not None and page.path(e) == path}
     roots = page.outermost(agreed)
-    if sum(agreed[e] for e in roots) < AGREEMENT * most:
+    if sum(agreed[e] for e in roots) < NEARLY * most:
         roots = {best}
     return page.text(roots)
 
