@@ -18,8 +18,10 @@ from riskloom.session import materialize, ship_package
 
 # Most hosts whose winning paths are broadcast (a row is under 1 kB); beyond, they are joined by shuffle.
 BROADCAST_HOSTS = 20_000
-# Share of a page's clean text that its best container, and the host's path where a page follows it, hold at least.
-NEARLY = 0.98
+# Share of a page's clean text that its best container holds at least.
+NEARLY = 0.9
+# A page keeps the host's path only if it yields this share of the page's own best container.
+AGREEMENT = 0.4
 _PATH_STEPS = 8
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -240,15 +242,15 @@ def vote(source: str) -> tuple[str, int] | None:
 
 
 def main_text(source: str, path: str | None) -> str:
-    """Text of the containers on the host's path, or of the page's own best one where that path leaves text out."""
+    """Text of the containers on the host's path, or of the page's own best one where that path misses."""
     page = Page(source)
     ranked = page.scores()
     if not ranked:
         return ""
-    best, most = ranked[0][0], max(clean for _, _, clean in ranked)
+    best, _, most = ranked[0]
     agreed = {e: clean for e, _, clean in ranked if path is not None and page.path(e) == path}
     roots = page.outermost(agreed)
-    if sum(agreed[e] for e in roots) < NEARLY * most:
+    if sum(agreed[e] for e in roots) < AGREEMENT * most:
         roots = {best}
     return page.text(roots)
 
