@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from conftest import values
+from helpers import values
 
 from riskloom.operators import cleaning as C
 from riskloom.plans import loans as P

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from riskloom.operators import encoding as E

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from riskloom import schemas as S

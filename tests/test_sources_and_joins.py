@@ -4,7 +4,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import types as T
 
 from riskloom.operators import cleaning as C
