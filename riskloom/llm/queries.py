@@ -19,6 +19,7 @@ from riskloom.llm import (
     line_dedup,
     packing,
     quality,
+    sharding,
     simhash,
     va_search,
     wordpiece,
@@ -181,6 +182,57 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+SHARDS = 24
+
+
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.assign_shards(table(spark, folder, "documents"), SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+# CRC-32 of the bytes `b` (a list), one table step a byte.
+CRC_TABLE = """crcs as (
+  select list(c order by i) as t from (
+    select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, z: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) as c
+    from (select unnest(range(256)) as i))
+)"""
+CRC = "xor(list_reduce([4294967295] || b, lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295)"
+
+OP13_SQL = f"""
+with {CRC_TABLE}, given as (
+  select doc_id, coalesce(text, '') as text, md5(coalesce(text, '')) as digest from documents
+), keyed as (
+  select *, [('0x' || x)::bigint for x in regexp_extract_all(hex(text), '..')] as b, strlen(text) + 8 as size,
+    ('0x' || left(digest, 15))::bigint as h, ('0x' || left(md5(concat_ws(':', doc_id, digest)), 15))::bigint as g
+  from given
+), below as (
+  select *, sum(size) over (order by h, g groups between unbounded preceding and current row)
+    - sum(size) over (partition by h, g) as below, sum(size) over () as total
+  from keyed
+), levels as (
+  select unnest(range({-(-60 // sharding.round_bits(SHARDS))})) as level,
+    unnest([greatest(0, 60 - {sharding.round_bits(SHARDS)} * (i + 1)) for i in range({-(-60 // sharding.round_bits(SHARDS))})]) as s
+), edges as (
+  select level, min(below) as edge from below, levels group by level, h >> s
+  union all select 100 + level, min(below) from below, levels group by level, h, g >> s
+  union all select level + k, max(total) from below, levels, (select unnest([0, 100]) as k) group by level, k
+), nearest as (
+  select i, level, min(abs(edge * {SHARDS} - total * i)) as gap, min_by(edge, (abs(edge * {SHARDS} - total * i), edge)) as edge
+  from edges, (select max(total) as total from below), (select unnest(range(1, {SHARDS})) as i) group by i, level
+), cuts as (
+  select i, min_by(edge, level) as edge from nearest, (select max(total) as total from below), (select max(level) as last from edges)
+  where gap * {sharding.PARTS} <= total or level = last group by i
+), placed as (
+  select doc_id, size, b, h, g, (select count(*) from cuts where edge <= below.below) as shard from below
+)
+select doc_id, size::bigint as size, {CRC}::bigint as text_crc32, 'bytes' as law, shard::integer as shard,
+  (row_number() over (partition by shard order by g, h) - 1)::bigint as slot, null::integer as grown_shard
+from placed, crcs
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -194,6 +246,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit,
         op9_simhash,
         op10_main_text,
+        op13_sharding,
     )
 }
-SQL: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op4_line_dedup": OP4_SQL, "op6_chat_format": OP6_SQL}
+SQL: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op4_line_dedup": OP4_SQL, "op6_chat_format": OP6_SQL, "op13_sharding": OP13_SQL}
