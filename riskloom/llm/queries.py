@@ -22,6 +22,7 @@ from riskloom.llm import (
     sharding,
     simhash,
     va_search,
+    whitening,
     wordpiece,
 )
 from riskloom.llm.common import field, slices, small_batches
@@ -182,6 +183,14 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    white = whitening.whiten(table(spark, folder, "embeddings"))
+    return white.select(
+        "vec_id", "component", "n", F.expr("try_cast(deviation as bigint)").alias("deviation"), "whitened", "explained",
+        "identity_error", F.col("deviation").alias("deviation_exact"),
+    )
+
+
 SHARDS = 24
 
 
@@ -246,6 +255,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit,
         op9_simhash,
         op10_main_text,
+        op12_whitening,
         op13_sharding,
     )
 }
