@@ -21,6 +21,7 @@ from riskloom.llm import (
     quality,
     sharding,
     simhash,
+    spelling,
     va_search,
     whitening,
     wordpiece,
@@ -183,6 +184,13 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+SLIP = 31
+
+
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"), slip=SLIP)
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     white = whitening.whiten(table(spark, folder, "embeddings"))
     return white.select(
@@ -210,6 +218,41 @@ CRC_TABLE = """crcs as (
 )"""
 CRC = "xor(list_reduce([4294967295] || b, lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295)"
 
+OP11_SQL = rf"""
+with recursive {CRC_TABLE}, runs as (
+  select doc_id, word, count(*) as times, [('0x' || x)::bigint for x in regexp_extract_all(hex(concat(doc_id, ':', word)), '..')] as b
+  from (
+    select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as word from documents
+  ) group by doc_id, word
+), hashed as (
+  select word, times, {CRC}::bigint as h from runs, crcs
+), cut as (
+  select times, case when h % {SLIP} = 0 then left(word, h % length(word)) || substr(word, h % length(word) + 2) else word end as word
+  from hashed
+), words as (
+  select word, sum(times)::bigint as n from cut where length(word) >= 7 group by word having sum(times) >= 2
+), shorter as (
+  select word, n, i, left(word, i - 1) || substr(word, i + 1) as v
+  from (select *, unnest(range(1, length(word) + 1)) as i from words)
+), near as (
+  select a.word, b.word as other, b.n from shorter as a join shorter as b on a.v = b.v and a.i = b.i and a.word <> b.word
+  union select a.word, b.word, b.n from words as a join shorter as b on a.word = b.v
+  union select b.word, a.word, a.n from words as a join shorter as b on a.word = b.v
+), best as (
+  select word, count(*) as n_near, arg_min({{'form': other, 'n': n}}, (-n, other)) as best from near group by word
+), formed as (
+  select words.word, words.n, coalesce(n_near, 0) as n_near, case when best.n >= 10 * words.n then best.form end as form,
+    case when best.n >= 10 * words.n then best.n end as form_n
+  from words left join best using (word)
+), follow as (
+  select word, form as root from formed where form is not null
+  union all select follow.word, formed.form from follow join formed on formed.word = follow.root where formed.form is not null
+)
+select word, form, coalesce((select arg_max(root, (select n from words where words.word = root)) from follow
+  where follow.word = formed.word), word) as root, n, n_near::bigint as n_near, form_n from formed
+"""
+
 OP13_SQL = f"""
 with {CRC_TABLE}, given as (
   select doc_id, coalesce(text, '') as text, md5(coalesce(text, '')) as digest from documents
@@ -255,8 +298,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit,
         op9_simhash,
         op10_main_text,
+        op11_spelling,
         op12_whitening,
         op13_sharding,
     )
 }
-SQL: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op4_line_dedup": OP4_SQL, "op6_chat_format": OP6_SQL, "op13_sharding": OP13_SQL}
+SQL: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op4_line_dedup": OP4_SQL, "op6_chat_format": OP6_SQL, "op11_spelling": OP11_SQL, "op13_sharding": OP13_SQL}
