@@ -19,7 +19,7 @@ LEAST_COUNT = 2
 # A form occurs at least so many times as often as its variant.
 FACTOR = 10
 # Words whose trie one task builds, and the letters of the borders between them.
-PART_WORDS = 32_768
+PART_WORDS = 8_192
 BORDER_LETTERS = 64
 # Words drawn for each border.
 DRAWN = 16
