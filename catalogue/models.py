@@ -21,7 +21,7 @@ from riskloom.operators.labels import filter_loan_status
 from riskloom.plans import bundle as B
 from riskloom.plans import loans as P
 from riskloom.plans import modelling as M
-from riskloom.plans.stumps import scored_by
+from riskloom.plans.baseline import scored_by
 from riskloom.session import materialize, staging_dir
 from riskloom.streaming import scoring as T
 

@@ -6,18 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    LinearSVCModel,
-    LogisticRegressionModel,
-    RandomForestClassificationModel,
-)
+from pyspark.ml.classification import LinearSVCModel, LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schemas as S
 from riskloom.functions.exprs import col, not_nan
 from riskloom.operators.encoding import code_to_label, feature_extent
+from riskloom.plans.ensembles import TreeModel
 from riskloom.plans.modelling import Fitted
 
 META_SCHEMA = (
@@ -26,10 +22,7 @@ META_SCHEMA = (
 )
 MODEL_CLASSES = {
     c.__name__: c
-    for c in (
-        PipelineModel, LogisticRegressionModel, LinearSVCModel, GBTClassificationModel,
-        RandomForestClassificationModel,
-    )
+    for c in (PipelineModel, LogisticRegressionModel, LinearSVCModel, TreeModel)
 }
 
 

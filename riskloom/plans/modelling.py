@@ -9,12 +9,7 @@ from functools import reduce
 from itertools import product
 
 from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -30,7 +25,8 @@ from riskloom.operators.cleaning import median_fill
 from riskloom.operators.encoding import margin_to_probability
 from riskloom.operators.joins import feature_score_join, models_vs_baseline
 from riskloom.operators.sampling import with_folds
-from riskloom.plans.stumps import BoostedStumps, MajorityClass
+from riskloom.plans.baseline import MajorityClass
+from riskloom.plans.ensembles import BaggedTrees, BoostedStumps, GradientBoosting, impurity_importances
 from riskloom.session import materialize
 
 LABEL, FEATURES, WEIGHT, FOLD = "label", "features", "weight", "fold"
@@ -40,7 +36,6 @@ FEATURES_KEPT = 30
 FOLDS = 5
 SEED = 39
 ROWS_PER_TASK = 50_000
-POSITIVE_WEIGHT_FACTORS = [1.0, 0.5, 1.5]
 GRIDS = {
     "ZeroR Baseline": {"strategy": ["most_frequent", "prior", "stratified", "uniform"]},
     "Logistic Regression": {"C": [0.001, 0.01, 0.1, 1.0, 10.0], "maxIter": [200, 300, 500, 1000]},
@@ -52,14 +47,14 @@ GRIDS = {
         "maxDepth": [1, 2, 3], "minInstancesPerNode": [1, 5, 10, 20],
     },
     "Gradient Boosting": {
-        "maxIter": [100, 200, 300, 400], "maxDepth": [3, 4, 6, 8],
-        "stepSize": [0.01, 0.03, 0.05, 0.1], "subsamplingRate": [0.6, 0.8, 1.0],
-        "featureSubsetStrategy": ["0.6", "0.8", "1.0"], "minInstancesPerNode": [1, 3, 5],
-        "minInfoGain": [0.0, 0.1, 0.3], "weightCol": ["weight_100", "weight_050", "weight_150"],
+        "numTrees": [100, 200, 300, 400], "maxDepth": [3, 4, 6, 8],
+        "stepSize": [0.01, 0.03, 0.05, 0.1], "subsample": [0.6, 0.8, 1.0],
+        "columnSample": [0.6, 0.8, 1.0], "minChildWeight": [1.0, 3.0, 5.0],
+        "gamma": [0.0, 0.1, 0.3], "positiveWeight": [1.0, 0.5, 1.5], "balance": [True],
     },
     "Bagging": {
-        "numTrees": [100, 200, 300], "subsamplingRate": [0.6, 0.8, 1.0],
-        "featureSubsetStrategy": ["0.6", "0.8", "1.0"],
+        "numTrees": [100, 200, 300], "rowSample": [0.6, 0.8, 1.0],
+        "columnSample": [0.6, 0.8, 1.0], "bootstrapFeatures": [False, True],
     },
 }
 
@@ -97,19 +92,14 @@ def assembled(
 
 
 def with_weights(df: DataFrame, sizes: dict) -> DataFrame:
-    """Balanced class weights, and the positive-class weights of the boosting grid."""
+    """Balanced class weights."""
     n, k = sum(sizes.values()), len(sizes)
     balanced = reduce(
         lambda w, c: F.when(F.col(LABEL) == F.lit(c), n / (k * sizes[c])).otherwise(w),
         sizes,
         F.lit(1.0),
     )
-    positive = sizes.get(0.0, 0) / (sizes.get(1.0, 0) + 1e-6)
-    factors = {
-        f"weight_{int(f * 100):03d}": F.when(F.col(LABEL) == 1, positive * f).otherwise(1.0)
-        for f in POSITIVE_WEIGHT_FACTORS
-    }
-    return df.withColumns({WEIGHT: balanced, **factors})
+    return df.withColumn(WEIGHT, balanced)
 
 
 def training_matrix(
@@ -161,11 +151,11 @@ def _boosted_stumps(settings, features, n):
 
 
 def _gradient_boosting(settings, features, n):
-    return GBTClassifier(seed=SEED, **settings)
+    return GradientBoosting(inputNames=list(features), seed=SEED, **settings)
 
 
 def _bagged_trees(settings, features, n):
-    return RandomForestClassifier(weightCol=WEIGHT, bootstrap=True, seed=SEED, **settings)
+    return BaggedTrees(inputNames=list(features), weightCol=WEIGHT, seed=SEED, **settings)
 
 
 MODEL_SPECS = [
@@ -178,15 +168,9 @@ MODEL_SPECS = [
     ),
     ModelSpec(
         "Gradient Boosting", _gradient_boosting,
-        {"maxIter": 300, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
-         "featureSubsetStrategy": "0.8"},
-        "vector",
-    ),
-    ModelSpec(
-        "Bagging", _bagged_trees,
-        {"numTrees": 200, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "maxDepth": 30},
-        "vector",
+        {"numTrees": 300, "maxDepth": 6, "stepSize": 0.05, "subsample": 0.8, "columnSample": 0.8}, "column",
     ),
+    ModelSpec("Bagging", _bagged_trees, {"numTrees": 200, "rowSample": 0.8, "columnSample": 0.8}, "column"),
 ]
 
 
@@ -335,10 +319,13 @@ def forest_importance(
     filled = [c for c in columns if c in S.numeric_columns(rows)]
     matrix = assembled(rows.na.fill(0.0, subset=filled), filled, label)
     matrix = materialize(with_weights(matrix, group_sizes(matrix, LABEL)), "forest")
-    forest = RandomForestClassifier(
-        labelCol=LABEL, weightCol=WEIGHT, numTrees=trees, maxDepth=depth, seed=seed
-    ).fit(matrix)
-    rows = [(c, float(v)) for c, v in zip(filled, forest.featureImportances, strict=True)]
+    each = max(1, round(len(filled) ** 0.5))
+    forest = BaggedTrees(
+        inputNames=filled, weightCol=WEIGHT, numTrees=trees, maxDepth=depth, rowSample=1.0, columnSample=1.0,
+        nodeColumns=each, seed=seed,
+    )
+    found = impurity_importances(forest.grown(matrix)[2], len(filled))
+    rows = [(c, float(v)) for c, v in zip(filled, found, strict=True)]
     return df.sparkSession.createDataFrame(rows, "feature string, random_forest double")
 
 

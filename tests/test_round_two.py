@@ -93,35 +93,6 @@ def test_roc_curve_starts_at_zero(make):
     assert points[0].threshold == float("inf")
 
 
-def test_boosting_probability_and_many_rounds(spark, make, monkeypatch):
-    from riskloom.plans import stumps
-
-    monkeypatch.setattr(stumps, "STORED_ROUNDS", 3)
-    rows = [(float(x), float((x > 3) ^ (x > 8) ^ (x == 5))) for x in range(12)] * 3
-    matrix = M.assembled(make("x double, y double", *rows), ["x"], "y")
-    rounds = 8
-    fitted = stumps.BoostedStumps(
-        inputNames=["x"], numRounds=rounds, stepSize=1.0, maxDepth=1, minInstancesPerNode=1
-    ).fit(matrix)
-    got = {r.x: r for r in fitted.transform(matrix).collect()}
-    x, y = np.array(rows).T
-    w, votes, total = np.full(len(x), 1 / len(x)), np.zeros(len(x)), 0.0
-    for _ in range(rounds):
-        cuts = [np.where(x <= c, a, 1 - a) for c in range(11) for a in (0, 1)]
-        said = min(cuts, key=lambda s: (round(w[s != y].sum(), 12)))
-        error = w[said != y].sum()
-        alpha = np.log((1 - error) / error)
-        votes += alpha * (2 * said - 1)
-        total += alpha
-        w = w * np.exp(alpha * (said != y))
-        w /= w.sum()
-    # Gini and error may pick different stumps; odds must be exp(2 * margin) in any case.
-    margins = {a: np.log(r.probability / (1 - r.probability)) / 2 for a, r in got.items()}
-    assert all((m > 0) == (got[a].prediction == 1) for a, m in margins.items())
-    assert max(abs(m) for m in margins.values()) <= 1 + 1e-9
-    assert np.mean([got[a].prediction == b for a, b in zip(x, y, strict=True)]) >= np.mean((votes > 0) == (y == 1)) - 0.1
-
-
 def test_discard_removes_a_staged_table(spark):
     staged = materialize(spark.range(10))
     folder = staged.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://").removeprefix("file:")
