@@ -19,6 +19,7 @@ from riskloom.operators import cleaning as C
 from riskloom.operators import scoring
 from riskloom.operators.labels import filter_loan_status
 from riskloom.plans import bundle as B
+from riskloom.plans import linear as L
 from riskloom.plans import loans as P
 from riskloom.plans import modelling as M
 from riskloom.plans.baseline import scored_by
@@ -122,6 +123,92 @@ def random_search_tune(spark, sf):
     )
 
 
+# Two features of every resolved loan, with balanced class weights and the fold of each loan.
+PLANE = ["x1", "x2"]
+PLANE_SQL = """plane AS (
+  SELECT (int_rate - 15) / 10 AS x1, coalesce(dti, 0) / 60 AS x2, loan_status AS y,
+    count(*) OVER () / (2 * count(*) OVER (PARTITION BY loan_status))::DOUBLE AS w,
+    ((r > n * 1 // 5)::INTEGER + (r > n * 2 // 5)::INTEGER + (r > n * 3 // 5)::INTEGER + (r > n * 4 // 5)::INTEGER) AS fold
+  FROM (SELECT *, count(*) OVER (PARTITION BY loan_status) AS n,
+          row_number() OVER (PARTITION BY loan_status ORDER BY md5('39-' || id::VARCHAR)) AS r FROM modelled))"""
+# Loss derivatives by the margin m, times the weight; the ridge of the intercept.
+LOGISTIC_SQL = ("w * (1 / (1 + exp(-m)) - y)", "w * exp(-abs(m)) / (1 + exp(-abs(m))) ** 2", 0)
+HINGE_SQL = ("w * -2 * (2 * y - 1) * greatest(0, 1 - (2 * y - 1) * m)", "w * 2 * ((2 * y - 1) * m < 1)::INTEGER", 1)
+
+
+def _newton_sql(loss: tuple[str, str, int], starts: str, steps: int) -> str:
+    """Recursive table `newton` of coefficients for each (c, fold left out), by plain Newton steps."""
+    slope, curve, ridge = loss
+    sums = ", ".join(f"c * sum({curve} * {x}) + {r} AS {n}" for n, x, r in (
+        ("a", "1", ridge), ("b", "x1", 0), ("d", "x2", 0), ("e", "x1 * x1", 1), ("f", "x1 * x2", 0), ("g", "x2 * x2", 1)))
+    return f"""newton AS (
+  {starts}
+  UNION ALL SELECT k + 1, c, left_out,
+    b0 - ((e * g - f * f) * g0 + (d * f - b * g) * g1 + (b * f - d * e) * g2) / det,
+    b1 - ((d * f - b * g) * g0 + (a * g - d * d) * g1 + (b * d - a * f) * g2) / det,
+    b2 - ((b * f - d * e) * g0 + (b * d - a * f) * g1 + (a * e - b * b) * g2) / det
+  FROM (SELECT *, a * (e * g - f * f) - b * (b * g - d * f) + d * (b * f - d * e) AS det FROM (
+    SELECT k, c, left_out, b0, b1, b2, c * sum({slope}) + {ridge} * b0 AS g0, c * sum({slope} * x1) + b1 AS g1,
+      c * sum({slope} * x2) + b2 AS g2, {sums}
+    FROM (SELECT *, b0 + b1 * x1 + b2 * x2 AS m FROM newton, plane WHERE k < {steps} AND fold <> left_out)
+    GROUP BY k, c, left_out, b0, b1, b2)))"""
+
+
+def _coefficients_sql(loss, c):
+    start = f"SELECT 0 AS k, {c}::DOUBLE AS c, -1 AS left_out, 0::DOUBLE AS b0, 0::DOUBLE AS b1, 0::DOUBLE AS b2"
+    return query(
+        """SELECT unnest(['x1', 'x2', 'intercept']) AS feature, round(unnest([b1, b2, b0]), 6) AS coefficient
+           FROM newton WHERE k = 25""",
+        PLANE_SQL + ", " + _newton_sql(loss, start, 25),
+    ).replace("WITH", "WITH RECURSIVE", 1)
+
+
+def _plane(spark, sf):
+    rows = filter_loan_status(V.loans(spark, sf, "id", "loan_status", "int_rate", "dti")).select(
+        "id", "loan_status", ((F.col("int_rate") - 15) / 10).alias("x1"), (F.coalesce("dti", F.lit(0)) / 60).alias("x2")
+    )
+    return M.training_matrix(rows, PLANE)
+
+
+def _coefficients(spark, sf, loss, c):
+    matrix = _plane(spark, sf)
+    blocks = L.row_blocks(matrix, PLANE, M.LABEL, M.WEIGHT, None)
+    found = L.fit_candidates(blocks, len(PLANE), loss, [L.Candidate(c)], loss != "logistic")[:, 0]
+    rows = [(f, float(b)) for f, b in zip([*PLANE, "intercept"], found)]
+    return rounded(spark.createDataFrame(rows, "feature string, coefficient double"), 6)
+
+
+@register("M6_logistic_coefficients", _coefficients_sql(LOGISTIC_SQL, 0.01))
+def logistic_coefficients(spark, sf):
+    return _coefficients(spark, sf, "logistic", 0.01)
+
+
+@register("M7_svm_coefficients", _coefficients_sql(HINGE_SQL, 0.01))
+def svm_coefficients(spark, sf):
+    return _coefficients(spark, sf, "squared hinge", 0.01)
+
+
+SEARCHED = [0.0001, 0.01, 1.0]
+
+
+@register(
+    "M11_search_scores",
+    query(
+        """SELECT c, round(avg(5 * tp / greatest(5 * tp + 4 * fn + fp, 1)), 9) AS f2 FROM (
+             SELECT c, left_out, count(*) FILTER (said AND y = 0) AS fp, count(*) FILTER (NOT said AND y = 1) AS fn,
+               (count(*) FILTER (said AND y = 1))::DOUBLE AS tp
+             FROM (SELECT c, left_out, y, b0 + b1 * x1 + b2 * x2 > 0 AS said FROM newton, plane WHERE k = 25 AND fold = left_out)
+             GROUP BY c, left_out) GROUP BY c""",
+        PLANE_SQL + ", " + _newton_sql(LOGISTIC_SQL, "SELECT 0 AS k, c, left_out, 0::DOUBLE AS b0, 0::DOUBLE AS b1, 0::DOUBLE AS b2 "
+        f"FROM (SELECT unnest({SEARCHED}::DOUBLE[]) AS c), (SELECT unnest(range(5)) AS left_out)", 25),
+    ).replace("WITH", "WITH RECURSIVE", 1),
+)
+def search_scores(spark, sf):
+    settings = [{"C": c} for c in SEARCHED]
+    found = L.search(_plane(spark, sf), PLANE, "logistic", settings, M.FOLDS, M.FOLD, M.LABEL, M.WEIGHT)
+    return rounded(spark.createDataFrame(list(zip(SEARCHED, found.scores)), "c double, f2 double"), 9)
+
+
 # A fixed scoring formula in place of a fitted model, so that scoring can be held against SQL.
 FIXED_FEATURES = ["int_rate", "total_pymnt"]
 FIXED_MARGIN = "(3D * int_rate - 0.00002D * total_pymnt - 0.6D)"
@@ -176,9 +263,7 @@ def evaluate(spark, sf):
 @register("M13_train_and_compare")
 def train_and_compare(spark, sf):
     tables, _, _, _ = prepared(spark, sf)
-    ready = {s.name: _fitted(spark, sf, s.name) for s in M.MODEL_SPECS}
-    found = M.train_and_compare(tables["train_undersampled"], tables["test"], ready=ready)
-    return found["scores"]
+    return M.train_and_compare(tables["train_undersampled"], tables["test"])["scores"]
 
 
 IMPORTANCE = ["int_rate", "revol_util", "annual_inc", "total_pymnt", "fico_range_low", "open_acc"]

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LinearSVCModel, LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +21,7 @@ META_SCHEMA = (
 )
 MODEL_CLASSES = {
     c.__name__: c
-    for c in (PipelineModel, LogisticRegressionModel, LinearSVCModel, TreeModel)
+    for c in (PipelineModel, TreeModel)
 }
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 from functools import reduce
 from itertools import product
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -27,7 +28,8 @@ from riskloom.operators.joins import feature_score_join, models_vs_baseline
 from riskloom.operators.sampling import with_folds
 from riskloom.plans.baseline import MajorityClass
 from riskloom.plans.ensembles import BaggedTrees, BoostedStumps, GradientBoosting, impurity_importances
-from riskloom.session import materialize
+from riskloom.plans.linear import LinearClassifier, linear_model, search
+from riskloom.session import materialize, ship_package
 
 LABEL, FEATURES, WEIGHT, FOLD = "label", "features", "weight", "fold"
 
@@ -126,6 +128,7 @@ class ModelSpec:
     build: Callable[[dict, Sequence[str], int], Estimator]
     defaults: dict
     score: str  # "vector" probability, "margin" of rawPrediction, or plain "column"
+    loss: str | None = None  # of a linear model, whose whole search shares its passes
 
 
 def _zero_r(settings, features, n):
@@ -133,17 +136,11 @@ def _zero_r(settings, features, n):
 
 
 def _logistic(settings, features, n):
-    rest = {k: v for k, v in settings.items() if k != "C"}
-    return LogisticRegression(
-        weightCol=WEIGHT, regParam=1.0 / (settings["C"] * n), standardization=False, **rest
-    )
+    return LinearClassifier(inputNames=list(features), weightCol=WEIGHT, loss="logistic", **settings)
 
 
 def _linear_svc(settings, features, n):
-    rest = {k: v for k, v in settings.items() if k != "C"}
-    return LinearSVC(
-        weightCol=WEIGHT, regParam=1.0 / (settings["C"] * n), standardization=False, **rest
-    )
+    return LinearClassifier(inputNames=list(features), weightCol=WEIGHT, loss="squared hinge", **settings)
 
 
 def _boosted_stumps(settings, features, n):
@@ -160,8 +157,8 @@ def _bagged_trees(settings, features, n):
 
 MODEL_SPECS = [
     ModelSpec(S.BASELINE_MODEL, _zero_r, {"strategy": "most_frequent"}, "column"),
-    ModelSpec("Logistic Regression", _logistic, {"C": 1.0, "maxIter": 500}, "vector"),
-    ModelSpec("LinearSVC", _linear_svc, {"C": 1.0, "maxIter": 2000}, "margin"),
+    ModelSpec("Logistic Regression", _logistic, {"C": 1.0, "maxIter": 500}, "column", "logistic"),
+    ModelSpec("LinearSVC", _linear_svc, {"C": 1.0, "maxIter": 2000, "tol": 1e-4}, "column", "squared hinge"),
     ModelSpec(
         "AdaBoost", _boosted_stumps,
         {"numRounds": 300, "stepSize": 0.5, "maxDepth": 2, "minInstancesPerNode": 10}, "column",
@@ -177,7 +174,7 @@ MODEL_SPECS = [
 def spec(name: str, **settings) -> ModelSpec:
     """The named classifier, with some default settings replaced."""
     found = next(s for s in MODEL_SPECS if s.name == name)
-    return ModelSpec(found.name, found.build, {**found.defaults, **settings}, found.score)
+    return replace(found, defaults={**found.defaults, **settings})
 
 
 @dataclass(frozen=True)
@@ -226,20 +223,26 @@ def random_search_tune(
 ) -> tuple[Fitted, dict, float | None]:
     """Random grid points, stratified folds, F2 of class 1; refit on all rows.
 
-    A penalty `C` is per row: the search scales it by the rows of its fits, the refit by
-    all rows. A model without a grid is fitted as it is.
+    All points and folds of a linear model, and its refits, are fitted in the same passes
+    over the matrix. A model without a grid is fitted as it is.
     """
     points = GRIDS.get(model.name) if grid is None else grid
     if not points:
         return fit(model, matrix, features, n), {}, None
     sampled = sampled_settings(points, n_iter)
+    if model.loss:
+        settings = [{**model.defaults, **s} for s in sampled]
+        found = search(matrix, features, model.loss, settings, folds, FOLD, LABEL, WEIGHT)
+        best = max(range(len(sampled)), key=lambda i: found.scores[i])
+        fitted = Fitted(model.name, linear_model(features, found.coefficients[best]), model.score, list(features))
+        return fitted, sampled[best], found.scores[best]
     judge = MulticlassClassificationEvaluator(
         metricName="fMeasureByLabel", metricLabel=1.0, beta=2.0, labelCol=LABEL,
         probabilityCol="not_used",  # the baseline's and the stumps' is a plain number
     )
     stage = Pipeline(stages=[])
     candidates = [
-        {stage.stages: [model.build({**model.defaults, **settings}, features, n * (folds - 1) / folds)]}
+        {stage.stages: [model.build({**model.defaults, **settings}, features, n)]}
         for settings in sampled
     ]
     search = CrossValidator(
@@ -248,11 +251,7 @@ def random_search_tune(
     )
     found = search.fit(matrix)
     best = max(range(len(sampled)), key=lambda i: found.avgMetrics[i])
-    if "C" in sampled[best]:
-        chosen = ModelSpec(model.name, model.build, {**model.defaults, **sampled[best]}, model.score)
-        fitted = fit(chosen, matrix, features, n)
-    else:
-        fitted = Fitted(model.name, found.bestModel, model.score, list(features))
+    fitted = Fitted(model.name, found.bestModel, model.score, list(features))
     return fitted, sampled[best], float(found.avgMetrics[best])
 
 
@@ -263,6 +262,36 @@ def evaluate(fitted: Fitted, rows: DataFrame, stage: str) -> tuple[DataFrame, Da
     return scoring.score_row(counts, fitted.name, stage), counts
 
 
+def evaluate_all(models: Sequence[Fitted], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The score table of all models on all tables, from one pass over the rows of each.
+
+    Every row is scored by every model, and the counts per model, table, score and
+    prediction are staged; all scores follow from them.
+    """
+    told = []
+    for stage, rows in tables.items():
+        own = []
+        for i, fitted in enumerate(models):
+            rows = fitted.predict(rows).withColumnsRenamed({"probability": f"_p{i}", "prediction": f"_s{i}"})
+            own.append(
+                F.struct(
+                    F.lit(fitted.name).alias("Model"), F.col(f"_p{i}").cast("double").alias("threshold"),
+                    (F.col(f"_s{i}") == 1).alias("said"),
+                )
+            )
+        told.append(rows.select(F.lit(stage).alias("Stage"), LABEL, F.inline(F.array(*own))))
+    counts = reduce(DataFrame.unionByName, told).groupBy("Model", "Stage", "threshold", "said")
+    counts = materialize(
+        counts.agg(F.count_if(F.col(LABEL) == 1).alias("pos"), F.count_if(F.col(LABEL) == 0).alias("neg")), "score-counts"
+    )
+    rows = [
+        scoring.score_row(counts.where((F.col("Model") == m.name) & (F.col("Stage") == stage)), m.name, stage)
+        for m in models
+        for stage in tables
+    ]
+    return materialize(scoring.score_table(rows), "scores")
+
+
 def train_and_compare(
     train: DataFrame,
     test: DataFrame,
@@ -273,10 +302,12 @@ def train_and_compare(
     n_iter: int = 0,
     folds: int = FOLDS,
     ready: Mapping[str, Fitted] | None = None,
+    parallelism: int = 3,
 ) -> dict:
     """Fit (or tune, with `n_iter`) every model and score it on train and test.
 
-    `ready` holds models that are already fitted on this training table, by name.
+    `ready` holds models that are already fitted on this training table, by name. The
+    rounds of one fit wait for each other, so `parallelism` models are fitted at a time.
 
     The score table has one row per model and stage; the deltas compare each model
     with the baseline; `best` is the fitted model with the highest test F2.
@@ -285,18 +316,20 @@ def train_and_compare(
     matrix = training_matrix(train, features, label, key, folds)
     n = matrix.count()
     rows = {"train": matrix, "test": materialize(assembled(test, features, label), "matrix")}
-    fitted, score_rows = {}, []
-    for s in specs:
+
+    def fitted_one(s: ModelSpec) -> Fitted:
         if ready and s.name in ready:
-            fitted[s.name] = ready[s.name]
-        elif n_iter:
-            fitted[s.name], _, _ = random_search_tune(s, matrix, features, n, n_iter, folds=folds)
-        else:
-            fitted[s.name] = fit(s, matrix, features, n)
-        for stage, table in rows.items():
-            score_rows.append(evaluate(fitted[s.name], table, stage)[0])
-    scores = materialize(scoring.score_table(score_rows), "scores")
+            return ready[s.name]
+        if n_iter:
+            return random_search_tune(s, matrix, features, n, n_iter, folds=folds)[0]
+        return fit(s, matrix, features, n)
+
+    ship_package(train.sparkSession)
+    with ThreadPoolExecutor(parallelism) as pool:
+        models = list(pool.map(inheritable_thread_target(train.sparkSession)(fitted_one), specs))
+    scores = evaluate_all(models, rows)
     top = scoring.best_model(scores, "test").first()
+    fitted = {m.name: m for m in models}
     return {
         "scores": scores,
         "deltas": {s: models_vs_baseline(scores, s) for s in rows},
