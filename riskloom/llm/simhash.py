@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import math
 from collections.abc import Iterator
@@ -10,13 +11,13 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.common import doc_texts, field, slices, text_key
 from riskloom.llm.components import components
-from riskloom.session import materialize
+from riskloom.session import discard, materialize
 
 SEED = 42
 SHINGLE = 3
@@ -29,6 +30,11 @@ SHORT = 14
 PARTNERS = 3
 # Fingerprints on either side of one comparison inside a crowded cell.
 BLOCK = 512
+# Words of the fingerprints that compare the rows of a crowded cell.
+WIDE = 32
+# Chance that a pair of exactly the similarity meets in a cell, and the subsets of references of one wave.
+RECALL = 0.995
+WAVE = 48
 # Hashes whose bits are spread and summed at a time.
 _PART = 1 << 14
 
@@ -278,31 +284,40 @@ def subsets_for(chance: float, size: int, total: int, recall: float) -> int:
     return subsets
 
 
-def shared_cells(fps: DataFrame, count: int, words: int, similarity: float, recall: float = 0.999) -> DataFrame:
-    """`cell`, `uid`, `lo`, `hi`, `n`: the rows of wide fingerprints (`uid`, `fp`, `size`) in cells that hold several.
+def bit_subsets(count: int, words: int, similarity: float, recall: float) -> tuple[list[list[int]], int]:
+    """Random subsets of the bits as masks, and how many of them rows of many shingles need.
 
-    The references are the fingerprints with one bit set: two rows that are equally far
-    from such a reference, and from zero, agree in its bit. With more bits to differ, a
-    bound over all references at once discards too little, so rows meet in cells of equal
-    distances to random subsets of the references: of so many that unlike rows seldom meet
-    there, in so many subsets that two rows of the similarity meet in some with the given chance;
-    rows of few shingles, whose bits differ more often, take more subsets. `lo` and `hi` are the ends of a cell in an order of its own, and `n` its rows.
+    Of so many bits that unlike rows seldom agree in all, and so many subsets that two
+    rows of the similarity agree in some with the given chance; rows of few shingles,
+    whose bits differ more often, take all the subsets.
     """
     total = 64 * words
-    size = min(total, max(16, math.ceil(math.log2(max(count, 2)))))
+    size = min(total, max(16, math.ceil(math.log2(max(count, 2))) + 1))
     chances = worst_chances(similarity)
     usual, subsets = (subsets_for(p, size, total, recall) for p in (chances[-1], max(chances)))
     drawn = np.random.default_rng(SEED)
     masks = np.zeros((subsets, total), np.uint8)
     for mask in masks:
         mask[drawn.choice(total, size, replace=False)] = 1
-    longs = np.packbits(masks, axis=1).view(">i8").astype(np.int64).tolist()
+    return np.packbits(masks, axis=1).view(">i8").astype(np.int64).tolist(), usual
+
+
+def shared_cells(fps: DataFrame, masks: list[list[int]], words: int, similarity: float, usual: int) -> DataFrame:
+    """`cell`, `uid`, `lo`, `hi`, `n`: the rows of wide fingerprints (`uid`, `fp`, `size`) in cells that hold several.
+
+    The references are the fingerprints with one bit set: two rows that are equally far
+    from such a reference, and from zero, agree in its bit. With more bits to differ, a
+    bound over all references at once discards too little, so rows meet in cells of equal
+    distances to subsets of the references. Rows of many shingles take the first `usual`
+    of the masks. `lo` and `hi` are the ends of a cell in an order of its own, and `n` its rows.
+    """
     # One constant instead of an expression per subset: plans and generated code stay small.
-    table = F.from_json(F.lit(json.dumps(longs)), "array<array<bigint>>")
+    table = F.from_json(F.lit(json.dumps(masks)), "array<array<bigint>>")
     # A fingerprint becomes many rows: as many tasks as a shuffle has, however small the table is.
     tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own = F.when(F.col("size") <= SHORT / similarity, table).otherwise(F.slice(table, 1, usual))
-    each = fps.repartition(tasks, "uid").select("uid", "fp", F.posexplode(own).alias("turn", "mask"))
+    own = F.when(F.col("size") <= SHORT / similarity, table).otherwise(F.slice(table, 1, usual)) if usual else table
+    rows = fps if usual else fps.where(F.col("size") <= SHORT / similarity)
+    each = rows.repartition(tasks, "uid").select("uid", "fp", F.posexplode(own).alias("turn", "mask"))
     parts = [F.get("fp", F.lit(w)).bitwiseAND(F.get("mask", F.lit(w))) for w in range(words)]
     rows = each.select("uid", F.xxhash64("turn", *parts).alias("cell"))
     # The order inside a cell is that of the uids after an exclusive or with the cell's own name.
@@ -325,21 +340,26 @@ def end_pairs(cells: DataFrame, fps: DataFrame, words: int, cuts: list[int]) ->
     return pairs.join(left, "a").join(right, "b").where(differ <= most).select("a", "b", differ.alias("differ"))
 
 
-def crowded_pairs(
-    cells: DataFrame, fps: DataFrame, known: DataFrame, words: int, cuts: list[int], block: int = BLOCK
-) -> DataFrame:
-    """Pairs `a`, `b`, `differ` of all rows of a cell, not only its ends, that are not in one group yet.
+def mixed_cells(cells: DataFrame, known: DataFrame) -> DataFrame:
+    """`cell`, `uid`, `n`, `root`: the cells of more than three rows that hold more than one group (`node`, `component`).
 
-    Up to three rows meet through the ends. Of larger cells those that hold more than one
-    group (`node`, `component`) are cut into blocks, and each pair of blocks is one group of
-    bounded size, in which every row is compared with every other.
+    Up to three rows meet through the ends of a cell.
     """
     names = known.select(F.col("node").alias("uid"), "component")
     rows = cells.where("n > 3").select("cell", "uid", "n").join(names, "uid", "left")
-    rows = rows.withColumn("root", F.coalesce("component", "uid")).drop("component")
+    rows = rows.select("cell", "uid", "n", F.coalesce("component", "uid").alias("root"))
     mixed = rows.groupBy("cell").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("cell")
+    return rows.join(mixed, "cell", "left_semi")
+
+
+def crowded_pairs(rows: DataFrame, fps: DataFrame, words: int, cuts: list[int], block: int = BLOCK) -> DataFrame:
+    """Pairs `a`, `b`, `differ` of the rows of mixed cells that are not in one group yet.
+
+    Cells are cut into blocks, and each pair of blocks is one group of bounded size, in
+    which every row is compared with every other.
+    """
     blocks = F.ceil(F.col("n") / block).cast("int")
-    rows = rows.join(mixed, "cell", "left_semi").join(fps.select("uid", "fp", "size"), "uid").withColumn("blocks", blocks)
+    rows = rows.join(fps.select("uid", "fp", "size"), "uid").withColumn("blocks", blocks)
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("mine", "other"), F.greatest("mine", "other")
@@ -420,47 +440,113 @@ def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("group_a", "a") != F.coalesce("group_b", "b")).drop("group_a", "group_b")
 
 
+def widened(sets: DataFrame, words: int) -> DataFrame:
+    """`uid`, `fp` of so many words, `size` from the shingles of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            hashes = [np.asarray(x.values).view(np.uint64) for x in batch.column(1)]
+            wide = np.array([_folded(h, words) for h in hashes], np.uint64).reshape(-1).view(np.int64)
+            offsets = pa.array(np.arange(len(hashes) + 1, dtype=np.int32) * words)
+            size = pa.array([len(h) for h in hashes], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(wide)), size], names=["uid", "fp", "size"])
+
+    return sets.select("uid", "shingles").mapInArrow(run, "uid long, fp array<long>, size int")
+
+
+class _Settled:
+    """What is known while waves of cells bring pairs: links, groups, pairs that were compared, shingles that were read."""
+
+    def __init__(self, docs: DataFrame, rows: DataFrame, fps: DataFrame, text_col: str, id_col: str, width: int, similarity: float, seed: int):
+        spark = docs.sparkSession
+        self.find = lambda wanted: shingle_sets(texts_of(docs, rows, fps, wanted, text_col, id_col), width, seed)
+        self.similarity = similarity
+        self.links = spark.createDataFrame([], "a long, b long")
+        self.known = spark.createDataFrame([], "node long, component long")
+        self.seen = spark.createDataFrame([], "a long, b long")
+        self.sets = spark.createDataFrame([], "uid long, shingles array<long>")
+
+    def read(self, uids: DataFrame) -> None:
+        """Have the shingles of these rows."""
+        wanted = materialize(uids.distinct().join(self.sets, "uid", "left_anti"), "wanted")
+        if not wanted.isEmpty():
+            self.sets = self.sets.union(materialize(self.find(wanted).dropDuplicates(["uid"]), "shingles"))
+        discard(wanted)
+
+    def fresh(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs that are neither compared yet nor in one group; staged."""
+        return materialize(_apart(pairs, self.known).join(self.seen, ["a", "b"], "left_anti"), "near-fingerprints")
+
+    def settle(self, pairs: DataFrame) -> None:
+        """Compare the shingles of these pairs."""
+        self.read(pairs.select(F.explode(F.array("a", "b")).alias("uid")))
+        self.seen = self.seen.union(pairs.select("a", "b"))
+        found = materialize(alike(pairs.select("a", "b"), self.sets, self.similarity), "near-links")
+        if not found.isEmpty():
+            self.links = self.links.union(found)
+            older, self.known = self.known, materialize(components(self.links), "near-groups")
+            discard(older)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files stay until the driver has let go of the plans that wrote them: let it do so now."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def near_groups(
     docs: DataFrame, rows: DataFrame, fps: DataFrame, text_col: str, id_col: str, width: int, similarity: float,
-    words: int, seed: int,
+    words: int, seed: int, recall: float = RECALL, wave: int = WAVE,
 ) -> DataFrame:
     """`node`, `component` of the fingerprints (uids) with a near-copy.
 
-    Every link is settled by the Jaccard similarity of the shingles. Rows are compared
-    with the ends of their cells first: a few pairs of each row are settled, then those whose
-    groups are not joined by them, so a large group of copies is not spelled out. What is
-    apart still in a cell of more than three rows is compared whole.
+    Every link is settled by the Jaccard similarity of the shingles. The subsets of the
+    references come in waves, so that the cells of one wave alone are held at a time. In
+    a wave rows are compared with the ends of their cells first: a few pairs of each row are
+    settled, then those whose groups are not joined by them, so a large group of copies
+    is not spelled out. What is apart still in a cell of more than three rows is compared
+    whole, by fingerprints of many more bits, so that few but true links leave a task
+    also where many texts share a template.
     """
     total = 64 * words
-    cuts, likely = cuts_of(similarity, total), int(total * bit_chance(similarity))
-    cells = shared_cells(fps, fps.count(), words, similarity)
-
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-        texts = texts_of(docs, rows, fps, wanted, text_col, id_col)
-        return materialize(shingle_sets(texts, width, seed).dropDuplicates(["uid"]), "shingles")
-
-    pairs = materialize(end_pairs(cells, fps, words, cuts), "near-fingerprints")
-    sets = sets_of(pairs)
-    both = pairs.union(pairs.select("b", "a", "differ"))
-    drawn = [F.struct(F.xxhash64(F.lit(k), "a", "b").alias("x"), "b") for k in range(PARTNERS)]
-    picked = [F.min(F.when(F.col("differ") <= likely, x))["b"] for x in drawn]
-    nearest = F.min(F.struct("differ", F.xxhash64("a", "b").alias("x"), "b"))["b"]
-    some = both.groupBy("a").agg(F.array(*picked, nearest).alias("some")).select("a", F.explode("some").alias("b"))
-    some = some.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    some = materialize(some.distinct(), "first-pairs")
-    links = materialize(alike(some, sets, similarity), "first-links")
-    known = materialize(components(links), "first-groups")
-    doubtful = _apart(pairs.select("a", "b"), known).join(some, ["a", "b"], "left_anti")
-    doubtful = materialize(doubtful, "doubtful-pairs")
-    links = materialize(links.union(alike(doubtful, sets, similarity)), "near-links")
-    known = materialize(components(links), "near-groups")
-    # Whatever the ends settled stays settled.
-    rest = crowded_pairs(cells, fps, known, words, cuts).join(pairs, ["a", "b"], "left_anti").select("a", "b")
-    rest = materialize(rest, "crowded-pairs")
-    if rest.isEmpty():
-        return known
-    return components(links.union(alike(rest, sets_of(rest), similarity)))
+    cuts, wide_cuts = cuts_of(similarity, total), cuts_of(similarity, 64 * WIDE)
+    likely = int(total * bit_chance(similarity))
+    masks, usual = bit_subsets(fps.count(), words, similarity, recall)
+    known = _Settled(docs, rows, fps, text_col, id_col, width, similarity, seed)
+    if fps.where(F.col("size") <= SHORT / similarity).isEmpty():
+        masks = masks[:usual]
+    begin = 0
+    while begin < len(masks):
+        # Waves end where the rows of many shingles have had enough; the rest is for the few others.
+        end = min(begin + wave, usual) if begin < usual else min(begin + 4 * wave, len(masks))
+        cells = shared_cells(fps, masks[begin:end], words, similarity, end - begin if begin < usual else 0)
+        pairs = known.fresh(end_pairs(cells, fps, words, cuts))
+        if not pairs.isEmpty():
+            both = pairs.union(pairs.select("b", "a", "differ"))
+            drawn = [F.struct(F.xxhash64(F.lit(k), "a", "b").alias("x"), "b") for k in range(PARTNERS)]
+            picked = [F.min(F.when(F.col("differ") <= likely, x))["b"] for x in drawn]
+            nearest = F.min(F.struct("differ", F.xxhash64("a", "b").alias("x"), "b"))["b"]
+            some = both.groupBy("a").agg(F.array(*picked, nearest).alias("some")).select("a", F.explode("some").alias("b"))
+            some = some.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            known.settle(materialize(some.distinct(), "first-pairs"))
+            doubtful = known.fresh(pairs)
+            if not doubtful.isEmpty():
+                known.settle(doubtful)
+        discard(pairs)
+        crowded = materialize(mixed_cells(cells, known.known), "crowded-cells")
+        if not crowded.isEmpty():
+            uids = crowded.select("uid")
+            known.read(uids)
+            wide = materialize(widened(known.sets.join(uids.distinct(), "uid", "left_semi"), WIDE), "wide-fingerprints")
+            rest = known.fresh(crowded_pairs(crowded, wide, WIDE, wide_cuts))
+            if not rest.isEmpty():
+                known.settle(rest)
+            discard(wide)
+        discard(crowded)
+        discard(cells)
+        free_shuffles(docs.sparkSession)
+        begin = end
+    return known.known
 
 
 def keep_one(
@@ -498,6 +584,8 @@ def keep_one(
         & (F.xxhash64(F.lit(1), text) == F.col("_kept_h2"))
     )
     kept = materialize(kept, "kept-documents")
+    discard(rows)
+    discard(fps)
     single = docs.join(kept.where("_kept_n = 1"), same, "left_semi")
     again = docs.join(kept.where("_kept_n > 1"), same).dropDuplicates(["_kept_id", "_kept_h1", "_kept_h2"])
     again = again.select(docs.columns)

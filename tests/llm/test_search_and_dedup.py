@@ -235,6 +235,17 @@ def test_keep_one_compares_all_rows_of_a_crowded_cell(spark, rows_of):
     assert sorted(r[0] for r in rows_of(simhash.keep_one(docs), "doc_id")) == expected
 
 
+def test_unlike_texts_of_a_template_leave_no_pairs(spark, monkeypatch):
+    """Texts that share a template but are no copies are compared inside the tasks: links leave them, not pairs."""
+    texts = family(random.Random(10), 500, 30)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = []
+    plain = simhash.crowded_pairs
+    monkeypatch.setattr(simhash, "crowded_pairs", lambda *a: left.append(simhash.materialize(plain(*a))) or left[-1])
+    assert simhash.keep_one(docs).count() == 530
+    assert left and sum(df.count() for df in left) <= 60
+
+
 @pytest.mark.parametrize("block", [8, 512])
 def test_crowded_cells_are_compared_whole(spark, block):
     draw = np.random.default_rng(3)
@@ -242,7 +253,8 @@ def test_crowded_cells_are_compared_whole(spark, block):
     fps = [(i, (base ^ (np.uint64(1) << draw.integers(0, 64, 4, np.uint64))).view(np.int64).tolist(), 50) for i in range(60)]
     known = spark.createDataFrame([(i, i % 2) for i in range(20)], "node long, component long")
     cells = spark.createDataFrame([(c, i, 60) for c in (5, 6) for i in range(60)], "cell long, uid long, n long")
-    found = simhash.crowded_pairs(cells, spark.createDataFrame(fps, "uid long, fp array<long>, size int"), known, 4, [7], block)
+    rows = simhash.mixed_cells(cells, known)
+    found = simhash.crowded_pairs(rows, spark.createDataFrame(fps, "uid long, fp array<long>, size int"), 4, [7], block)
     root = [i % 2 if i < 20 else i for i in range(60)]
     values = [[w & (1 << 64) - 1 for w in fp] for _, fp, _ in fps]
     apart = {(i, j): sum((x ^ y).bit_count() for x, y in zip(values[i], values[j])) for j in range(60) for i in range(j)}
