@@ -18,9 +18,12 @@ from pyspark.sql import types as T
 from riskloom.llm.common import doc_texts, field, slices, text_key
 from riskloom.session import materialize, ship_package
 
-# Characters of a chunk, and how far it reaches into the next one.
+# Characters of a chunk of a text that is exchanged, and how far it reaches into the next one.
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
+# The same inside one task, for every text.
+SCAN_CHARS = 1 << 11
+SCAN_OVERLAP = 1 << 8
 # The longest alternative of the pattern with a fixed text ("'ll"), so much is looked at past a boundary.
 _AHEAD = 3
 # Ids that are turned into bytes at a time.
@@ -78,14 +81,26 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
+def stitched(text: str, pattern: regex.Pattern, size: int = SCAN_CHARS, overlap: int = SCAN_OVERLAP) -> list[str]:
+    """The text cut where the scans of overlapping chunks agree; in one piece if some never do."""
+    begin, cuts = 0, []
+    for at in range(0, len(text) - size, size):
+        till = meeting(text[at : at + size + overlap], size, pattern)
+        if till < 0:
+            return [text]
+        cuts.append(text[begin : at + till])
+        begin = at + till
+    return [*cuts, text[begin:]]
+
+
 def _encode(rows: DataFrame, keep: list[str], path: str, pattern: str) -> DataFrame:
     """`keep`, `ids` for the column `text` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(path, pattern).encode_ordinary
+        encode, compiled = encoding(path, pattern).encode_ordinary, regex.compile(pattern)
         for batch in slices(batches):
             texts = batch.column(len(keep))
-            ids = [np.array(encode(t.as_py()), np.int32) for t in texts]
+            ids = [np.array([i for x in stitched(t.as_py(), compiled) for i in encode(x)], np.int32) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(keep))), _lists(ids)], names=[*keep, "ids"]
             )
@@ -161,11 +176,11 @@ def encode(
 ) -> DataFrame:
     """`id_col`, `ids` (array of int) for every row: the ordinary BPE ids of the whole text.
 
-    Texts of one chunk are encoded where they are read. Longer ones are cut into
-    overlapping chunks, which are pre-tokenised in parallel; each chunk hands over to
-    the next at the first boundary on which both agree inside the overlap, and the
-    pieces between these places are encoded in parallel and put together. If the scans
-    of some overlap never meet (a word longer than the overlap), the text is encoded in
+    Texts are cut into overlapping chunks, which are pre-tokenised each for itself; each
+    chunk hands over to the next at the first boundary on which both agree inside the
+    overlap, and the pieces between these places are encoded and put together. Texts of
+    up to `chunk_chars` are cut, scanned and encoded where they are read; longer ones are
+    exchanged in chunks of that size first, so that many tasks share them. If the scans of some overlap never meet (a word longer than the overlap), the text is encoded in
     one piece, so the result never depends on the cut.
 
     A null text is empty and has no ids; null ids and repeated rows stay; an empty

@@ -65,6 +65,27 @@ def test_scans_meet_only_where_both_agree():
     assert byte_bpe.meeting("x" * 50, 20, pattern) == -1
 
 
+@pytest.mark.parametrize("size, overlap", [(20, 20), (50, 15)])
+def test_every_text_is_scanned_and_stitched(monkeypatch, size, overlap):
+    draw = random.Random(size)
+    pattern = regex.compile(PATTERN)
+    cut = 0
+    for _ in range(400):
+        text = "".join(draw.choices(["a", "the ", "  ", "\n", "'ll", "don't ", "1", "é", "!!", " (", "word", " ", "漢字"], k=draw.randrange(80)))
+        pieces = byte_bpe.stitched(text, pattern, size, overlap)
+        assert "".join(pieces) == text and [i for p in pieces for i in library_ids(p)] == library_ids(text)
+        cut += len(pieces) > 1
+    assert cut > 200 and byte_bpe.stitched("x" * 9000, pattern) == ["x" * 9000]
+
+
+def test_most_given_texts_are_cut(table):
+    """The given texts pass through scan, stitch and encode, not through one call each."""
+    pattern = regex.compile(PATTERN)
+    long_ones = [r.text for r in table("documents").collect() if len(r.text or "") > byte_bpe.SCAN_CHARS]
+    cut = [len(byte_bpe.stitched(t, pattern)) > 1 for t in long_ones]
+    assert long_ones and sum(cut) >= 0.9 * len(cut)
+
+
 def greedy(word, begins, continues):
     """Longest match first, spelled out."""
     pieces, at = 0, 0
