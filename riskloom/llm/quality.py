@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ LATENT = 32
 NEIGHBOURS = 9
 POWER = 4
 # Most labelled documents that the model is fitted on and that are broadcast: the first by a hash of
-# the id. 6000 latent vectors of 36 floats are under 1 MB; the fit holds 6000 x 4096 halves (48 MB).
+# the id. 6000 latent vectors of 32 floats are under 1 MB; the fit holds 6000 x 4096 halves (48 MB).
 LABELLED = 6000
 # Documents of one block of the cosine products.
 BLOCK = 256
@@ -40,16 +39,6 @@ def term_weights(text: str) -> np.ndarray:
     return np.log1p(counts).astype(np.float32)
 
 
-def shape(text: str) -> np.ndarray:
-    """Roots of four shares: words that repeat the one before, capitals, signs and digits among the bytes."""
-    words = text.split()
-    data = np.bincount(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), minlength=256)
-    total = max(int(data.sum()), 1)
-    signs = data[33:48].sum() + data[58:65].sum() + data[91:97].sum() + data[123:127].sum()
-    repeats = sum(map(eq, words, words[1:])) / max(len(words), 1)
-    return np.sqrt([repeats, data[65:91].sum() / total, signs / total, data[48:58].sum() / total]).astype(np.float32)
-
-
 def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
@@ -64,15 +53,15 @@ class Votes:
     labels: np.ndarray
     prior: float
 
-    def place(self, terms: np.ndarray, shapes: np.ndarray) -> np.ndarray:
-        return unit(np.hstack([unit(unit(terms * self.idf) @ self.axes), shapes]))
+    def place(self, terms: np.ndarray) -> np.ndarray:
+        return unit(unit(terms * self.idf) @ self.axes)
 
     def score(self, texts: list[str]) -> np.ndarray:
         """Share of label 1 among the nearest labelled vectors, weighted by similarity."""
         if not len(self.labels):
             return np.full(len(texts), self.prior)
-        terms, shapes = np.stack([term_weights(t) for t in texts]), np.stack([shape(t) for t in texts])
-        cosines = self.place(terms, shapes) @ self.vectors.T
+        terms = np.stack([term_weights(t) for t in texts])
+        cosines = self.place(terms) @ self.vectors.T
         k = min(NEIGHBOURS, len(self.labels))
         # All that tie with the kth vote, so the order of the labelled rows does not matter.
         kth = np.partition(cosines, -k, axis=1)[:, -k:].min(axis=1, keepdims=True)
@@ -145,35 +134,29 @@ def fit(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             terms = [term_weights(t.as_py()).astype(np.float16).tobytes() for t in batch.column(1)]
-            shapes = [shape(t.as_py()).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(terms, pa.binary()), pa.array(shapes, pa.binary())],
-                names=[id_col, "label", "terms", "shape"],
+                [batch.column(0), batch.column(2), pa.array(terms, pa.binary())], names=[id_col, "label", "terms"]
             )
 
-    out = T.StructType(
-        [*schema.fields, T.StructField("terms", T.BinaryType()), T.StructField("shape", T.BinaryType())]
-    )
+    out = T.StructType([*schema.fields, T.StructField("terms", T.BinaryType())])
     rows = sample.select(id_col, text_col, "label").mapInArrow(run, out).toArrow()
     idf = (np.log((1 + total) / (1 + frequency)) + 0.05).astype(np.float32)
     count = rows.num_rows
     labels_seen = rows.column("label").to_numpy().astype(np.float64)
     if not count:
-        return Votes(idf, np.zeros((COLUMNS, 1), np.float32), np.zeros((0, 5), np.float32), labels_seen, 0.5)
+        return Votes(idf, np.zeros((COLUMNS, 1), np.float32), np.zeros((0, 1), np.float32), labels_seen, 0.5)
     order = pa.compute.sort_indices(rows.column(id_col)).to_pylist()
     labels_seen = labels_seen[order]
     # Row by row and in place: the matrix is the only large thing that the driver holds.
     weighted = np.empty((count, COLUMNS), np.float32)
-    shapes = np.empty((count, 4), np.float32)
     for at, row in enumerate(order):
         weighted[at] = np.frombuffer(rows.column("terms")[row].as_py(), np.float16)
-        shapes[at] = np.frombuffer(rows.column("shape")[row].as_py(), np.float32)
     del rows
     weighted *= idf
     weighted /= np.maximum(np.sqrt(np.einsum("ij,ij->i", weighted, weighted)), 1e-9)[:, None]
     axes = latent_axes(weighted, LATENT)
     model = Votes(idf, axes, np.zeros((0, 0), np.float32), labels_seen, float(labels_seen.mean()))
-    model.vectors = unit(np.hstack([unit(weighted @ axes), shapes])).astype(np.float32)
+    model.vectors = unit(weighted @ axes).astype(np.float32)
     del weighted
     release()
     return model
