@@ -23,7 +23,7 @@ ITEMS_PER_TASK = 200_000
 FAN_IN = 8
 # A bin with less free space than this share is done.
 NEARLY_FULL = 1 / 128
-MAX_ROUNDS = 12
+MAX_ROUNDS = 40
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,7 +160,8 @@ def pack(
 
     Each partition packs its own items best-fit; nearly full bins are done. The others
     move on as items, so many partitions together as `fan_in` says, round by round up to
-    one task, or to as many as keep `per_task` bins each. Only bins move, never
+    one task, or to as many as keep `per_task` bins each; then the bins up to half full
+    meet alone, until one task holds them. Only bins move, never
     tokens, and items that fill a sequence alone are done at once. Sequences have no
     gaps; their numbers are arbitrary. An empty table gives an empty result.
     """
@@ -176,7 +177,12 @@ def pack(
     left, tasks = size["n"], size["tasks"]
     moves: DataFrame | None = None
     for turn in range(MAX_ROUNDS):
-        tasks = max(1, -(-tasks // fan_in), -(-left // per_task))
+        before, tasks = tasks, max(1, -(-tasks // fan_in), -(-left // per_task))
+        if turn and tasks == before and tasks > 1:
+            # The bins are more than one task holds: those that can still take each other go on alone.
+            under = under.where(F.col("fill") <= capacity // 2)
+            left = under.count()
+            tasks = max(1, -(-left // per_task))
         if left < 2:
             break
         step = materialize(_merge_round(under, tasks, turn, capacity), "packed-bins")
@@ -192,8 +198,8 @@ def pack(
             )
         under = step.where("at = 0").select(F.col("parent").alias("bin"), F.col("parent_fill").alias("fill"))
         under = under.where(F.col("fill") < done_at)
-        before, left = left, under.count()
-        if tasks == 1 or left > 0.98 * before:
+        left = under.count()
+        if tasks == 1:
             break
     columns = [F.col(c) for c in items.columns]
     if moves is None:

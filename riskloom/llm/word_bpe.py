@@ -43,6 +43,11 @@ def merge(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
     return parts
 
 
+def _lowered(word: str) -> str:
+    """Composed and in lower case, letter by letter as the tokenizer does: no final sigma."""
+    return word if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+
+
 class WordBpe(dict):
     """Ids of `tokenizers` for a lower-casing BPE with word ends; a map from a word to its packed ids.
 
@@ -90,9 +95,9 @@ class WordBpe(dict):
             stem = word[:-1]
             if word[-1] in _MARKS and stem.isalpha():
                 value = self[stem] + self[word[-1]]
-            elif ord(max(word)) < _FAMILIAR:
+            elif ord(max(word + (plain := _lowered(word)))) < _FAMILIAR:
                 one = self.encoder._core_bpe.encode_single_piece
-                found = [r for piece in self.pieces.findall(word) for r in one(piece.encode() + _END)]
+                found = [r for piece in self.pieces.findall(plain) for r in one(piece.encode() + _END)]
                 value = b"".join([self.packed[r] for r in found])
             else:
                 value = np.array(tokenizer(self.path).encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
@@ -104,11 +109,12 @@ class WordBpe(dict):
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, four little-endian bytes each."""
-        if not text.isascii():
-            # Letter by letter, as the tokenizer does: no final sigma.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
+        # Words with other letters stay as they are: the tokenizer composes and lowers them itself, once.
+        if text.isascii():
+            text = text.lower()
         words = _WORDS.findall(text) if _CONTROLS.search(text) else text.split()
+        if not text.isascii():
+            words = [w.lower() if w.isascii() else w for w in words]
         return b"".join(map(self.__getitem__, words))
 
 
