@@ -23,9 +23,15 @@ FIRST_ROUND = 2
 
 
 def integer_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """`id`, `v` (floor(scale * x) of each component, as long) of the rows that take part; repeated rows once."""
+    """`id`, `v` (floor(scale * x) of each component, as long) of the rows that take part; repeated rows once.
+
+    Components end where products of vectors of their length could leave a long: 2^28 for 64 of them.
+    """
     ship_package(vectors.sparkSession)
-    comps = F.transform(vec_col, lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
+    most = F.floor(F.sqrt(F.lit(float(1 << 62)) / F.size(vec_col)))
+    comps = F.transform(
+        vec_col, lambda x: F.greatest(-most, F.least(most, F.floor(x.cast("double") * F.lit(float(scale)))))
+    )
     rows = vectors.where(finite_vector(vec_col) & F.col(id_col).isNotNull())
     return rows.select(F.col(id_col).alias("id"), comps.alias("v")).distinct()
 
@@ -77,7 +83,10 @@ def bounds(queries: np.ndarray, cell: np.ndarray, low: np.ndarray, width: np.nda
     lower = (low + cell * width).T
     upper = lower + (width - 1)[:, None]
     plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
-    return plus @ lower + minus @ upper, plus @ upper + minus @ lower
+    # What rounding may take from a sum of doubles; nothing while all products are below 2^53.
+    most = np.abs(queries).sum(axis=1, keepdims=True) * np.maximum(np.abs(lower), np.abs(upper)).max(initial=0.0)
+    slack = np.where(most < 1 << 53, 0.0, most * 2.0**-40)
+    return plus @ lower + minus @ upper - slack, plus @ upper + minus @ lower + slack
 
 
 def _blocks(rows: DataFrame, count: Column, seed: int, encode) -> DataFrame:
@@ -166,8 +175,8 @@ def top_k(
     id. Ids are whole numbers. Null vectors, empty ones, those with null or non-finite
     components, and null ids take no part; rows that repeat id and vector count once; only
     vectors of one length are compared; other columns are ignored; with fewer than k
-    others all are returned; an empty table gives an empty result. Components are exact
-    up to 2^20 in size after scaling.
+    others all are returned; an empty table gives an empty result. Components whose
+    products could leave a long (beyond 2^28 after scaling, for 64 components) count as that limit.
     """
     rows = integer_vectors(vectors, id_col, vec_col, scale)
     ranges = component_ranges(rows)
