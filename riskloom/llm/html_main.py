@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
@@ -18,19 +18,20 @@ from riskloom.session import materialize, ship_package
 
 # Most hosts whose winning paths are broadcast (a row is under 1 kB); beyond, they are joined by shuffle.
 BROADCAST_HOSTS = 20_000
-# Share of a page's clean text that its best container holds at least.
-NEARLY = 0.9
-# A page keeps the host's path only if it yields this share of the page's own best container.
-AGREEMENT = 0.4
+# Text of an element under an ambiguous name that counts as little: letters, and one part in so many of the page.
+LITTLE = 200
+LITTLE_PART = 10
 _PATH_STEPS = 8
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math select object video audio canvas".split())
+RAW = frozenset("script style textarea title iframe template svg select object video audio canvas".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math mfrac mi mn mo mrow ms "
+    "msqrt msub msubsup msup mtext q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
-JUNK_TAGS = frozenset("nav footer aside form button menu dialog head datalist fieldset".split())
+JUNK_TAGS = frozenset("nav footer aside button menu dialog head datalist".split())
+# Junk unless they hold the page.
+FORM_TAGS = frozenset("form fieldset".split())
 CONTAINERS = frozenset("article main section div td body".split())
 JUNK_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar sidebars "
@@ -41,6 +42,11 @@ JUNK_WORDS = frozenset(
 JUNK_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split()
 )
+# Parts of a name that say nothing of their own beside a word of junk.
+PLAIN_WORDS = frozenset(
+    "area bar block box button buttons container content form header inner item items left line link links list main outer "
+    "page panel post posts right row section site slot text thread title top bottom unit wrap wrapper".split()
+)
 GOOD_WORDS = frozenset("article content post entry story main text body".split())
 # Elements that end an open element of the same set when they begin.
 CLOSES = {
@@ -73,24 +79,36 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape((m[2] or "").strip("\"'")).lower() for m in _ATTRIBUTE.finditer(source)}
 
 
-def _is_junk(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+# What tag, role and names say of an element: nothing, that it is junk, or that it is unless its text says otherwise.
+CLEAN, JUNK, FORM, DOUBTFUL, FALLBACK = range(5)
+
+
+def _verdict(tag: str, attributes: dict[str, str], in_article: bool) -> int:
     if tag in JUNK_TAGS or (tag == "header" and not in_article):
-        return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    if attributes.get("role") in JUNK_ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return True
-    if _HIDDEN.search(attributes.get("style", "")):
-        return True
-    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
-        parts = _NAME_PARTS.findall(name)
-        if not parts or {"with", "has", "no", "without"} & set(parts):
-            continue
-        if parts[0] in JUNK_WORDS or parts[-1] in JUNK_WORDS:
-            return True
-        if tag not in INLINE and "header" in parts and not in_article and not GOOD_WORDS & set(parts):
-            return True
-    return False
+        return JUNK
+    if tag == "noscript":
+        return CLEAN if in_article else FALLBACK
+    if attributes and tag not in ("html", "body", "article", "main"):
+        if attributes.get("role") in JUNK_ROLES - {"form"} or "hidden" in attributes or attributes.get("aria-hidden") == "true":
+            return JUNK
+        if _HIDDEN.search(attributes.get("style", "")):
+            return JUNK
+        found = max((_named(n, tag, in_article) for n in f"{attributes.get('class', '')} {attributes.get('id', '')}".split()), default=0)
+        if found:
+            return JUNK if found == 2 else DOUBTFUL
+    return FORM if tag in FORM_TAGS or attributes.get("role") == "form" else CLEAN
+
+
+def _named(name: str, tag: str, in_article: bool) -> int:
+    """2 if a class name or id stands for junk alone, 1 if a part of it does, 0 if none."""
+    parts = _NAME_PARTS.findall(name)
+    if not parts or {"with", "has", "no", "without"} & set(parts):
+        return 0
+    if parts[0] in JUNK_WORDS or parts[-1] in JUNK_WORDS:
+        return 2 if all(p in JUNK_WORDS or p in PLAIN_WORDS or len(p) == 1 for p in parts) else 1
+    if tag not in INLINE and "header" in parts and not in_article and not GOOD_WORDS & set(parts):
+        return 2
+    return 0
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -100,21 +118,22 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
 
 
 class Page:
-    """The elements of a page and its clean text, block by block."""
+    """The elements of a page and its clean text, block by block. Reading takes time in proportion to the page."""
 
     def __init__(self, source: str):
         self.parents, self.tags, self.steps = [-1], ["#page"], [""]
-        self.junk, self.in_article = [False], [False]
+        self.verdicts, self.in_article = [CLEAN], [False]
         # One entry per stretch of text: element, block, text, inside a link.
         self.texts: list[tuple[int, int, str, bool]] = []
         self.block = 0
         self._read(source)
+        self.junk = self._judged()
 
     def _open(self, tag: str, attributes: dict[str, str], parent: int) -> int:
         self.parents.append(parent)
         self.tags.append(tag)
         self.steps.append(_step(tag, attributes))
-        self.junk.append(self.junk[parent] or _is_junk(tag, attributes, self.in_article[parent]))
+        self.verdicts.append(_verdict(tag, attributes, self.in_article[parent]))
         self.in_article.append(self.in_article[parent] or tag in ("article", "main"))
         return len(self.tags) - 1
 
@@ -123,9 +142,51 @@ class Page:
             yield element
             element = self.parents[element]
 
+    def _judged(self) -> list[bool]:
+        """Whether each element is junk or lies in junk.
+
+        What holds the page's article is never junk by its name. An ambiguous name needs a
+        second sign: mostly links, or little text. A form is junk unless it holds most
+        of what is left of the page.
+        """
+        count = len(self.tags)
+        letters, linked, article = [0] * count, [0] * count, [t in ("article", "main") for t in self.tags]
+        for element, _, text, link in self.texts:
+            size = len(text) - text.count(" ")
+            letters[element] += size
+            linked[element] += size * link
+        for e in range(count - 1, 0, -1):
+            letters[self.parents[e]] += letters[e]
+            linked[self.parents[e]] += linked[e]
+            article[self.parents[e]] |= article[e]
+
+        def sure(e: int) -> bool:
+            kind = self.verdicts[e]
+            if kind == JUNK:
+                return self.tags[e] in JUNK_TAGS or not article[e]
+            if kind == DOUBTFUL:
+                little = letters[e] < LITTLE and letters[e] * LITTLE_PART < letters[0]
+                return not article[e] and (little or 2 * linked[e] >= letters[e] > 0)
+            return False
+
+        junk = [False] * count
+        for e in range(1, count):
+            junk[e] = junk[self.parents[e]] or sure(e)
+        left = [0] * count
+        for element, _, text, _ in self.texts:
+            left[element] += 0 if junk[element] else len(text) - text.count(" ")
+        for e in range(count - 1, 0, -1):
+            left[self.parents[e]] += left[e]
+        for e in range(1, count):
+            held = article[e] or 2 * left[e] > left[0]
+            unless = self.verdicts[e] in (FORM, FALLBACK) and not held
+            junk[e] = junk[e] or junk[self.parents[e]] or unless
+        return junk
+
     def _read(self, source: str) -> None:
         stack, links, at = [0], 0, 0
-        size, opened = len(source), Counter()
+        size = len(source)
+        depths: dict[str, list[int]] = defaultdict(list)  # where the open elements of each name stand
 
         def text(till: int) -> None:
             if till > at:
@@ -135,9 +196,12 @@ class Page:
             nonlocal links
             while len(stack) > depth:
                 name = self.tags[stack.pop()]
-                opened[name] -= 1
+                depths[name].pop()
                 links -= name == "a"
 
+        def last(names: Iterable[str]) -> int:
+            return max((depths[n][-1] for n in names if depths.get(n)), default=0)
+
         while at < size:
             token = _TOKEN.search(source, at)
             if token is None:
@@ -151,10 +215,8 @@ class Page:
             if tag not in INLINE and tag not in RAW:
                 self.block += 1
             if token[1] or token[4]:
-                for depth in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
-                    if self.tags[stack[depth]] == tag:
-                        close(depth)
-                        break
+                if depth := last((tag,)):
+                    close(depth)
                 continue
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
@@ -165,18 +227,16 @@ class Page:
                     self.texts.append((stack[-1], self.block, " ", links > 0))
                 continue
             if tag not in INLINE:
-                # A block ends an open paragraph; some elements end their like.
+                # A block ends an open paragraph; some elements end their like, as far back as the next enclosing one.
                 ends = ("p", *CLOSES.get(tag, ()))
-                for depth in range(len(stack) - 1, 0, -1):
+                barrier = last(SCOPE.difference(ends))
+                while (depth := last(ends)) > barrier:
                     name = self.tags[stack[depth]]
-                    if name in ends:
-                        close(depth)
-                        if name == "p" and tag not in CLOSES:
-                            break
-                    elif name in SCOPE:
+                    close(depth)
+                    if name == "p" and tag not in CLOSES:
                         break
+            depths[tag].append(len(stack))
             stack.append(self._open(tag, _attributes(token[3] or token[6] or ""), stack[-1]))
-            opened[tag] += 1
             links += tag == "a"
 
     def path(self, element: int) -> str:
@@ -200,9 +260,9 @@ class Page:
     def scores(self) -> list[tuple[int, int, int]]:
         """Containers with their score (0 to 1000) and number of clean letters outside links, best first.
 
-        The score is the share of the page's clean text that the container holds. The smallest
-        container that holds nearly all of it is the best; junk inside does not count, as
-        it goes anyway. An article or a main element goes before others of its size.
+        The score is the share of the page's clean text that the container holds. The best is the
+        page's one article, or its main element, if that holds at least half of the clean text; else the
+        smallest container that holds all of it. Junk inside does not count, as it goes anyway.
         """
         clean = [0] * len(self.tags)
         for element, _, text, linked in self.texts:
@@ -210,18 +270,15 @@ class Page:
         for e in range(len(self.tags) - 1, 0, -1):
             clean[self.parents[e]] += clean[e]
         total = clean[0]
-        found = []
-        for e in range(len(self.tags)):
-            if total and clean[e] and not self.junk[e] and (e == 0 or self.tags[e] in CONTAINERS):
-                found.append((e, 1000 * clean[e] // total, clean[e]))
-
-        def place(x: tuple[int, int, int]) -> tuple:
-            whole = x[2] >= NEARLY * total
-            named = self.tags[x[0]] in ("article", "main") or GOOD_WORDS & set(_NAME_PARTS.findall(self.steps[x[0]].partition(".")[2]))
-            # Of containers with nearly all the smallest, of the others the largest; the innermost (latest) of equal ones.
-            return (not whole, x[2] if whole else -x[2], not named, -x[0])
-
-        return sorted(found, key=place)
+        held = [e for e in range(len(self.tags)) if total and clean[e] and not self.junk[e]]
+        found = [(e, 1000 * clean[e] // total, clean[e]) for e in held if e == 0 or self.tags[e] in CONTAINERS]
+        declared = -1
+        for tag in ("article", "main"):
+            ones = self.outermost([e for e in held if self.tags[e] == tag]) if declared < 0 else ()
+            if len(ones) == 1 and 2 * clean[min(ones)] >= total:
+                declared = min(ones)
+        # Then those with all text, the innermost first; then by size.
+        return sorted(found, key=lambda x: (x[0] != declared, -x[2], -x[0]))
 
     def text(self, roots: set[int]) -> str:
         """Clean text inside the roots: a block's white space is one space, blocks are lines."""
@@ -242,15 +299,14 @@ def vote(source: str) -> tuple[str, int] | None:
 
 
 def main_text(source: str, path: str | None) -> str:
-    """Text of the containers on the host's path, or of the page's own best one where that path misses."""
+    """Text of the containers on the host's path where that loses nothing of the page's own best one, else of the latter."""
     page = Page(source)
     ranked = page.scores()
     if not ranked:
         return ""
-    best, _, most = ranked[0]
-    agreed = {e: clean for e, _, clean in ranked if path is not None and page.path(e) == path}
-    roots = page.outermost(agreed)
-    if sum(agreed[e] for e in roots) < AGREEMENT * most:
+    best = ranked[0][0]
+    roots = page.outermost([e for e, _, _ in ranked if path is not None and page.path(e) == path])
+    if not any(e in roots for e in page._line(best)):
         roots = {best}
     return page.text(roots)
 
@@ -299,8 +355,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """`id_col`, `url_col`, `text` for every page: the main text of the whole page.
 
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-    comments go by tag, role and class name; what is left of the agreed container is
-    kept whole. A null or empty page has an empty text; a null or odd URL belongs to the
+    comments go by tag, role and name, an ambiguous name only with a second sign; what is left of the agreed container is
+    kept whole, and a page never loses text of its own best container to the host's path. A null or empty page has an empty text; a null or odd URL belongs to the
     nameless host; repeated rows stay; an empty table gives an empty result; other
     columns are ignored.
     """

@@ -60,6 +60,17 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert sorted(map(tuple, whole.select(columns).collect())) == sorted(map(tuple, packed.select(columns).collect()))
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns that stages use for themselves, and a table without `n_chars`."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(80).select("doc_id", "text")
+    given = docs.withColumns({c: F.concat(F.lit("own "), "doc_id") for c in ("score", "predicted", "n_dropped", "uid", "cell", "fp", "h1")})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, given, SMALL)
+        assert after.columns == given.columns and after.count() > 0
+        for c in given.columns[2:]:
+            assert after.where(F.col(c) != F.concat(F.lit("own "), "doc_id")).isEmpty()
+
+
 def test_pipeline_of_empty_tables(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
