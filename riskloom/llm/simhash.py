@@ -34,7 +34,7 @@ BLOCK = 512
 WIDE = 32
 # Chance that a pair of exactly the similarity meets in a cell, and the subsets of references of one wave.
 RECALL = 0.995
-WAVE = 48
+WAVE = 128
 # Hashes whose bits are spread and summed at a time.
 _PART = 1 << 14
 
@@ -292,7 +292,7 @@ def bit_subsets(count: int, words: int, similarity: float, recall: float) -> tup
     whose bits differ more often, take all the subsets.
     """
     total = 64 * words
-    size = min(total, max(16, math.ceil(math.log2(max(count, 2))) + 1))
+    size = min(total, max(16, math.ceil(math.log2(max(count, 2)))))
     chances = worst_chances(similarity)
     usual, subsets = (subsets_for(p, size, total, recall) for p in (chances[-1], max(chances)))
     drawn = np.random.default_rng(SEED)
@@ -352,8 +352,8 @@ def mixed_cells(cells: DataFrame, known: DataFrame) -> DataFrame:
     return rows.join(mixed, "cell", "left_semi")
 
 
-def crowded_pairs(rows: DataFrame, fps: DataFrame, words: int, cuts: list[int], block: int = BLOCK) -> DataFrame:
-    """Pairs `a`, `b`, `differ` of the rows of mixed cells that are not in one group yet.
+def _compared(rows: DataFrame, fps: DataFrame, words: int, cuts: list[int], block: int, pairs: bool) -> DataFrame:
+    """Near rows of mixed cells that are not in one group yet: their pairs `a`, `b`, `differ`, or just the rows `cell`, `uid`.
 
     Cells are cut into blocks, and each pair of blocks is one group of bounded size, in
     which every row is compared with every other.
@@ -366,12 +366,12 @@ def crowded_pairs(rows: DataFrame, fps: DataFrame, words: int, cuts: list[int],
     member = F.struct((F.col("mine") == low).alias("left"), "uid", "root", "size", "fp").alias("m")
     groups = rows.select("cell", low.alias("low"), high.alias("high"), member).groupBy("cell", "low", "high")
     limits = np.array(cuts)
-    groups = groups.agg(F.collect_list("m").alias("m")).select((F.col("low") == F.col("high")).alias("same"), "m")
+    groups = groups.agg(F.collect_list("m").alias("m")).select((F.col("low") == F.col("high")).alias("same"), "m", "cell")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
-            found = [np.empty((3, 0), np.int64)]
-            for same, members in zip(batch.column(0).to_pylist(), batch.column(1)):
+            found = [np.empty((3 if pairs else 2, 0), np.int64)]
+            for same, members, cell in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 *plain, fp = (members.values.field(i) for i in range(5))
                 left, uid, root, size = (x.to_numpy(zero_copy_only=False) for x in plain)
                 bits = fp.flatten().to_numpy().view(np.uint64).reshape(-1, words)
@@ -382,12 +382,27 @@ def crowded_pairs(rows: DataFrame, fps: DataFrame, words: int, cuts: list[int],
                     differ += np.bitwise_count(bits[x, None, w] ^ bits[None, y, w])
                 most = limits[np.minimum(np.minimum(size[x, None], size[None, y]), len(limits) - 1)]
                 near = (differ <= most) & (root[x, None] != root[None, y])
-                i, j = np.nonzero(np.triu(near) if same else near)
-                a, b = uid[x[i]], uid[y[j]]
-                found.append(np.stack([np.minimum(a, b), np.maximum(a, b), differ[i, j].astype(np.int64)]))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found, axis=1)], names=["a", "b", "differ"])
+                if pairs:
+                    i, j = np.nonzero(np.triu(near) if same else near)
+                    a, b = uid[x[i]], uid[y[j]]
+                    found.append(np.stack([np.minimum(a, b), np.maximum(a, b), differ[i, j].astype(np.int64)]))
+                else:
+                    some = np.concatenate((uid[x[near.any(axis=1)]], uid[y[near.any(axis=0)]]))
+                    found.append(np.stack([np.full(len(some), cell), some]))
+            columns = [pa.array(c) for c in np.concatenate(found, axis=1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "differ"] if pairs else ["cell", "uid"])
+
+    return groups.mapInArrow(run, "a long, b long, differ long" if pairs else "cell long, uid long").distinct()
+
+
+def crowded_rows(rows: DataFrame, fps: DataFrame, words: int, cuts: list[int], block: int = BLOCK) -> DataFrame:
+    """The rows of mixed cells that have some near row of another group in their cell."""
+    return rows.join(_compared(rows, fps, words, cuts, block, False), ["cell", "uid"], "left_semi")
+
 
-    return groups.mapInArrow(run, "a long, b long, differ long").distinct()
+def crowded_pairs(rows: DataFrame, fps: DataFrame, words: int, cuts: list[int], block: int = BLOCK) -> DataFrame:
+    """Pairs `a`, `b`, `differ` of the rows of mixed cells that are not in one group yet."""
+    return _compared(rows, fps, words, cuts, block, True)
 
 
 def shingle_sets(texts: DataFrame, width: int, seed: int) -> DataFrame:
@@ -454,14 +469,25 @@ def widened(sets: DataFrame, words: int) -> DataFrame:
     return sets.select("uid", "shingles").mapInArrow(run, "uid long, fp array<long>, size int")
 
 
+def merged(known: DataFrame, links: DataFrame) -> DataFrame:
+    """The groups (`node`, `component`) after further links: only the groups that these join are followed."""
+    for end in "ab":
+        found = known.select(F.col("node").alias(end), F.col("component").alias(f"group_{end}"))
+        links = links.join(found, end, "left")
+    ends = [F.coalesce(f"group_{end}", end).alias(end) for end in "ab"]
+    new = materialize(components(links.select(*ends)), "joined-groups")
+    moved = new.select(F.col("node").alias("component"), F.col("component").alias("root"))
+    older = known.join(moved, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    return older.union(new.join(known, "node", "left_anti").select("node", "component"))
+
+
 class _Settled:
-    """What is known while waves of cells bring pairs: links, groups, pairs that were compared, shingles that were read."""
+    """What is known while waves of cells bring pairs: groups, pairs that were compared, shingles that were read."""
 
     def __init__(self, docs: DataFrame, rows: DataFrame, fps: DataFrame, text_col: str, id_col: str, width: int, similarity: float, seed: int):
         spark = docs.sparkSession
         self.find = lambda wanted: shingle_sets(texts_of(docs, rows, fps, wanted, text_col, id_col), width, seed)
         self.similarity = similarity
-        self.links = spark.createDataFrame([], "a long, b long")
         self.known = spark.createDataFrame([], "node long, component long")
         self.seen = spark.createDataFrame([], "a long, b long")
         self.sets = spark.createDataFrame([], "uid long, shingles array<long>")
@@ -483,9 +509,8 @@ class _Settled:
         self.seen = self.seen.union(pairs.select("a", "b"))
         found = materialize(alike(pairs.select("a", "b"), self.sets, self.similarity), "near-links")
         if not found.isEmpty():
-            self.links = self.links.union(found)
-            older, self.known = self.known, materialize(components(self.links), "near-groups")
-            discard(older)
+            self.known = materialize(merged(self.known, found), "near-groups")
+        discard(found)
 
 
 def free_shuffles(spark: SparkSession) -> None:
@@ -505,8 +530,8 @@ def near_groups(
     a wave rows are compared with the ends of their cells first: a few pairs of each row are
     settled, then those whose groups are not joined by them, so a large group of copies
     is not spelled out. What is apart still in a cell of more than three rows is compared
-    whole, by fingerprints of many more bits, so that few but true links leave a task
-    also where many texts share a template.
+    whole; the rows that are near another there once more, by fingerprints of many more
+    bits, so that few but true links leave a task also where many texts share a template.
     """
     total = 64 * words
     cuts, wide_cuts = cuts_of(similarity, total), cuts_of(similarity, 64 * WIDE)
@@ -528,12 +553,16 @@ def near_groups(
             nearest = F.min(F.struct("differ", F.xxhash64("a", "b").alias("x"), "b"))["b"]
             some = both.groupBy("a").agg(F.array(*picked, nearest).alias("some")).select("a", F.explode("some").alias("b"))
             some = some.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            known.settle(materialize(some.distinct(), "first-pairs"))
-            doubtful = known.fresh(pairs)
-            if not doubtful.isEmpty():
-                known.settle(doubtful)
+            first = materialize(some.distinct(), "first-pairs")
+            known.settle(first)
+            if first.count() < pairs.count():
+                doubtful = known.fresh(pairs)
+                if not doubtful.isEmpty():
+                    known.settle(doubtful)
         discard(pairs)
-        crowded = materialize(mixed_cells(cells, known.known), "crowded-cells")
+        mixed = materialize(mixed_cells(cells, known.known), "mixed-cells")
+        crowded = materialize(crowded_rows(mixed, fps, words, cuts), "crowded-cells")
+        discard(mixed)
         if not crowded.isEmpty():
             uids = crowded.select("uid")
             known.read(uids)
