@@ -245,11 +245,11 @@ def random_search_tune(
         {stage.stages: [model.build({**model.defaults, **settings}, features, n)]}
         for settings in sampled
     ]
-    search = CrossValidator(
+    validator = CrossValidator(
         estimator=stage, estimatorParamMaps=candidates, evaluator=judge, numFolds=folds,
         foldCol=FOLD, parallelism=parallelism, seed=SEED,
     )
-    found = search.fit(matrix)
+    found = validator.fit(matrix)
     best = max(range(len(sampled)), key=lambda i: found.avgMetrics[i])
     fitted = Fitted(model.name, found.bestModel, model.score, list(features))
     return fitted, sampled[best], float(found.avgMetrics[best])
