@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalogue import views as V
 from catalogue.cleaning import sql_date, sql_number, sql_text
 from catalogue.registry import register
@@ -13,7 +15,7 @@ from riskloom.operators import joins
 from riskloom.plans import bundle as B
 from riskloom.plans import loans as P
 from riskloom.plans import modelling as M
-from riskloom.plans.steps import run_steps
+from riskloom.plans.steps import StepPlan, run_steps
 from riskloom.sources.readers import read_table
 from riskloom.sources.writers import write_table
 
@@ -61,6 +63,23 @@ def audited_steps(spark, sf):
     return run_steps(V.raw_loans(spark, sf, *AUDIT_COLUMNS), steps)[1].drop("error")
 
 
+def _at_least(df, column, least):
+    """A step of the caller's own."""
+    return df.where(F.col(column) >= least)
+
+
+@register(
+    "U1_add_step",
+    query("""SELECT id, round(loan_amnt / 1000, 6) AS thousands FROM (
+             SELECT id, coalesce(loan_amnt, 0) AS loan_amnt FROM loans) WHERE loan_amnt >= 90000"""),
+)
+def add_step(spark, sf):
+    plan = StepPlan("own").add_step("gaps", lambda df: df.na.fill(0.0, subset=["loan_amnt"]))
+    plan.add_step("large", _at_least, column="loan_amnt", least=90_000)
+    plan.add_step("thousands", lambda df: df.select("id", F.round(F.col("loan_amnt") / 1000, 6).alias("thousands")))
+    return plan.execute(V.loans(spark, sf, "id", "loan_amnt"))
+
+
 _TEXTS = V.TEXT_NAMES
 _NUMBERS = V.NUMBER_NAMES
 _MEDIANS = [c for c in S.MEDIAN_FILL_COLUMNS if c in _NUMBERS or c in S.INDICATOR_COLUMNS]
