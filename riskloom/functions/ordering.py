@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
@@ -15,6 +15,8 @@ from riskloom.session import bounded_rows, broadcastable, materialize
 RANGE_BUCKETS = 512
 SINGLE_WINDOW_ROWS = 200_000  # one task may order this many reduced rows
 HASH_PREFIX = 3  # hex digits per round: 4096 equal ranges of the md5 order
+VALUE_CELLS = 1024  # equal cells per round between the ends of an interval of numbers
+GROUP_ROWS = 20_000  # one task may order this many rows of a group
 
 
 def with_range_bucket(df: DataFrame, key: str, buckets: int = RANGE_BUCKETS) -> DataFrame:
@@ -205,6 +207,99 @@ def _narrowed(rows: DataFrame, spans: dict, width: int) -> dict:
     return out
 
 
+def hash_cell(key: Column, low: Column, high: Column, depth: int) -> Column:
+    """The leading digits of an md5, three more each round."""
+    return F.substring(key, 1, HASH_PREFIX * depth)
+
+
+def value_cell(key: Column, low: Column, high: Column, depth: int) -> Column:
+    """One of `VALUE_CELLS` equal cells between two numbers; it never falls as the number grows."""
+    return F.floor(F.least((key - low) / ((high - low) / VALUE_CELLS), F.lit(VALUE_CELLS - 1.0)))
+
+
+def values_at_ranks(
+    df: DataFrame,
+    group: Column,
+    key: Column,
+    wanted: DataFrame,
+    cell: Callable[[Column, Column, Column, int], Column],
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """The key at each wanted 1-based rank, for any number of groups: rows `_g`, `_k`, `_at`.
+
+    `wanted` has a group `_g`, a number `_k` of the place and its `_rank`; places beyond
+    a group's non-null keys are left out. Rows are counted per cell of their group's
+    key range, combined before the shuffle, and only the cell that holds a rank is cut
+    on, until its keys are all equal or few. Then the distinct keys of that cell
+    are put in order, so neither a group nor a hot value is ever gathered.
+    The result is staged; `df` is read several times.
+    """
+    rows = df.select(group.alias("_g"), key.alias("_v")).where("_v IS NOT NULL")
+    ends = rows.groupBy("_g").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("_v").alias("_n"))
+    asked = wanted.where("_rank > 0").select(F.col("_g").alias("_of"), "_k", "_rank")
+    spans = materialize(
+        asked.join(ends, F.col("_of").eqNullSafe(F.col("_g"))).where("_rank <= _n").drop("_of"), "spans"
+    )
+    found, depth = [spans.where("_lo = _hi").select("_g", "_k", F.col("_lo").alias("_at"))], 0
+    while True:
+        wide = spans.where((F.col("_lo") < F.col("_hi")) & (F.col("_n") > group_rows))
+        if wide.isEmpty():
+            break
+        depth += 1
+        inside = _in_spans(rows, wide)
+        ladder = inside.groupBy("_g", "_lo", cell(F.col("_v"), F.col("_lo"), F.col("_hi"), depth).alias("_cell")).agg(
+            F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("_v").alias("_in")
+        )
+        upto = F.sum("_in").over(Window.partitionBy("_g", "_lo").orderBy("_cell"))
+        narrowed = _holding(wide, ladder.withColumn("_upto", upto)).select(
+            "_g", "_k", (F.col("_rank") - F.col("_upto") + F.col("_in")).alias("_rank"),
+            F.col("_low").alias("_lo"), F.col("_high").alias("_hi"), F.col("_in").alias("_n"),
+        )
+        few = spans.where((F.col("_lo") < F.col("_hi")) & (F.col("_n") <= group_rows))
+        spans = materialize(narrowed.unionByName(few.select(*narrowed.columns)), "spans")
+        found.append(spans.where("_lo = _hi").select("_g", "_k", F.col("_lo").alias("_at")))
+    last = spans.where("_lo < _hi")
+    counts = _in_spans(rows, last).groupBy("_g", "_lo", "_v").agg(F.count(F.lit(1)).alias("_in"))
+    upto = F.sum("_in").over(Window.partitionBy("_g", "_lo").orderBy("_v"))
+    found.append(_holding(last, counts.withColumn("_upto", upto)).select("_g", "_k", F.col("_v").alias("_at")))
+    return materialize(reduce(DataFrame.unionByName, found), "cuts")
+
+
+def _in_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """The rows of each interval; the intervals of one group do not overlap."""
+    places = spans.select(F.col("_g").alias("_of"), "_lo", "_hi").distinct()
+    within = F.col("_g").eqNullSafe(F.col("_of")) & F.col("_v").between(F.col("_lo"), F.col("_hi"))
+    return rows.join(broadcastable(places), within).drop("_of")
+
+
+def _holding(spans: DataFrame, ladder: DataFrame) -> DataFrame:
+    """Each span with the step of its ladder on which its rank falls."""
+    steps = ladder.withColumnsRenamed({"_g": "_of", "_lo": "_from"})
+    held = (
+        F.col("_g").eqNullSafe(F.col("_of")) & (F.col("_lo") == F.col("_from"))
+        & F.col("_rank").between(F.col("_upto") - F.col("_in") + 1, F.col("_upto"))
+    )
+    return spans.join(steps, held)
+
+
+def attach_cuts(df: DataFrame, by: Column, hash_col: str, cuts: DataFrame) -> DataFrame:
+    """Add `_cuts`, the hashes that `values_at_ranks` found for the row's group, in order of `_k`.
+
+    Up to the size of a broadcast the table is not moved. Beyond it rows and cuts meet
+    on the group and the first digit of the hash, so a hot group is not one key.
+    """
+    per_group = cuts.groupBy(F.col("_g").alias("_of")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_k", "_at"))), lambda c: c["_at"]).alias("_cuts")
+    )
+    bounded = broadcastable(per_group)
+    if bounded is not per_group:
+        return df.join(bounded, by.eqNullSafe(F.col("_of")), "left").drop("_of")
+    digits = F.explode(F.array(*[F.lit(d) for d in "0123456789abcdef"]))
+    dealt = per_group.withColumn("_digit", digits)
+    meet = by.eqNullSafe(F.col("_of")) & (F.substring(hash_col, 1, 1) == F.col("_digit"))
+    return df.join(dealt, meet, "left").drop("_of", "_digit")
+
+
 def group_sizes(df: DataFrame, by: str, max_groups: int | None = None) -> dict:
     """Rows per class, in class order: one number per class. `max_groups` refuses more classes."""
     counts = df.groupBy(col(by).alias("g")).count()

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from riskloom import schemas as S
 from riskloom.functions.exprs import col, long_values, per_column
-from riskloom.functions.ordering import group_sizes
+from riskloom.functions.ordering import group_sizes, value_cell, values_at_ranks
 from riskloom.functions.quantiles import exact_quantiles
 from riskloom.operators.cleaning import iqr_bounds
+from riskloom.session import broadcastable
 
 KDE_POINTS = 1000
 # Up to so many classes are described in one aggregate; more are grouped.
@@ -124,15 +125,31 @@ def boxplot_stats(df: DataFrame, column: str, by: str | None = None) -> DataFram
 
 
 def _grouped_boxplots(df: DataFrame, v, by: str) -> DataFrame:
-    """Box plots of many classes: exact percentiles of their value counts, then one more pass."""
+    """Box plots of many classes: the ranks around each quartile are found from counts, then one more pass."""
     rows = df.select(col(by).alias("k"), v.alias("v")).where("k IS NOT NULL AND v IS NOT NULL")
+    sizes = rows.groupBy(F.col("k").alias("_g")).agg(F.count("v").alias("n"))
+    place = (F.col("n") - 1) * (F.col("_q") + 1) / 4
+    places = sizes.withColumn("_q", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumn("_place", place)
+    low = F.floor("_place")
+    wanted = places.select("_g", F.explode(F.array(
+        F.struct((2 * F.col("_q")).alias("_k"), (low + 1).alias("_rank")),
+        F.struct((2 * F.col("_q") + 1).alias("_k"), (F.ceil("_place") + 1).alias("_rank")),
+    )).alias("w")).select("_g", "w.*")
+    found = values_at_ranks(rows, F.col("k"), F.col("v"), wanted, value_cell)
+    ends = found.groupBy("_g").agg(F.map_from_entries(F.collect_list(F.struct("_k", "_at"))).alias("at"))
+    met = ends.join(sizes, "_g")
+
+    def quartile(i):
+        part = (F.col("n") - 1) * (i + 1) / 4
+        return F.col("at")[2 * i] + (part - F.floor(part)) * (F.col("at")[2 * i + 1] - F.col("at")[2 * i])
+
+    quartiles = met.select(F.col("_g").alias("k"), F.array(*[quartile(i) for i in range(3)]).alias("q"))
     counts = rows.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
-    quartiles = counts.groupBy("k").agg(F.percentile("v", [0.25, 0.5, 0.75], F.col("n")).alias("q"))
     reach = 1.5 * (F.col("q")[2] - F.col("q")[0])
     sized = quartiles.select("k", "q", (F.col("q")[0] - reach).alias("lower"), (F.col("q")[2] + reach).alias("upper"))
     within = F.col("v").between(F.col("lower"), F.col("upper"))
     return (
-        counts.join(sized, "k")
+        counts.join(broadcastable(sized), "k")
         .groupBy("k", "q")
         .agg(
             F.min(F.when(within, F.col("v"))).alias("whisker_low"),

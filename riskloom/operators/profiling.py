@@ -71,7 +71,8 @@ def profile_categorical(df: DataFrame, columns: Sequence[str] | None = None) ->
         F.sum("n").alias("rows"),
     )
     every = df.sparkSession.createDataFrame([(c,) for c in names], "column string")
-    full = F.broadcast(every).join(found, "column", "left").na.fill(0)
+    # One row per column of the table on either side.
+    full = every.join(F.broadcast(found), "column", "left").na.fill(0)
     u, rows = F.col("unique_count"), F.col("rows")
     flag = (
         F.when(u == rows, "all_unique")

@@ -10,16 +10,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.exprs import col
-from riskloom.functions.ordering import group_sizes, hash_cuts, hash_key
-from riskloom.session import broadcastable
+from riskloom.functions.ordering import attach_cuts, group_sizes, hash_cell, hash_cuts, hash_key, values_at_ranks
 
 _HASH = "_hash"
-# Up to so many classes are cut by literals; more are ranked class by class.
+# Up to so many classes are cut by literals; the cuts of more are found and joined as a table.
 LITERAL_CLASSES = 200
 
 
@@ -39,15 +38,16 @@ def _up_to(cuts: dict, by: str | None):
     return taken
 
 
-def _ranked(hashed: DataFrame, by: str, numbers: dict) -> DataFrame:
-    """Rows with their rank by hash in their class, and the class's number, for many classes."""
+def _cut_off(hashed: DataFrame, by: str, ranks: dict) -> DataFrame:
+    """Rows with `_cuts`, the hashes at their class's ranks, for many classes."""
     schema = T.StructType(
-        [T.StructField("_class", hashed.schema[by].dataType), T.StructField("_number", T.LongType())]
+        [T.StructField("_g", hashed.schema[by].dataType), T.StructField("_k", T.IntegerType()),
+         T.StructField("_rank", T.LongType())]
     )
-    table = hashed.sparkSession.createDataFrame(list(numbers.items()), schema)
-    joined = hashed.join(broadcastable(table), col(by).eqNullSafe(F.col("_class")))
-    rank = F.row_number().over(Window.partitionBy(col(by)).orderBy(_HASH))
-    return joined.withColumn("_rank", rank).drop("_class")
+    wanted = [(k, i, r) for k, rs in ranks.items() for i, r in enumerate(rs)]
+    table = hashed.sparkSession.createDataFrame(wanted, schema)
+    cuts = values_at_ranks(hashed, col(by), F.col(_HASH), table, hash_cell)
+    return attach_cuts(hashed, col(by), _HASH, cuts)
 
 
 def split_quotas(sizes: dict, test_size: float) -> dict:
@@ -73,9 +73,9 @@ def stratified_split(
     quotas = split_quotas(group_sizes(df, label), test_size)
     hashed = _hashed(df, key, seed)
     if len(quotas) > LITERAL_CLASSES:
-        ranked = _ranked(hashed, label, quotas)
-        parts = ranked.where("_rank > _number"), ranked.where("_rank <= _number")
-        return tuple(part.select(*[col(c) for c in df.columns]) for part in parts)
+        placed = _cut_off(hashed, label, {k: [q] for k, q in quotas.items()})
+        in_test = F.coalesce(F.col(_HASH) <= F.col("_cuts")[0], F.lit(False))
+        return tuple(placed.where(part).select(*[col(c) for c in df.columns]) for part in (~in_test, in_test))
     cuts = hash_cuts(hashed, _HASH, {k: [q] for k, q in quotas.items()}, col(label))
     in_test = _up_to(cuts, label)
     return hashed.where(~in_test).drop(_HASH), hashed.where(in_test).drop(_HASH)
@@ -106,8 +106,8 @@ def random_undersample(
         raise ValueError(f"ratio {ratio} asks for {wanted} rows, more than the larger class has")
     hashed = _hashed(df, key, seed)
     if len(sizes) > LITERAL_CLASSES:
-        ranked = _ranked(hashed, target, {k: min(n, wanted) for k, n in sizes.items()})
-        return ranked.where("_rank <= _number").select(*[col(c) for c in df.columns])
+        placed = _cut_off(hashed, target, {k: [min(n, wanted)] for k, n in sizes.items()})
+        return placed.where(F.col(_HASH) <= F.col("_cuts")[0]).select(*[col(c) for c in df.columns])
     reduced = {k: [wanted] for k, n in others.items() if n > wanted}
     cuts = hash_cuts(hashed, _HASH, reduced, col(target))
     whole = F.lit(False)
@@ -128,11 +128,11 @@ def with_folds(
     """Add a shuffled fold number; every class is spread evenly over the folds."""
     sizes = group_sizes(df, label)
     hashed = _hashed(df, key, seed)
-    if len(sizes) > LITERAL_CLASSES:
-        ranked = _ranked(hashed, label, sizes)
-        past = [(F.col("_rank") > F.floor(F.col("_number") * i / folds)).cast("int") for i in range(1, folds)]
-        return ranked.withColumn(out, sum(past, F.lit(0))).drop("_rank", "_number", _HASH)
     ranks = {k: [n * i // folds for i in range(1, folds)] for k, n in sizes.items()}
+    if len(sizes) > LITERAL_CLASSES:
+        placed = _cut_off(hashed, label, ranks)
+        past = F.size(F.filter(F.col("_cuts"), lambda cut: F.col(_HASH) > cut))
+        return placed.withColumn(out, F.when(F.col("_cuts").isNull(), 0).otherwise(past)).drop("_cuts", _HASH)
     cuts = hash_cuts(hashed, _HASH, ranks, col(label))
     fold = F.lit(0)
     for (k, _), cut in cuts.items():
