@@ -266,10 +266,34 @@ def boxplot_stats(spark, sf):
 )
 def kde(spark, sf):
     rows = V.labelled(spark, sf, "loan_amnt")
-    found = distribution.kde(rows, "loan_amnt", by="target_default")
+    found = distribution.kde(rows, "loan_amnt", by="target_default", cells=None)
     return rounded(rounded(found, 6, "x"), 9, "density")
 
 
+@register(
+    "A15_kde_in_cells",
+    query("""SELECT g::VARCHAR AS "group", i::INTEGER AS point, round(x, 6) AS x, round(sum(w * exp(-0.5::DOUBLE * ((x - v) / h) ** 2))
+             / (n * sqrt(2 * pi())), 8) AS density_times_bandwidth FROM (
+               SELECT g, v, w, n, h, i, lo - (hi - lo) / 2 + i * (2 * (hi - lo) / 999) AS x FROM (
+                 SELECT target_default AS g, n, lo, hi, h, avg(loan_amnt) AS v, count(*) AS w FROM labelled
+                 JOIN (SELECT target_default, count(loan_amnt) AS n, min(loan_amnt) AS lo, max(loan_amnt) AS hi,
+                   stddev_samp(loan_amnt) * count(loan_amnt) ** (-0.2::DOUBLE) AS h
+                   FROM labelled GROUP BY 1) USING (target_default)
+                 WHERE loan_amnt IS NOT NULL GROUP BY 1, 2, 3, 4, 5, floor((loan_amnt - lo) / (h / 64))),
+               range(1000) AS r(i))
+             GROUP BY g, i, x, n, h"""),
+)
+def kde_in_cells(spark, sf):
+    """The density of the default cells, times the bandwidth."""
+    rows = materialize(V.labelled(spark, sf, "loan_amnt"))
+    width = rows.groupBy(F.col("target_default").cast("string").alias("group")).agg(
+        (F.stddev_samp("loan_amnt") * F.pow(F.count("loan_amnt").cast("double"), F.lit(-0.2))).alias("h")
+    )
+    found = distribution.kde(rows, "loan_amnt", by="target_default").join(width, "group")
+    scaled = found.select("group", "point", "x", (F.col("density") * F.col("h")).alias("density_times_bandwidth"))
+    return rounded(rounded(scaled, 6, "x"), 8, "density_times_bandwidth")
+
+
 @register(
     "A16_pearson_matrix",
     query("\nUNION ALL\n".join(
@@ -325,9 +349,29 @@ def moments(spark, sf):
     return distribution.moments(V.loans(spark, sf, *NUM))
 
 
-@register("A20_ks_normality")
+TESTED = ["annual_inc", "installment", "total_pymnt", "loan_amnt"]
+
+
+@register(
+    "A20_ks_normality",
+    # The normal distribution function by its series through gamma values, the p-value by the alternating series.
+    query("""SELECT "column", round(d, 6) AS ks_statistic, round(least(greatest(
+             CASE WHEN x < 0.3 THEN 1 ELSE (SELECT 2 * sum((-1) ** (j - 1) * exp(-2 * j * j * x * x))
+               FROM range(1, 101) AS r(j)) END, 0), 1), 6) AS p_value
+             FROM (SELECT "column", d, d * sqrt(t) + 1 / (6 * sqrt(t)) + (d * sqrt(t) - 1) / (4 * t) AS x FROM (
+               SELECT "column", t, max(greatest(abs(upto / t - p), abs((upto - n) / t - p))) AS d FROM (
+                 SELECT "column", t, n, upto, 0.5 + sign(z) * sum(exp((2 * k + 1) * ln(greatest(abs(z), 1e-300)) - z * z / 2
+                   - (k + 1) * ln(2) - lgamma(k + 1.5))) / sqrt(2) AS p FROM (
+                   SELECT "column", t, n, (v - m) / s AS z,
+                     sum(n) OVER (PARTITION BY "column" ORDER BY v)::DOUBLE AS upto FROM (
+                     SELECT "column", v, count(*) AS n FROM cells GROUP BY 1, 2)
+                   JOIN (SELECT "column", count(*)::DOUBLE AS t, avg(v) AS m, stddev_samp(v) AS s
+                     FROM cells GROUP BY 1) USING ("column")), range(150) AS q(k)
+                 GROUP BY "column", t, n, upto, z) GROUP BY 1, 2))""",
+          "cells AS (" + stacked("SELECT '{n}' AS \"column\", {c} AS v FROM loans WHERE {c} IS NOT NULL", TESTED) + ")"),
+)
 def ks_normality(spark, sf):
-    return distribution.ks_normality(V.loans(spark, sf, "annual_inc", "installment", "total_pymnt"))
+    return distribution.ks_normality(materialize(V.loans(spark, sf, *TESTED)))
 
 
 @register(

@@ -7,7 +7,7 @@ import pytest
 from helpers import values
 from pyspark.sql import functions as F
 
-from riskloom.functions.exprs import col
+from riskloom.functions.exprs import col, kolmogorov_p, normal_cdf
 from riskloom.functions.ordering import carry_values, hash_cuts, hash_key, running_sums
 from riskloom.functions.quantiles import exact_quantiles
 from riskloom.operators import correlation as K
@@ -120,7 +120,7 @@ def test_boxplot(spark):
 
 def test_kde_equals_brute_force(spark):
     df = spark.range(60).selectExpr("cast(id * id % 31 AS double) AS v", "id % 2 AS g")
-    got = D.kde(df, "v", "g", points=50).toPandas()
+    got = D.kde(df, "v", "g", points=50, cells=None).toPandas()
     for g, part in df.toPandas().groupby("g"):
         v = part.v.to_numpy()
         h = v.std(ddof=1) * len(v) ** -0.2
@@ -129,8 +129,16 @@ def test_kde_equals_brute_force(spark):
         density = np.exp(-0.5 * ((x[:, None] - v) / h) ** 2).sum(1) / (len(v) * h * math.sqrt(2 * math.pi))
         mine = got[got.group == str(g)].sort_values("point")
         assert np.allclose(mine.x, x) and np.allclose(mine.density, density)
-    rough = D.kde(df, "v", "g", points=50, bins=500).toPandas()
-    assert abs(rough.density.sum() - got.density.sum()) < 0.02 * got.density.sum()
+
+
+@pytest.mark.parametrize("cells", [1, 4, 64])
+def test_density_in_cells_keeps_its_bound(spark, cells):
+    df = spark.range(20_000).select(F.pow(F.rand(3), 3).alias("v"), (F.col("id") % 2).alias("g"))
+    exact = D.kde(df, "v", "g", points=200, cells=None).toPandas().sort_values(["group", "point"])
+    rough = D.kde(df, "v", "g", points=200, cells=cells).toPandas().sort_values(["group", "point"])
+    h = df.toPandas().groupby("g").v.apply(lambda v: v.std(ddof=1) * len(v) ** -0.2).min()
+    assert np.abs(exact.density.to_numpy() - rough.density.to_numpy()).max() <= 0.05 / (h * cells**2) + 1e-12
+    assert np.allclose(exact.x, rough.x)
 
 
 def test_moments_and_zscores(spark):
@@ -144,10 +152,40 @@ def test_moments_and_zscores(spark):
     assert np.allclose(scored.v_zscore, d / pdf.v.std(ddof=0)) and scored.c_zscore.isna().all()
 
 
-def test_ks_of_a_normal_and_a_skewed_column(spark):
-    df = spark.range(2000).select(F.randn(7).alias("bell"), F.pow(F.rand(7), 4).alias("skewed"))
-    p = {r.column: r.p_value for r in D.ks_normality(df).collect()}
-    assert p["bell"] > 0.01 > p["skewed"]
+def _ks(values, mean, sd):
+    v = np.sort(values)
+    expected = np.array([0.5 * math.erfc((mean - x) / sd / math.sqrt(2)) for x in v])
+    last, first = np.searchsorted(v, v, "right") / len(v), np.searchsorted(v, v, "left") / len(v)
+    return max(np.abs(last - expected).max(), np.abs(first - expected).max())
+
+
+@pytest.mark.parametrize("range_rows", [5, 1_000_000])
+def test_ks_equals_brute_force(spark, range_rows):
+    df = spark.range(3000).select(
+        F.randn(7).alias("bell"), F.pow(F.rand(7), 4).alias("skewed"),
+        F.when(F.col("id") % 3 == 0, 42.0).when(F.col("id") % 50 == 1, None).otherwise(F.rand(9) * 100).alias("hot"),
+        F.when(F.col("id") == 5, 1e12).when(F.col("id") == 6, float("nan")).otherwise(F.rand(4)).alias("far"),
+        (F.col("id") % 4).alias("few"), F.lit(1.0).alias("flat"), F.lit(None).cast("double").alias("none"))
+    pdf = df.toPandas()
+    got = {r.column: r for r in D.ks_normality(df, range_rows=range_rows).collect()}
+    assert set(got) == {"bell", "skewed", "hot", "far", "few"}
+    for c, r in got.items():
+        v = pdf[c].dropna().to_numpy(float)
+        assert r.ks_statistic == pytest.approx(_ks(v, v.mean(), v.std(ddof=1)), abs=2e-6)
+    assert got["bell"].p_value > 0.01 > got["skewed"].p_value
+
+
+def test_ks_p_values_and_normal_distribution(spark):
+    """Known quantiles of the limit, both ends of the series, and the library's distribution function."""
+    z = [-9.0, -7.9, -3.0, -0.1, 0.0, 0.5, 2.0, 6.0, 9.0]
+    cdf = spark.createDataFrame([(v,) for v in z], "z double").select("z", normal_cdf(F.col("z")).alias("p"))
+    for r in cdf.collect():
+        assert r.p == pytest.approx(0.5 * math.erfc(-r.z / math.sqrt(2)), abs=1e-14)
+    n = 10**10
+    known = [(1.3580986, 0.05), (1.6276236, 0.01), (0.8275736, 0.5), (0.5711653, 0.9), (0.0, 1.0), (30.0, 0.0)]
+    for x, p in known:
+        row = spark.range(1).select(kolmogorov_p(F.lit(x / math.sqrt(n)), F.lit(n)).alias("p")).first()
+        assert row.p == pytest.approx(p, abs=1e-4)
 
 
 def test_correlations_equal_pandas_with_gaps_and_constants(spark):
