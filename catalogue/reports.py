@@ -11,7 +11,7 @@ from catalogue.registry import register
 from catalogue.sql import query, stacked
 from catalogue.tables import rounded
 from riskloom.functions.exprs import col
-from riskloom.operators import correlation, distribution, encoding, grouping, profiling
+from riskloom.operators import correlation, distribution, encoding, grouping, information, profiling
 from riskloom.operators.labels import filter_loan_status, known_target
 from riskloom.session import materialize
 
@@ -507,6 +507,36 @@ def mutual_information(spark, sf):
     return rounded(correlation.mutual_information(rows, "loan_status", MI))
 
 
+NEAR_MI = ["int_rate", "annual_inc", "installment", "total_pymnt"]
+
+
+@register(
+    "A32_nearest_mutual_information",
+    query("""SELECT feature, round(greatest(max(h[t::INTEGER]) + sum(n * (h[kk::INTEGER] - h[c::INTEGER] - h[m::INTEGER])) / max(t), 0), 6)
+             AS mutual_info FROM (
+               SELECT s.feature, s.y, s.v, s.n, s.c, s.t, CASE WHEN r = 0 THEN s.n - 1 ELSE least(3, s.c - 1) END AS kk, sum(p.n) AS m
+               FROM (SELECT feature, y, v, n, c, t, CASE WHEN n - 1 >= least(3, c - 1) THEN 0
+                       ELSE min(d) FILTER (cum >= least(3, c - 1) - (n - 1)) END AS r FROM (
+                       SELECT *, sum(e.n) OVER (PARTITION BY feature, y, v ORDER BY abs(e.v - v)) AS cum, abs(e.v - v) AS d FROM (
+                         SELECT feature, y, v, n, c, t, unnest(coalesce(nullif(near, []), [{'v': v, 'n': 0}])) AS e FROM (
+                           SELECT *, list({'v': v, 'n': n}) OVER (PARTITION BY feature, y ORDER BY v
+                             ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING EXCLUDE CURRENT ROW) AS near FROM points)))
+                     GROUP BY feature, y, v, n, c, t) AS s
+               JOIN points AS p ON p.feature = s.feature AND (p.v = s.v OR abs(p.v - s.v) < s.r)
+               GROUP BY ALL), psi GROUP BY feature""",
+          "cells AS (" + stacked("""SELECT '{n}' AS feature, {c} AS v, loan_status AS y FROM modelled WHERE {c} IS NOT NULL""", NEAR_MI) + ")",
+          """points AS (SELECT *, sum(n) OVER (PARTITION BY feature) AS t FROM (
+             SELECT feature, y, v, n, sum(n) OVER (PARTITION BY feature, y) AS c FROM (
+               SELECT feature, y, v, count(*) AS n FROM cells GROUP BY 1, 2, 3)) WHERE c > 1)""",
+          """psi AS (SELECT list(h ORDER BY i) AS h FROM (
+             SELECT i, -0.57721566490153286 + coalesce(sum(1 / i) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS h
+             FROM range(1, (SELECT max(t) + 1 FROM points)::BIGINT) AS r(i)))"""),
+)
+def nearest_mutual_information(spark, sf):
+    rows = materialize(filter_loan_status(V.loans(spark, sf, "loan_status", *NEAR_MI)))
+    return rounded(information.nearest_mutual_information(rows, "loan_status", NEAR_MI))
+
+
 @register(
     "A34_class_weight_ratio",
     query("""SELECT round(r, 9) AS ratio, round(r * 0.5, 9) AS half, round(r * 1.5, 9) AS one_and_half FROM (

@@ -101,6 +101,14 @@ def kolmogorov_p(distance: Column, n: Column) -> Column:
     return F.least(F.greatest(F.when(x < 1, below).otherwise(2 * large), F.lit(0.0)), F.lit(1.0))
 
 
+def digamma(n: Column) -> Column:
+    """psi of a positive number: the recurrence up to n + 10, then the asymptotic series."""
+    x = n.cast("double") + 10
+    square = 1 / (x * x)
+    series = square * (1 / 12 - square * (1 / 120 - square * (1 / 252 - square * (1 / 240 - square / 132))))
+    return F.log(x) - 0.5 / x - series - sum(1 / (n + i) for i in range(10))
+
+
 def row_digest(columns: list[str]) -> tuple[Column, Column]:
     """Two 64-bit hashes over all values of a row.
 

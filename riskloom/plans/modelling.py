@@ -24,6 +24,7 @@ from riskloom.functions.ordering import group_sizes
 from riskloom.operators import correlation, scoring
 from riskloom.operators.cleaning import median_fill
 from riskloom.operators.encoding import margin_to_probability
+from riskloom.operators.information import nearest_mutual_information
 from riskloom.operators.joins import feature_score_join, models_vs_baseline
 from riskloom.operators.sampling import with_folds
 from riskloom.plans.baseline import MajorityClass
@@ -363,16 +364,17 @@ def forest_importance(
 
 
 def feature_importance(
-    df: DataFrame, label: str, columns: Sequence[str], trees: int = 100, depth: int = 8
+    df: DataFrame, label: str, columns: Sequence[str], trees: int = 100, depth: int = 8, nearest: bool = False
 ) -> DataFrame:
     """Pearson, mutual information and forest scores side by side, to 4 places.
 
-    Gaps take the median ahead of mutual information and the forest.
+    Gaps take the median ahead of mutual information and the forest. `nearest` takes the
+    estimate from nearest neighbours instead of the binned one.
     """
     pearson = correlation.label_correlation(df, label, columns)
     filled = median_fill(df.where(col(label).isNotNull()), columns)
     others = [
-        correlation.mutual_information(filled, label, columns),
+        (nearest_mutual_information if nearest else correlation.mutual_information)(filled, label, columns),
         forest_importance(df, label, columns, trees, depth),
     ]
     joined = feature_score_join(pearson, others)
