@@ -16,6 +16,7 @@ RANGE_BUCKETS = 512
 SINGLE_WINDOW_ROWS = 200_000  # one task may order this many reduced rows
 HASH_PREFIX = 3  # hex digits per round: 4096 equal ranges of the md5 order
 VALUE_CELLS = 1024  # equal cells per round between the ends of an interval of numbers
+MOST_CLASSES = 1_000_000  # class sizes that the driver may hold
 GROUP_ROWS = 20_000  # one task may order this many rows of a group
 
 
@@ -300,10 +301,10 @@ def attach_cuts(df: DataFrame, by: Column, hash_col: str, cuts: DataFrame) -> Da
     return df.join(dealt, meet, "left").drop("_of", "_digit")
 
 
-def group_sizes(df: DataFrame, by: str, max_groups: int | None = None) -> dict:
-    """Rows per class, in class order: one number per class. `max_groups` refuses more classes."""
+def group_sizes(df: DataFrame, by: str, max_groups: int = MOST_CLASSES) -> dict:
+    """Rows per class, in class order: one number per class. More than `max_groups` are refused by an error."""
     counts = df.groupBy(col(by).alias("g")).count()
-    rows = counts.collect() if max_groups is None else bounded_rows(counts, max_groups)
+    rows = bounded_rows(counts, max_groups)
     if rows is None:
         raise ValueError(f"'{by}' has more than {max_groups} values: not a class column")
     return dict(sorted(((r["g"], r["count"]) for r in rows), key=lambda t: (t[0] is None, str(t[0]))))

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from riskloom import schemas as S
 from riskloom.functions.exprs import col, kolmogorov_p, long_values, normal_cdf, not_nan, per_column
-from riskloom.functions.ordering import group_sizes, value_cell, values_at_ranks
+from riskloom.functions.ordering import value_cell, values_at_ranks
 from riskloom.functions.quantiles import exact_quantiles
 from riskloom.operators.cleaning import iqr_bounds
-from riskloom.session import broadcastable
+from riskloom.session import bounded_rows, broadcastable
 
 KDE_POINTS = 1000
 # Up to so many classes are described in one aggregate; more are grouped.
@@ -91,9 +91,13 @@ def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
 def boxplot_stats(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
     """Quartiles, whiskers at the last values within 1.5 IQR, and outliers, per class."""
     v = col(column).cast("double")
-    classes = [k for k in group_sizes(df, by) if k is not None] if by else [None]
-    if len(classes) > LITERAL_CLASSES:
-        return _grouped_boxplots(df, v, by)
+    classes = [None]
+    if by:
+        present = df.select(col(by).alias("k")).where("k IS NOT NULL").distinct()
+        found = bounded_rows(present, LITERAL_CLASSES)
+        if found is None:
+            return _grouped_boxplots(df, v, by)
+        classes = sorted((r["k"] for r in found), key=str)
 
     def masked(k):
         return F.when(col(by) == k, v) if by else v

@@ -17,6 +17,8 @@ from riskloom.session import bounded_rows, materialize
 # Values of an ordinal column held as literals, and joined by broadcast.
 LITERAL_VALUES = 100
 JOINED_VALUES = 10_000
+# Values of a column that may become columns, unless the caller allows more.
+ONE_HOT_VALUES = 10_000
 
 
 def create_fico_feature(df: DataFrame, drop: Sequence[str] = S.LEAKAGE_COLUMNS) -> DataFrame:
@@ -182,22 +184,22 @@ def number_distinct(values: DataFrame, descending: bool = False) -> DataFrame:
 
 
 def one_hot_values(
-    df: DataFrame, columns: Sequence[str], limit: int | None = None
+    df: DataFrame, columns: Sequence[str], limit: int = ONE_HOT_VALUES
 ) -> dict[str, list[str]]:
     """The sorted distinct values per column, in one pass over all columns.
 
-    Each becomes a column of the result and so part of its schema; `limit` refuses
-    columns with more values.
+    Each becomes a column of the result and so part of its schema; columns with more
+    than `limit` values are refused by an error.
     """
     names = S.present(df, columns)
     if not names:
         return {}
     found = long_values(df, names, as_type="string").where(F.col("value").isNotNull()).distinct()
-    rows = found.collect() if limit is None else bounded_rows(found, limit * len(names))
+    rows = bounded_rows(found, limit * len(names))
     per = {c: [] for c in names}
     for r in rows or []:
         per[r["column"]].append(r["value"])
-    if limit is not None and (rows is None or any(len(v) > limit for v in per.values())):
+    if rows is None or any(len(v) > limit for v in per.values()):
         raise ValueError(f"more than {limit} values to spread over columns: {names}")
     return {c: sorted(v) for c, v in per.items()}
 
