@@ -163,6 +163,8 @@ def test_importance(raw):
     assert values(out, "feature")[0] in ("int_rate", "dti") and out.count() == 3
     top = M.normalised_top(out, 3).toPandas()
     assert top.random_forest.max() == 1.0 and top.random_forest.min() == 0.0
+    near = M.feature_importance(raw, "loan_status", ["int_rate", "dti"], trees=5, depth=3, nearest=True)
+    assert near.count() == 2 and near.where("mutual_info >= 0").count() == 2
 
 
 @pytest.mark.parametrize("name", ["Logistic Regression", "AdaBoost", "LinearSVC", "Gradient Boosting", "Bagging"])
