@@ -133,6 +133,33 @@ def test_forest_finds_links_of_a_large_tight_group(spark):
     assert links > 100_000 and 0.99 * links <= found <= links
 
 
+def test_trees_grow_until_the_links_of_a_sample_are_found(spark):
+    draw = np.random.default_rng(3)
+    noise = draw.standard_normal((700, 64)) * np.sqrt(0.06 / 64)
+    rows = forest.unit_rows(pa.array((noise + np.eye(64)[0]).tolist()))
+    links = int((rows @ rows.T >= 0.93).sum()) - len(rows)
+    points = [(i, "a", v, 1) for i, v in enumerate(rows.tolist())] + [(700 + i, "b", v, 1) for i, v in enumerate(rows[:40].tolist())]
+    points = spark.createDataFrame(points, "uid long, label string, v array<double>, copies long")
+    single = forest.grow(points, 0.93, 1, 80, 0.0, 7, 0, 1).where("pmod(xxhash64(node), 3) = 0")
+    few = forest.compare(single, points, 0.93, 80)
+    assert few.agg(F.sum("links")).first()[0] < 0.9 * links
+    assert [r.label for r in forest.short_labels(points, few, 0.93, 80, 7).collect()] == ["a"]
+    found = forest.all_links(points, 0.93, 1, 80, 0.0, 80, 7)
+    assert 0.98 * links <= found.where("uid < 700").agg(F.sum("links")).first()[0] <= links
+    assert "v" not in forest.grow(points, 0.93, 1, 80, 0.0, 7).columns
+
+
+def test_links_of_a_label_of_twenty_leaves(spark):
+    draw = np.random.default_rng(8)
+    centres = draw.standard_normal((60, 32))
+    rows = forest.unit_rows(pa.array([(centres[i % 60] + 0.2 * draw.standard_normal(32)).tolist() for i in range(2400)]))
+    near = rows @ rows.T >= 0.93
+    wanted = near.sum(axis=1) - 1
+    df = spark.createDataFrame([(i, 1, v) for i, v in enumerate(rows.tolist())], "vec_id long, label int, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in forest.near_vectors(df, leaf=120, block=100).collect()}
+    assert all(found[i] <= wanted[i] for i in found) and sum(found.values()) >= 0.99 * wanted.sum() > 10_000
+
+
 def test_a_label_that_fits_in_a_leaf_has_one_tree(spark):
     draw = np.random.default_rng(5)
     rows = [(i, i % 2, draw.standard_normal(8).tolist()) for i in range(400)] + [(i, 2, draw.standard_normal(8).tolist()) for i in range(400, 500)]
