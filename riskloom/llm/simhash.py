@@ -34,7 +34,7 @@ BLOCK = 512
 WIDE = 32
 # Chance that a pair of exactly the similarity meets in a cell, and the subsets of references of one wave.
 RECALL = 0.995
-WAVE = 128
+WAVE = 96
 # Hashes whose bits are spread and summed at a time.
 _PART = 1 << 14
 
@@ -319,7 +319,8 @@ def shared_cells(fps: DataFrame, masks: list[list[int]], words: int, similarity:
     rows = fps if usual else fps.where(F.col("size") <= SHORT / similarity)
     each = rows.repartition(tasks, "uid").select("uid", "fp", F.posexplode(own).alias("turn", "mask"))
     parts = [F.get("fp", F.lit(w)).bitwiseAND(F.get("mask", F.lit(w))) for w in range(words)]
-    rows = each.select("uid", F.xxhash64("turn", *parts).alias("cell"))
+    # One exchange by cell serves both the ends and the join.
+    rows = each.select("uid", F.xxhash64("turn", *parts).alias("cell")).repartition("cell")
     # The order inside a cell is that of the uids after an exclusive or with the cell's own name.
     place = F.col("uid").bitwiseXOR(F.col("cell"))
     shared = rows.groupBy("cell").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count("*").alias("n"))
