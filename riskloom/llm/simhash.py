@@ -195,7 +195,7 @@ def near_links(distinct_fps: DataFrame) -> DataFrame:
     tasks = int(distinct_fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = pivot_cells(distinct_fps.repartition(tasks, "fp"))
     shared = cells.groupBy("cell").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi")
-    survivors = cells.join(shared, "cell", "left_semi").select("fp").distinct()
+    survivors = cells.join(shared.hint("merge"), "cell", "left_semi").select("fp").distinct()
     middles = survivors.select("fp", F.explode(flips(F.col("fp"))).alias("middle"))
     least = (
         middles.groupBy("middle")
@@ -203,7 +203,7 @@ def near_links(distinct_fps: DataFrame) -> DataFrame:
         .where("lo <> hi")
         .select("middle", "lo")
     )
-    return middles.join(least, "middle").where("fp <> lo").select(F.col("fp").alias("a"), F.col("lo").alias("b"))
+    return middles.join(least.hint("merge"), "middle").where("fp <> lo").select(F.col("fp").alias("a"), F.col("lo").alias("b"))
 
 
 def near_duplicates(
@@ -222,12 +222,13 @@ def near_duplicates(
     rows = materialize(rows, "fingerprints")
     fps = rows.groupBy("fp").agg(F.min(id_col).alias("least"))
     linked = materialize(components(near_links(rows.select("fp").distinct())), "fingerprint-components")
-    grouped = fps.join(linked, fps["fp"] == linked["node"], "left").select(
+    # Names are shuffled: their files are small enough to broadcast long after their rows are too many for the driver.
+    grouped = fps.join(linked.hint("merge"), fps["fp"] == linked["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("root")
     )
     roots = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(roots, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(
+    named = grouped.join(roots.hint("merge"), "root").select("fp", "component_id")
+    return rows.join(named.hint("merge"), "fp").select(
         id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
