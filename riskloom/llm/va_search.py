@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +19,10 @@ BITS = 8
 # Vectors of one block of the approximation file, and queries that meet it at a time.
 BLOCK = 4096
 QUERY_BLOCK = 512
+# Blocks on either side of a tile at most (16 MB of the file and as much of the queries for 64
+# components), and pairs of tiles below which tiles stay smaller.
+TILE = 64
+TILES = 1024
 # Exact vectors read per query in the first round, as a multiple of k.
 FIRST_ROUND = 2
 
@@ -79,14 +84,19 @@ def cell_width(low: np.ndarray, high: np.ndarray, bits: int) -> np.ndarray:
 
 
 def bounds(queries: np.ndarray, cell: np.ndarray, low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least and largest inner product of each query with any integer vector of each cell row."""
+    """Least and largest inner product of each query with any integer vector of each cell row.
+
+    One product with the lower corners of the cells; what a cell's width may add or take
+    is the same for all rows.
+    """
     lower = (low + cell * width).T
-    upper = lower + (width - 1)[:, None]
-    plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
+    corner = queries @ lower
+    down, up = np.minimum(queries, 0) @ (width - 1), np.maximum(queries, 0) @ (width - 1)
     # What rounding may take from a sum of doubles; nothing while all products are below 2^53.
-    most = np.abs(queries).sum(axis=1, keepdims=True) * np.maximum(np.abs(lower), np.abs(upper)).max(initial=0.0)
+    reach = np.maximum(np.abs(lower), np.abs(lower + (width - 1)[:, None])).max(initial=0.0)
+    most = np.abs(queries).sum(axis=1, keepdims=True) * reach
     slack = np.where(most < 1 << 53, 0.0, most * 2.0**-40)
-    return plus @ lower + minus @ upper - slack, plus @ upper + minus @ lower + slack
+    return corner + down[:, None] - slack, corner + up[:, None] + slack
 
 
 def _blocks(rows: DataFrame, count: Column, seed: int, encode) -> DataFrame:
@@ -113,39 +123,54 @@ def _blocks(rows: DataFrame, count: Column, seed: int, encode) -> DataFrame:
 def candidates(
     data: DataFrame, queries: DataFrame, ranges: dict[int, tuple[np.ndarray, np.ndarray, int]], k: int, bits: int
 ) -> DataFrame:
-    """`query_id`, `id`, `most`: per query and block those that the bounds inside the block cannot rule out.
+    """`query_id`, `id`, `most`: per tile and query those that the bounds inside the tile cannot rule out.
 
-    `least` comes along: the kth largest of all lower bounds of a query rules out more across the blocks.
+    A tile of the file and one of the queries (blocks with the same `size`, `tile` and
+    `query_tile`) meet in one task, which compares them block by block. `least` comes along:
+    the kth largest of all lower bounds of a query rules out more across the tiles.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
-            row = {name: batch.column(i)[0].as_py() for i, name in enumerate(batch.schema.names)}
-            low, high, _ = ranges[row["size"]]
+    def unpacked(table: pa.Table, size: int, kind: type) -> list[tuple[np.ndarray, np.ndarray]]:
+        blocks = zip(table.column("ids").to_pylist(), table.column("data").to_pylist())
+        return [(np.frombuffer(i, np.int64), np.frombuffer(d, kind).reshape(-1, size)) for i, d in blocks]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0))]
+        if left.num_rows and right.num_rows:
+            size = left.column("size")[0].as_py()
+            low, high, _ = ranges[size]
             width = cell_width(low, high, bits)
-            ids, query_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["query_ids"], np.int64)
-            cell = np.frombuffer(row["data"], np.uint8).reshape(-1, row["size"])
-            wanted = np.frombuffer(row["queries"], np.int64).reshape(-1, row["size"]).astype(np.float64)
-            least, most = bounds(wanted, cell.astype(np.float64), low, width)
-            own = query_ids[:, None] == ids[None, :]
-            least[own], most[own] = -np.inf, -np.inf
-            kth = np.partition(least, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(query_ids), -np.inf)
-            q, c = np.nonzero((most >= kth[:, None]) & ~own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(query_ids[q]), pa.array(ids[c]), pa.array(most[q, c]), pa.array(least[q, c])],
-                names=["query_id", "id", "most", "least"],
-            )
-
-    pairs = data.join(queries, ["size", "block", "query_block"])
-    return pairs.select("size", "ids", "data", "query_ids", "queries").mapInArrow(
-        run, "query_id long, id long, most double, least double"
-    )
+            file = unpacked(left, size, np.uint8)
+            for query_ids, wanted in unpacked(right, size, np.int64):
+                best = np.full((len(query_ids), k), -np.inf)
+                some = []
+                for ids, cell in file:
+                    least, most = bounds(wanted.astype(np.float64), cell.astype(np.float64), low, width)
+                    own = query_ids[:, None] == ids[None, :]
+                    least[own], most[own] = -np.inf, -np.inf
+                    best = np.partition(np.concatenate([best, least], axis=1), -k, axis=1)[:, -k:]
+                    q, c = np.nonzero((most >= best[:, :1]) & ~own)
+                    some.append((q, ids[c], most[q, c], least[q, c]))
+                q, ids, most, least = map(np.concatenate, zip(*some))
+                kept = most >= best[q, 0]
+                found.append((query_ids[q[kept]], ids[kept], most[kept], least[kept]))
+        columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
+        return pa.table(dict(zip(("query_id", "id", "most", "least"), columns)))
+
+    key = ("size", "tile", "query_tile")
+    met = data.groupBy(*key).cogroup(queries.groupBy(*key))
+    return met.applyInArrow(run, "query_id long, id long, most double, least double")
+
+
+def tile_edge(pairs: int) -> int:
+    """Blocks on either side of a tile, for so many pairs of blocks."""
+    return min(TILE, max(1, math.isqrt(pairs // TILES)))
 
 
 def _score(cands: DataFrame, rows: DataFrame) -> DataFrame:
     """Candidates with the exact inner product of the integer vectors."""
-    wanted = cands.join(rows.select("id", "v"), "id").join(
-        rows.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id"
+    wanted = cands.hint("merge").join(rows.select("id", "v"), "id").join(
+        rows.select(F.col("id").alias("query_id"), F.col("v").alias("q")).hint("merge"), "query_id"
     )
     products = F.zip_with("v", "q", lambda a, b: a * b)
     return wanted.select("query_id", "id", F.aggregate(products, F.lit(0).cast("long"), lambda s, x: s + x).alias("score"))
@@ -165,7 +190,7 @@ def top_k(
     """`query_id`, `rank`, `id`, `score`: the k largest integer inner products of every query row.
 
     Each row is cut to integers and quantised into the approximation file, one byte per
-    component, staged in blocks. Every block meets every block of queries: cells give a lower
+    component, staged in blocks. Every block meets every block of queries, tile by tile: cells give a lower
     and an upper bound of each product. A row whose upper bound is under the kth lower
     bound of the query is out. The exact vectors of the rest are read in the order of
     their bounds, a first round of `FIRST_ROUND * k` per query and a second one of those
@@ -195,15 +220,18 @@ def top_k(
     total = asked.count()
     blocks = max(1, -(-total // query_block))
     packed = materialize(_blocks(asked, F.lit(blocks), 2, lambda values, _: values.astype(np.int64)), "queries")
-    # Each pair of blocks meets under a key of its own, so no key is larger than another.
-    data = file.withColumn("query_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    spread = packed.select(
-        "size",
-        F.col("block").alias("query_block"),
-        F.col("ids").alias("query_ids"),
-        F.col("data").alias("queries"),
-        F.explode(F.sequence(F.lit(0).cast("long"), (per_size[F.col("size").cast("int")] - 1).cast("long"))).alias("block"),
-    )
+    # Each pair of tiles meets under a key of its own, so no key is larger than another. Tiles grow with
+    # the table, so what is copied for their meeting grows with it too, not with its square.
+    edge = {size: tile_edge(-(-n // block) * blocks) for size, (_, _, n) in ranges.items()}
+    edges = F.create_map(*(F.lit(x) for item in edge.items() for x in item))[F.col("size").cast("int")]
+
+    def tiles(of: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.floor((of - 1) / edges)))
+
+    own = F.floor(F.col("block") / edges)
+    data = file.select("size", own.alias("tile"), tiles(F.lit(blocks)).alias("query_tile"), "ids", "data")
+    count = per_size[F.col("size").cast("int")]
+    spread = packed.select("size", tiles(count).alias("tile"), own.alias("query_tile"), "ids", "data")
     found = materialize(candidates(data, spread, ranges, k, bits), "candidates")
 
     by_query = Window.partitionBy("query_id")
@@ -213,7 +241,7 @@ def top_k(
         .groupBy("query_id")
         .agg(F.when(F.count("*") == k, F.min("least")).otherwise(F.lit(float("-inf"))).alias("kth"))
     )
-    likely = found.join(kth, "query_id").where("most >= kth").select("query_id", "id", "most")
+    likely = found.join(kth.hint("merge"), "query_id").where("most >= kth").select("query_id", "id", "most")
     order = by_query.orderBy(F.desc("most"), "id")
     likely = materialize(likely.withColumn("r", F.row_number().over(order)), "bound-order")
     first = materialize(_score(likely.where(F.col("r") <= FIRST_ROUND * k), rows), "first-round")
@@ -223,7 +251,7 @@ def top_k(
         .where(F.col("n") == k)
         .select("query_id", F.col("score").alias("sure"))
     )
-    rest = likely.where(F.col("r") > FIRST_ROUND * k).join(sure, "query_id").where("most >= sure")
+    rest = likely.where(F.col("r") > FIRST_ROUND * k).join(sure.hint("merge"), "query_id").where("most >= sure")
     ranked = first.union(_score(rest, rows)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select(
         F.col("query_id").cast("long"), F.col("rank").cast("int"), F.col("id").cast("long").alias(id_col), "score"

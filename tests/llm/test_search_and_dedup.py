@@ -543,3 +543,36 @@ def test_page_query_is_the_article(table, result):
         lines = [" ".join(entities.unescape(b).split()) for b in blocks]
         assert found.loc[row.page_id].text == "\n".join(x for x in lines if x)
         assert found.loc[row.page_id].n_chars == len(found.loc[row.page_id].text)
+
+
+def test_joins_of_staged_names_are_not_broadcast(spark, rows_of):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    draw = np.random.default_rng(5)
+    vectors = [(i, [float(x) for x in v], i % 2) for i, v in enumerate(draw.normal(size=(60, 4)))]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int")
+    docs = spark.createDataFrame([(i, f"some words of text {i % 7}") for i in range(20)], "doc_id long, text string")
+    edges = spark.createDataFrame([(1, 2), (2, 3), (7, 8)], "a long, b long")
+    fps = spark.createDataFrame([(1,), (3,), (1 << 40,)], "fp long")
+    assert sorted(rows_of(components.components(edges), "node", "component")) == [(1, 1), (2, 1), (3, 1), (7, 7), (8, 7)]
+    for found in (
+        va_search.top_k(df, lambda i: i % 10 == 0, 4), forest.near_vectors(df), simhash.near_duplicates(docs),
+        simhash.near_links(fps), components._small_star(components._large_star(edges)),
+    ):
+        assert "Join" in plan(found) and "Broadcast" not in plan(found)
+
+
+def test_tiles_grow_with_the_table(spark, rows_of, monkeypatch):
+    # Copies of blocks for their meeting: pairs of blocks over the edge; four times the pairs come with twice the rows.
+    copies = [p // va_search.tile_edge(p) for p in (1 << 16, 1 << 18, 1 << 20, 1 << 22)]
+    assert all(b <= 2 * a for a, b in zip(copies, copies[1:]))
+    assert va_search.tile_edge(0) == 1 and va_search.tile_edge(1 << 40) == va_search.TILE
+    monkeypatch.setattr(va_search, "TILES", 4)
+    draw = np.random.default_rng(6)
+    vectors = [[float(x) for x in v] for v in draw.integers(-9, 10, (300, 5)) / 8] + [[1.0, 2.0]] * 7
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    found = va_search.top_k(df, lambda i: i % 10 == 0, 4, block=40, query_block=5)
+    cut = [(i, np.floor(1024 * np.array(v)).astype(np.int64)) for i, v in enumerate(vectors)]
+    wanted = brute_top(cut[:300], 4, 10) + brute_top(cut[300:], 4, 10)
+    assert rows_of(found, "query_id", "rank", "vec_id", "score") == sorted(wanted, key=repr)
