@@ -33,9 +33,10 @@ def prepared(spark, sf):
     """Training tables and the matrix, staged once per session and folder."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _PREPARED:
-        rows = C.unknown_fill(C.null_if_negative(V.loans(spark, sf)))
+        # The medians read the loans several times, the later steps again: the joins behind them run once.
+        rows = C.unknown_fill(C.null_if_negative(materialize(V.loans(spark, sf), "loans")))
         rows = C.median_fill(C.zero_fill(rows)).drop("initial_list_status")
-        tables = P.prepare_training(materialize(rows, "filled"))
+        tables = P.prepare_training(rows)
         tables["train_undersampled"] = materialize(tables["train_undersampled"], "train")
         tables["test"] = materialize(tables["test"], "test")
         features = M.select_features(tables["train_undersampled"])
