@@ -37,15 +37,19 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
-def standard_text(c: Column) -> Column:
-    """Stripped, runs of white space as one blank, "missing" texts as null.
+def blanks_only(c: Column) -> Column:
+    """All white space as blanks, none at the ends."""
+    return F.trim(F.translate(c, WHITE_SPACE, " " * len(WHITE_SPACE)))
 
-    All white space becomes blanks first, so that only the rare text with a double
-    blank meets a regular expression.
-    """
-    t = F.trim(F.translate(c, WHITE_SPACE, " " * len(WHITE_SPACE)))
-    t = F.when(t.contains("  "), F.regexp_replace(t, " +", " ")).otherwise(t)
-    return F.when(~t.isin(MISSING_TEXTS), t)
+
+def single_blanks(c: Column) -> Column:
+    """Runs of blanks as one; only the rare text with a double blank meets a regular expression."""
+    return F.when(c.contains("  "), F.regexp_replace(c, " +", " ")).otherwise(c)
+
+
+def known_text(c: Column) -> Column:
+    """Texts that mean "missing" as null."""
+    return F.when(~c.isin(MISSING_TEXTS), c)
 
 
 def lenient_timestamp(c: Column) -> Column:

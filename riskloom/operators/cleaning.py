@@ -12,10 +12,12 @@ from pyspark.sql import types as T
 from riskloom import schemas as S
 from riskloom.functions.exprs import (
     amount,
+    blanks_only,
     col,
     lenient_timestamp,
+    known_text,
     row_digest,
-    standard_text,
+    single_blanks,
     strip,
 )
 from riskloom.functions.ordering import carry_values
@@ -31,7 +33,10 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 def strip_and_standardize_strings(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Strip, collapse white space, and turn texts that mean "missing" into null."""
     names = S.text_columns(df) if columns is None else S.present(df, columns)
-    return df.withColumns({c: standard_text(col(c)) for c in names})
+    # One projection for each part: within one, every part is worked out again wherever the next names it.
+    for part in (blanks_only, single_blanks, known_text):
+        df = df.withColumns({c: part(col(c)) for c in names})
+    return df
 
 
 def parse_dates(df: DataFrame, columns: Sequence[str] = S.DATE_COLUMNS) -> DataFrame:

@@ -71,7 +71,10 @@ class StepPlan:
     ) -> DataFrame:
         """Run the steps on a table on disk."""
         self.audit = []
-        planned, marks = self.build(read_table(sibling_session(spark), path, schema))
+        own = sibling_session(spark)
+        # Steps over many columns make methods beyond the 8 000 bytes that the JVM compiles: those go column by column.
+        own.conf.set("spark.sql.codegen.hugeMethodLimit", 8000)
+        planned, marks = self.build(read_table(own, path, schema))
         try:
             result = stage(planned, "steps-out")
         except Exception as error:
