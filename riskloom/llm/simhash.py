@@ -35,6 +35,8 @@ WIDE = 32
 # Chance that a pair of exactly the similarity meets in a cell, and the subsets of references of one wave.
 RECALL = 0.995
 WAVE = 96
+# Bits of a subset at least.
+LEAST_BITS = 16
 # Hashes whose bits are spread and summed at a time.
 _PART = 1 << 14
 
@@ -271,16 +273,34 @@ def cuts_of(similarity: float, total: int) -> list[int]:
     return [int(total * p + 4 * math.sqrt(total * p * (1 - p))) for p in worst_chances(similarity)]
 
 
-def subsets_for(chance: float, size: int, total: int, recall: float) -> int:
+def subset_sizes(count: int, total: int) -> tuple[int, float]:
+    """Bits of a subset for so many rows, and the share of subsets with one bit more.
+
+    Unlike rows that agree by chance share cells. Every doubling of the rows takes nine
+    eighths of a bit, so that rows in cells of more than three, which grow with the third power of the
+    rows a cell, make up for the further subsets that more bits need: they grow about as
+    the rows do. Bits are whole, so a share of the subsets stands for the fraction: that
+    with which the rows in such cells are as many as with the broken size.
+    """
+    size = min(float(total), max(LEAST_BITS, 1.125 * math.log2(max(count, 2)) - 1))
+    return int(size), (1 - 8 ** (int(size) - size)) * 8 / 7
+
+
+def subsets_for(chance: float, size: int, total: int, recall: float, longer: float = 0.0) -> int:
     """Subsets of so many of the bits in which rows whose bits differ with this chance agree at least once.
 
     The number of differing bits is spread around its mean, and the pairs far above it are those that are lost.
+    The share `longer` of the subsets has one bit more.
     """
     bits = range(total + 1)
     weight = np.array([math.comb(total, d) * chance**d * (1 - chance) ** (total - d) for d in bits])
-    apart = 1 - np.array([math.comb(total - d, size) / math.comb(total, size) for d in bits])
+
+    def apart(k: int) -> np.ndarray:
+        return 1 - np.array([math.comb(total - d, k) / math.comb(total, k) for d in bits])
+
+    once = apart(size) ** (1 - longer) * apart(size + 1) ** longer if longer else apart(size)
     subsets = 1
-    while weight @ apart**subsets > 1 - recall:
+    while weight @ once**subsets > 1 - recall:
         subsets = subsets + 1 + subsets // 50
     return subsets
 
@@ -290,16 +310,18 @@ def bit_subsets(count: int, words: int, similarity: float, recall: float) -> tup
 
     Of so many bits that unlike rows seldom agree in all, and so many subsets that two
     rows of the similarity agree in some with the given chance; rows of few shingles,
-    whose bits differ more often, take all the subsets.
+    whose bits differ more often, take all the subsets. Subsets of one bit more are
+    spread evenly, and never more than their share of the first ones.
     """
     total = 64 * words
-    size = min(total, max(16, math.ceil(math.log2(max(count, 2)))))
+    size, longer = subset_sizes(count, total)
     chances = worst_chances(similarity)
-    usual, subsets = (subsets_for(p, size, total, recall) for p in (chances[-1], max(chances)))
+    usual, subsets = (subsets_for(p, size, total, recall, longer) for p in (chances[-1], max(chances)))
     drawn = np.random.default_rng(SEED)
     masks = np.zeros((subsets, total), np.uint8)
-    for mask in masks:
-        mask[drawn.choice(total, size, replace=False)] = 1
+    for i, mask in enumerate(masks):
+        more = int((i + 1) * longer) - int(i * longer)
+        mask[drawn.choice(total, size + more, replace=False)] = 1
     return np.packbits(masks, axis=1).view(">i8").astype(np.int64).tolist(), usual
 
 

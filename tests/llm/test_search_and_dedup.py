@@ -312,6 +312,33 @@ def test_crowded_cells_are_compared_whole(spark, block):
     }
 
 
+def test_rows_of_crowded_cells_grow_as_the_rows_do():
+    """Unlike rows that meet by chance: five times the rows make no more than some five times the rows in cells of over three."""
+    draw = np.random.default_rng(12)
+
+    def crowded(count):
+        masks, usual = simhash.bit_subsets(count, 4, 0.8, 0.995)
+        some = np.array(masks[:usual:8])
+        fps, odd = draw.integers(-(1 << 63), 1 << 63, (count, 4)), draw.integers(1, 1 << 62, 4) * 2 + 1
+        found = 0
+        for mask in some:
+            n = np.unique((fps & mask) @ odd, return_counts=True)[1]
+            found += n[n > 3].sum()
+        return found * usual / len(some)
+
+    for count in (44_000, 60_000):
+        assert crowded(5 * count) < 6.5 * crowded(count)
+
+
+@pytest.mark.parametrize("count", [1_000, 44_000, 90_000, 220_000])
+def test_subsets_bring_pairs_of_the_similarity_together(count):
+    masks, usual = simhash.bit_subsets(count, 4, 0.8, 0.995)
+    bits = np.unpackbits(np.array(masks[:usual], ">i8").view(np.uint8), axis=1).astype(np.float32)
+    differ = np.random.default_rng(13).random((10_000, 256)) < simhash.bit_chance(0.8)
+    assert ((differ.astype(np.float32) @ bits.T) == 0).any(axis=1).mean() > 0.993
+    assert simhash.bit_subsets(2, 1, 0.8, 0.9)[1] > 0 and simhash.subset_sizes(1 << 400, 256) == (256, 0.0)
+
+
 def test_keep_one_settles_every_pair_by_its_shingles(spark, rows_of):
     draw = random.Random(6)
     texts = []
