@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from riskloom.llm.common import doc_texts, field, slices, text_key
 from riskloom.llm.components import components
+from riskloom.llm.prefixes import possible_pairs, shared_first
 from riskloom.session import discard, materialize
 
 SEED = 42
@@ -74,6 +75,11 @@ def shingle_hashes(text: str, width: int = SHINGLE, seed: int = SEED) -> np.ndar
     return hashes
 
 
+def set_key(hashes: np.ndarray) -> int:
+    """A hash that names a set of shingles (distinct, in order), as a signed long."""
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
+
+
 def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED, words: int = 1, distinct: bool = False) -> list[int]:
     """SimHash of one text, 64 bits a word: a bit is set if more than half of the shingle hashes set it.
 
@@ -116,8 +122,8 @@ def fingerprints(
     """`id_col`, `fp` (64-bit words as signed longs) for every row; whole texts, no shuffle.
 
     A null text counts as empty; a text without words has fingerprint zero. With
-    `keyed`, two hashes of the text (`h1`, `h2`) come along to find the row again, and
-    the number of its shingles (`n_shingles`).
+    `keyed`, two hashes of the text (`h1`, `h2`) come along to find the row again, the
+    number of its shingles (`n_shingles`) and a hash of their set (`s`).
     """
     rows = doc_texts(docs, id_col, text_col)
     keep = [id_col, "h1", "h2"] if keyed else [id_col]
@@ -126,18 +132,18 @@ def fingerprints(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = (shingle_hashes(t.as_py(), width, seed) for t in batch.column(len(keep)))
-            sized = [(_folded(x, words), len(x)) for x in (map(np.unique, sets) if distinct else sets)]
-            values = [fp for fp, _ in sized]
+            sized = [(_folded(x, words), len(x), set_key(np.unique(x)) if keyed else 0) for x in (map(np.unique, sets) if distinct else sets)]
+            values = [fp for fp, _, _ in sized]
             flat = pa.array(np.array(values, np.uint64).reshape(-1).view(np.int64))
             offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * words)
             columns = [*(batch.column(i) for i in range(len(keep))), pa.ListArray.from_arrays(offsets, flat)]
             if keyed:
-                columns.append(pa.array([n for _, n in sized], pa.int32()))
+                columns += [pa.array([n for _, n, _ in sized], pa.int32()), pa.array([s for *_, s in sized], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
 
     schema = T.StructType([*(field(rows, c) for c in keep), T.StructField("fp", T.ArrayType(T.LongType()))])
     if keyed:
-        schema = T.StructType([*schema, T.StructField("n_shingles", T.IntegerType())])
+        schema = T.StructType([*schema, T.StructField("n_shingles", T.IntegerType()), T.StructField("s", T.LongType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -443,9 +449,9 @@ def shingle_sets(texts: DataFrame, width: int, seed: int) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, rows: DataFrame, fps: DataFrame, wanted: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """`uid`, `text`: one of the texts of each wanted fingerprint (`uid`)."""
+    """`uid`, `text`: one of the texts of each wanted set of shingles (`uid`)."""
     first = F.min(F.struct(F.col(id_col).alias("id"), "h1", "h2")).alias("x")
-    places = rows.join(fps.join(wanted, "uid", "left_semi"), "fp").groupBy("uid").agg(first)
+    places = rows.join(fps.join(wanted, "uid", "left_semi"), ["fp", "s"]).groupBy("uid").agg(first)
     places = materialize(places.select("uid", "x.id", "x.h1", "x.h2"), "doubtful-documents")
     if places.count() <= BROADCAST_PLACES:
         places = F.broadcast(places)
@@ -547,7 +553,7 @@ def near_groups(
     docs: DataFrame, rows: DataFrame, fps: DataFrame, text_col: str, id_col: str, width: int, similarity: float,
     words: int, seed: int, recall: float = RECALL, wave: int = WAVE,
 ) -> DataFrame:
-    """`node`, `component` of the fingerprints (uids) with a near-copy.
+    """`node`, `component` of the sets of shingles (uids, each with its fingerprint) with a near-copy.
 
     Every link is settled by the Jaccard similarity of the shingles. The subsets of the
     references come in waves, so that the cells of one wave alone are held at a time. In
@@ -556,6 +562,10 @@ def near_groups(
     is not spelled out. What is apart still in a cell of more than three rows is compared
     whole; the rows that are near another there once more, by fingerprints of many more
     bits, so that few but true links leave a task also where many texts share a template.
+
+    Fingerprints bring a pair of just the similarity together with a chance only (`recall`). So
+    the pairs that still stand in two groups and share one of their rarest shingles come
+    last: by `prefixes` no pair of the similarity is without one, and none is left out.
     """
     total = 64 * words
     cuts, wide_cuts = cuts_of(similarity, total), cuts_of(similarity, 64 * WIDE)
@@ -599,9 +609,27 @@ def near_groups(
         discard(cells)
         free_shuffles(docs.sparkSession)
         begin = end
+    rest = known.fresh(missed_pairs(docs, rows, fps, known.known, text_col, width, similarity, seed))
+    if not rest.isEmpty():
+        known.settle(rest)
+    discard(rest)
     return known.known
 
 
+def missed_pairs(
+    docs: DataFrame, rows: DataFrame, fps: DataFrame, known: DataFrame, text_col: str, width: int, similarity: float, seed: int
+) -> DataFrame:
+    """Pairs `a`, `b` (uids) of different groups (`node`, `component`): all that may have the similarity."""
+    total = rows.agg(F.sum("n_shingles")).first()[0] or 0
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    first = shared_first(texts, lambda t: np.unique(shingle_hashes(t, width, seed)), set_key, total, similarity)
+    first = materialize(first, "rare-shingles")
+    names = known.select(F.col("node").alias("uid"), "component")
+    named = first.join(fps.select("s", "uid"), "s").join(names, "uid", "left")
+    named = named.select("uid", F.coalesce("component", "uid").alias("root"), first["size"], "at", "member")
+    return possible_pairs(named, similarity)
+
+
 def keep_one(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -614,21 +642,22 @@ def keep_one(
     """The documents without near-copies: of each group one row stays, that with the smallest id.
 
     Rows link when the Jaccard similarity of their distinct runs of `width` words is at
-    least `similarity`; wide fingerprints bring the pairs together, the shingles settle
-    each. Of rows with that id the one with the smallest
+    least `similarity`; wide fingerprints bring most pairs together, rare shingles all
+    others, and the shingles settle each. Of rows with that id the one with the smallest
     text hash stays, and one of rows that repeat both. Rows with a null id stay only
     where a group has nothing else. Texts without words are copies of each other. All
     columns of `docs` are kept; an empty table gives an empty one.
     """
     rows = fingerprints(docs, id_col, text_col, width, seed, words, distinct=True, keyed=True)
     rows = materialize(rows, "fingerprints")
-    fps = rows.groupBy("fp").agg(F.min("n_shingles").alias("size")).withColumn("uid", F.monotonically_increasing_id())
+    # Unlike sets may have one fingerprint: each is settled on its own.
+    fps = rows.groupBy("fp", "s").agg(F.min("n_shingles").alias("size")).withColumn("uid", F.monotonically_increasing_id())
     fps = materialize(fps, "distinct-fingerprints")
     linked = near_groups(docs, rows, fps, text_col, id_col, width, similarity, words, seed)
-    roots = fps.join(linked, fps["uid"] == linked["node"], "left").select("fp", F.coalesce("component", "uid").alias("root"))
-    counted = rows.groupBy("fp", id_col, "h1", "h2").agg(F.count("*").alias("n"))
+    roots = fps.join(linked, fps["uid"] == linked["node"], "left").select("fp", "s", F.coalesce("component", "uid").alias("root"))
+    counted = rows.groupBy("fp", "s", id_col, "h1", "h2").agg(F.count("*").alias("n"))
     order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "h1", "h2", "n")
-    first = counted.join(roots, "fp").groupBy("root").agg(F.min(order).alias("first"))
+    first = counted.join(roots, ["fp", "s"]).groupBy("root").agg(F.min(order).alias("first"))
     kept = first.select(*(F.col(f"first.{c}").alias(f"_kept_{c}") for c in ("id", "h1", "h2", "n")))
     text = F.coalesce(F.col(text_col), F.lit(""))
     same = (

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from riskloom.llm import components, forest, html_main, line_dedup, quality, simhash, va_search
+from riskloom.llm import components, forest, html_main, line_dedup, prefixes, quality, simhash, va_search
 
 
 def roots(n, links):
@@ -355,6 +355,46 @@ def test_keep_one_settles_every_pair_by_its_shingles(spark, rows_of):
     assert kept >= set(expected) and len(kept - set(expected)) <= 1
 
 
+def test_keep_one_finds_pairs_that_no_cell_brings_together(spark, rows_of, monkeypatch):
+    """All pairs of the similarity count, whatever the subsets of the bits are; here none of them brings two unlike rows together."""
+    plain = simhash.bit_subsets
+    monkeypatch.setattr(simhash, "bit_subsets", lambda *a: ([[-1] * 4], plain(*a)[1]))
+    draw = random.Random(16)
+    texts = family(draw, 60, 20)
+    for i in range(60):
+        words = [f"v{draw.randrange(10**9)}" for _ in range(120)]
+        changed = [*words[:-8], *(f"y{draw.randrange(10**9)}" for _ in range(8))]
+        texts += [" ".join(words), " ".join(changed), " ".join(words[4 : draw.randrange(90, 116)])]
+    texts += [" ".join(f"z{i}" for i in range(n)) for n in (1, 3, 8, 9, 10, 12)] * 2
+    expected = kept_by_force(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r[0] for r in rows_of(simhash.keep_one(docs), "doc_id")) == expected
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_sets_of_the_similarity_share_an_early_member(spark, monkeypatch, block):
+    """Every pair of the similarity is named, packed in one part or in many; pairs of one group are not."""
+    monkeypatch.setattr(prefixes, "PACKED", 1 << 20 if block > 4 else 100)
+    draw = random.Random(17)
+    sets = [frozenset(draw.sample(range(60), draw.randrange(1, 25))) for _ in range(60)]
+    sets += [frozenset(draw.choice(sets) ^ set(draw.sample(range(60), draw.randrange(4)))) for _ in range(120)]
+    sets = sorted({x for x in sets if x}, key=sorted)
+    texts = spark.createDataFrame([(" ".join(map(str, x)),) for x in [*sets, *sets[:30]]] + [("",)], "text string")
+
+    def members(text):
+        return np.unique(np.array([xxhash.xxh64_intdigest(w) for w in text.split()], np.uint64))
+
+    first = prefixes.shared_first(texts, members, simhash.set_key, 10**9, 0.8).toPandas()
+    keys = [simhash.set_key(members(" ".join(map(str, x)))) for x in sets]
+    first["uid"] = first.s.map({k: i for i, k in enumerate(keys)})
+    assert len(first) == len(first.drop_duplicates(["uid", "member"])) > 0
+    rows = spark.createDataFrame(first.assign(root=first.uid // 3)[["uid", "root", "size", "at", "member"]])
+    found = {tuple(r) for r in prefixes.possible_pairs(rows, 0.8, block).collect()}
+    alike = {(i, j) for j in range(len(sets)) for i in range(j) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    assert found >= {(i, j) for i, j in alike if i // 3 != j // 3} and not any(i // 3 == j // 3 for i, j in found)
+    assert len(alike) > 30 and len(found) < len(sets) * (len(sets) - 1) / 4
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
